@@ -135,3 +135,156 @@ def events_rolling_7d(spark, sf_dir):
         running={"cumulative_events": "event_count"},
         rolling={"rolling_7d_events": "event_count"},
     )
+
+
+# --------------------------------------------------------------------------
+# Metric queries
+# --------------------------------------------------------------------------
+
+from tidemark.plans import metrics  # noqa: E402
+
+
+@register("kpi_repo_name")
+def kpi_repo_name(spark, sf_dir):
+    """K1: repositories in the lifecycle mart."""
+    return metrics.repo_names(lifecycle_of(spark, sf_dir))
+
+
+@register("kpi_opened_in_window")
+def kpi_opened_in_window(spark, sf_dir):
+    """K2: opened in the last 180 days."""
+    return metrics.opened_in_window(lifecycle_of(spark, sf_dir), AS_OF)
+
+
+@register("kpi_closed_in_window")
+def kpi_closed_in_window(spark, sf_dir):
+    """K3: closed in the last 180 days."""
+    return metrics.closed_in_window(lifecycle_of(spark, sf_dir), AS_OF)
+
+
+@register("kpi_net_change_in_window")
+def kpi_net_change_in_window(spark, sf_dir):
+    """K4: net change in the last 180 days."""
+    return metrics.net_change_in_window(marts.daily_flow(lifecycle_of(spark, sf_dir)), AS_OF)
+
+
+@register("kpi_backlog_direction")
+def kpi_backlog_direction(spark, sf_dir):
+    """K5: Worsening / Improving / Flat."""
+    return metrics.backlog_direction(marts.daily_flow(lifecycle_of(spark, sf_dir)), AS_OF)
+
+
+@register("ts_cumulative_backlog")
+def ts_cumulative_backlog(spark, sf_dir):
+    """K6: cumulative net change series for the window."""
+    return metrics.cumulative_series(marts.daily_flow(lifecycle_of(spark, sf_dir)), AS_OF)
+
+
+@register("ts_7d_opened_vs_closed")
+def ts_7d_opened_vs_closed(spark, sf_dir):
+    """K7: rolling 7-day opened vs closed."""
+    return metrics.rolling_opened_closed_series(marts.daily_flow(lifecycle_of(spark, sf_dir)), AS_OF)
+
+
+@register("ts_7d_backlog_velocity")
+def ts_7d_backlog_velocity(spark, sf_dir):
+    """K8: rolling 7-day net change."""
+    return metrics.rolling_net_series(marts.daily_flow(lifecycle_of(spark, sf_dir)), AS_OF)
+
+
+@register("top_swing_positive")
+def top_swing_positive(spark, sf_dir):
+    """K9: top 10 positive swing days (ties kept)."""
+    return metrics.top_swing_days(swing_days(spark, sf_dir), "positive")
+
+
+@register("top_swing_negative")
+def top_swing_negative(spark, sf_dir):
+    """Top 10 negative swing days (ties kept)."""
+    return metrics.top_swing_days(swing_days(spark, sf_dir), "negative")
+
+
+@register("ts_monthly_closure_age")
+def ts_monthly_closure_age(spark, sf_dir):
+    """Monthly median / p90 closure age for the last two years."""
+    return metrics.closure_age_series(closure_age_monthly(spark, sf_dir), AS_OF)
+
+
+@register("kpi_share_closed_within_7d")
+def kpi_share_closed_within_7d(spark, sf_dir):
+    """Mean monthly share closed within 7 days."""
+    return metrics.mean_share(closure_age_monthly(spark, sf_dir), "share_closed_within_7d")
+
+
+@register("kpi_share_closed_after_90d")
+def kpi_share_closed_after_90d(spark, sf_dir):
+    """Mean monthly share closed after 90 days."""
+    return metrics.mean_share(closure_age_monthly(spark, sf_dir), "share_closed_after_90d")
+
+
+@register("bar_opened_by_weekday")
+def bar_opened_by_weekday(spark, sf_dir):
+    """Opened per weekday."""
+    return metrics.weekday_bars(weekday_rhythm(spark, sf_dir), "opened")
+
+
+@register("bar_closed_by_weekday")
+def bar_closed_by_weekday(spark, sf_dir):
+    """Closed per weekday."""
+    return metrics.weekday_bars(weekday_rhythm(spark, sf_dir), "closed")
+
+
+@register("issue_detail")
+def issue_detail(spark, sf_dir):
+    """Newest 500 issues per repository."""
+    return metrics.issue_detail(lifecycle_of(spark, sf_dir))
+
+
+@register("open_backlog_preview")
+def open_backlog_preview(spark, sf_dir):
+    """Ten most recently updated open issues per repository."""
+    return metrics.open_backlog_preview(lifecycle_of(spark, sf_dir))
+
+
+@register("count_by_state")
+def count_by_state(spark, sf_dir):
+    """Non-pull-request issues per state."""
+    return metrics.count_by_state(tables.issues(spark, sf_dir))
+
+
+@register("issue_totals")
+def issue_totals(spark, sf_dir):
+    """Total, pull-request and true-issue rows per repository."""
+    return metrics.issue_totals(tables.issues(spark, sf_dir))
+
+
+@register("label_breakdown")
+def label_breakdown(spark, sf_dir):
+    """Issues per label."""
+    return metrics.list_breakdown(lifecycle_of(spark, sf_dir), "label_names", "label_name")
+
+
+@register("assignee_breakdown")
+def assignee_breakdown(spark, sf_dir):
+    """Issues per assignee."""
+    return metrics.list_breakdown(lifecycle_of(spark, sf_dir), "assignee_logins", "assignee_login")
+
+
+@register("label_group_breakdown")
+def label_group_breakdown(spark, sf_dir):
+    """Issues per label group."""
+    return metrics.label_group_breakdown(lifecycle_of(spark, sf_dir))
+
+
+@register("scoped_opened_in_range")
+def scoped_opened_in_range(spark, sf_dir):
+    """One repository, a date range and a label group."""
+    lc = metrics.scope(
+        lifecycle_of(spark, sf_dir),
+        repo=("ASIA", "NATION_2"),
+        date_col="created_date",
+        start="1997-01-01",
+        end="1998-12-31",
+        label_group="A",
+    )
+    return lc.groupBy(*metrics.REPO_KEYS, "label_group").agg(F.count(F.lit(1)).alias("issue_count"))
