@@ -93,6 +93,10 @@ _DDL["SYNC_LOG"] = _struct(
     "last_successful_bronze_run_id STRING, version STRING, committed_at TIMESTAMP"
 )
 
+_DDL["GOLD_LOG"] = _struct(
+    "repo_owner STRING, repo_name STRING, version STRING, committed_at TIMESTAMP"
+)
+
 _DDL["MART_LIFECYCLE"] = _struct(
     "issue_id BIGINT, issue_node_id STRING, repo_owner STRING, repo_name STRING, "
     "issue_number BIGINT, title STRING, html_url STRING, state STRING, state_reason STRING, "
