@@ -124,6 +124,43 @@ def build_silver(
     return commits
 
 
+def import_snapshot(spark: SparkSession, base: str, legacy_path: str, run_ts: dt.datetime) -> DataFrame:
+    """Adopt a snapshot written by an older layout or schema.
+
+    The legacy files are read with their own schema (string times, missing
+    ``source_*`` columns), conformed by name to the declared schema with
+    ``try_cast``, merged with whatever is committed for those repositories and
+    committed as a new version. Later runs then merge onto typed data.
+    """
+    configure(spark)
+    lake = Lake(spark, base)
+    version = _version(run_ts)
+    legacy = spark.read.parquet(legacy_path)
+    touched = legacy.select(*REPO_KEYS).distinct()
+    existing = lake.silver("issue_current").join(touched, list(REPO_KEYS), "left_semi")
+    merged = silver.merge_current(existing, legacy, run_ts)
+    write_version(merged, lake.silver_table("issue_current"), version)
+    written = (
+        spark.read.schema(storage_schema("ISSUE_CURRENT"))
+        .parquet(lake.silver_table("issue_current"))
+        .filter(F.col("version") == version)
+        .drop("version")
+    )
+    write_version(silver.labels_of(written, run_ts), lake.silver_table("issue_labels"), version)
+    write_version(silver.assignees_of(written, run_ts), lake.silver_table("issue_assignees"), version)
+    state = lake.sync_state()
+    prior = (
+        state.select(*REPO_KEYS, F.col("last_successful_bronze_run_id").alias("run_id"),
+                     F.col("last_successful_run_finished_at").alias("finished_at"))
+        if state is not None
+        else spark.createDataFrame([], "repo_owner string, repo_name string, run_id string, finished_at timestamp")
+    )
+    runs = touched.join(prior, list(REPO_KEYS), "left")
+    commits = silver.sync_rows(written, runs, version, run_ts)
+    append(commits, lake.sync_log)
+    return commits
+
+
 def storage_schema(name: str):
     from tidemark.sources.storage import with_partitions
 

@@ -288,3 +288,185 @@ def scoped_opened_in_range(spark, sf_dir):
         label_group="A",
     )
     return lc.groupBy(*metrics.REPO_KEYS, "label_group").agg(F.count(F.lit(1)).alias("issue_count"))
+
+
+# --------------------------------------------------------------------------
+# Silver operators on payloads and versions derived from the tables
+# --------------------------------------------------------------------------
+
+from tidemark.plans import quality  # noqa: E402
+from tidemark.plans import silver as sv  # noqa: E402
+
+# Merge scenario on events (cutoff and lookback of the delta).
+MERGE_CUTOFF = dt.datetime(2024, 1, 20)
+MERGE_LOOKBACK = dt.timedelta(days=5)
+
+FLAT_COLUMNS = [
+    "issue_id", "issue_node_id", "repo_owner", "repo_name", "issue_number", "title", "state", "state_reason",
+    "is_locked", "created_at", "updated_at", "closed_at", "html_url", "api_url", "author_association",
+    "comment_count", "is_pull_request", "author_login", "author_id", "author_type", "assignee_count",
+    "pull_request_url", "source_run_id", "source_page_number",
+]
+
+
+def flattened(spark, sf_dir):
+    return sv.flatten(tables.bronze_pages(spark, sf_dir), RUN_TS)
+
+
+@register("flatten_payload")
+def flatten_payload(spark, sf_dir):
+    """Parse issue payload JSON once into typed columns (round trip)."""
+    return flattened(spark, sf_dir).select(*FLAT_COLUMNS)
+
+
+@register("explode_labels")
+def explode_labels(spark, sf_dir):
+    """Label rows exploded from the payload's label objects."""
+    return sv.labels_of(flattened(spark, sf_dir), RUN_TS).drop("record_loaded_at")
+
+
+@register("explode_assignees")
+def explode_assignees(spark, sf_dir):
+    """Assignee rows exploded from the payload's assignee objects."""
+    return sv.assignees_of(flattened(spark, sf_dir), RUN_TS).drop("record_loaded_at")
+
+
+@register("shape_issue")
+def shape_issue(spark, sf_dir):
+    """The shaped issue view (object-only arrays, non-empty name lists, PR flag)."""
+    shaped = sv.shape_issues(tables.bronze_pages(spark, sf_dir), RUN_TS)
+    return shaped.select(
+        "issue_id", "repo_owner", "repo_name", "title", "state", "comment_count", "author_login",
+        "is_pull_request", "label_names", "assignee_logins",
+        F.size("labels").cast("bigint").alias("label_objects"),
+        F.size("assignees").cast("bigint").alias("assignee_objects"),
+    )
+
+
+def _versions(spark, sf_dir):
+    ev = tables.event_versions(spark, sf_dir)
+    return ev.withColumn("source_payload_json", F.to_json(F.struct("event_id", "value", "props")))
+
+
+def _as_batch(df, recorded_at, run_id):
+    return df.select(
+        "repo_owner", "repo_name", "issue_id", "updated_at", "event_id", "value", "props",
+        F.lit(recorded_at).cast("timestamp").alias("source_recorded_at"),
+        F.lit(run_id).alias("source_run_id"),
+    )
+
+
+_EVENT_ORDER = ["updated_at", "source_recorded_at", "source_run_id", "event_id"]
+
+
+def _merge(frames):
+    from functools import reduce
+
+    union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    order = [F.col(c).desc_nulls_last() for c in _EVENT_ORDER]
+    return ops.latest_by_key(union, ISSUE_KEYS, order)
+
+
+def _winner_columns(df):
+    return df.select(*ISSUE_KEYS, "updated_at", "event_id", "value")
+
+
+@register("snapshot_merge")
+def snapshot_merge(spark, sf_dir):
+    """I4: existing snapshot (latest before a cutoff) merged with a delta that
+    re-delivers a lookback window; equals the latest version over all rows."""
+    ev = _versions(spark, sf_dir)
+    lo = MERGE_CUTOFF - MERGE_LOOKBACK
+    existing = ops.latest_by_key(
+        ev.filter(F.col("updated_at") < F.lit(MERGE_CUTOFF)), ISSUE_KEYS,
+        [F.col("updated_at").desc_nulls_last(), F.col("event_id").desc()],
+    )
+    delta = ev.filter(F.col("updated_at") >= F.lit(lo))
+    merged = _merge([_as_batch(existing, MERGE_CUTOFF, "r1"), _as_batch(delta, MERGE_CUTOFF + dt.timedelta(days=30), "r2")])
+    return _winner_columns(merged)
+
+
+@register("late_data_wins")
+def late_data_wins(spark, sf_dir):
+    """Deltas applied out of order; an older version arriving later never wins."""
+    ev = _versions(spark, sf_dir)
+    newer = ev.filter(F.col("updated_at") >= F.lit(MERGE_CUTOFF))
+    older = ev.filter(F.col("updated_at") < F.lit(MERGE_CUTOFF))
+    first = _merge([_as_batch(newer, MERGE_CUTOFF, "r1")])
+    merged = _merge([first, _as_batch(older, MERGE_CUTOFF + dt.timedelta(days=30), "r2")])
+    return _winner_columns(merged)
+
+
+@register("schema_evolution")
+def schema_evolution(spark, sf_dir):
+    """A legacy snapshot (string times, no value column) merged by name
+    with a typed delta; drifted types are try_cast, missing columns are NULL."""
+    ev = _versions(spark, sf_dir)
+    lo = MERGE_CUTOFF - MERGE_LOOKBACK
+    existing = ops.latest_by_key(
+        ev.filter(F.col("updated_at") < F.lit(MERGE_CUTOFF)), ISSUE_KEYS,
+        [F.col("updated_at").desc_nulls_last(), F.col("event_id").desc()],
+    )
+    legacy = _as_batch(existing, MERGE_CUTOFF, "r1").drop("value").withColumn(
+        "updated_at", F.col("updated_at").cast("string")
+    )
+    delta = _as_batch(ev.filter(F.col("updated_at") >= F.lit(lo)), MERGE_CUTOFF + dt.timedelta(days=30), "r2")
+    conformed = [ops.conform(f, delta.schema) for f in (legacy, delta)]
+    return _winner_columns(_merge(conformed))
+
+
+def derived_manifests(spark, sf_dir):
+    bronze = tables.bronze_pages(spark, sf_dir)
+    totals = sv.run_totals(bronze)
+    fin = bronze.groupBy("repo_owner", "repo_name", "run_id").agg(F.max("fetched_at").alias("finished_at"))
+    return totals.join(fin, ["repo_owner", "repo_name", "run_id"]).withColumn("status", F.lit("success"))
+
+
+@register("run_totals")
+def run_totals(spark, sf_dir):
+    """Pages, records and max updated_at per landed run."""
+    return sv.run_totals(tables.bronze_pages(spark, sf_dir))
+
+
+@register("latest_runs")
+def latest_runs(spark, sf_dir):
+    """Latest successful run per repository."""
+    return sv.latest_manifests(derived_manifests(spark, sf_dir)).select(
+        "repo_owner", "repo_name", "run_id", "finished_at", "pages_fetched", "records_fetched"
+    )
+
+
+def _sync(spark, sf_dir, raw_close=False):
+    return sv.sync_rows(tables.issues(spark, sf_dir, raw_close), derived_manifests(spark, sf_dir), "v1", RUN_TS)
+
+
+@register("sync_state")
+def sync_state(spark, sf_dir):
+    """Per-repository high-water mark and last merged run."""
+    return _sync(spark, sf_dir).drop("version", "committed_at")
+
+
+@register("watermark_lookback")
+def watermark_lookback(spark, sf_dir):
+    """since = watermark - 30 days."""
+    return sv.watermark_since(_sync(spark, sf_dir))
+
+
+@register("dq_silver")
+def dq_silver(spark, sf_dir):
+    """D1-D6 report; closing times taken raw so that D3 finds violations."""
+    issues = tables.issues(spark, sf_dir, raw_close=True)
+    return quality.silver_report(
+        issues,
+        tables.issue_labels(spark, sf_dir),
+        tables.issue_assignees(spark, sf_dir),
+        _sync(spark, sf_dir, raw_close=True),
+        derived_manifests(spark, sf_dir),
+    )
+
+
+@register("dq_gold")
+def dq_gold(spark, sf_dir):
+    """D7-D9 report over the lifecycle and daily-flow marts."""
+    lc = lifecycle_of(spark, sf_dir)
+    return quality.gold_report(lc, marts.daily_flow(lc), tables.issues(spark, sf_dir))

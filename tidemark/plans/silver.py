@@ -83,13 +83,11 @@ def flatten(bronze: DataFrame, run_ts) -> DataFrame:
 # --------------------------------------------------------------------------
 
 # Winner order: newest update, then latest fetch, run, page, payload text; NULLs last.
-MERGE_ORDER = [
-    F.col("updated_at").desc_nulls_last(),
-    F.col("source_recorded_at").desc_nulls_last(),
-    F.col("source_run_id").desc_nulls_last(),
-    F.col("source_page_number").desc_nulls_last(),
-    F.col("source_payload_json").desc_nulls_last(),
-]
+MERGE_KEYS = ["updated_at", "source_recorded_at", "source_run_id", "source_page_number", "source_payload_json"]
+
+
+def merge_order() -> list[Column]:
+    return [F.col(c).desc_nulls_last() for c in MERGE_KEYS]
 
 
 def merge_current(existing: DataFrame | None, delta: DataFrame, run_ts) -> DataFrame:
@@ -102,7 +100,7 @@ def merge_current(existing: DataFrame | None, delta: DataFrame, run_ts) -> DataF
     """
     frames = [delta] if existing is None else [existing, delta]
     candidates = ops.union_by_declared_schema(frames, schemas.ISSUE_CURRENT)
-    merged = ops.latest_by_key(candidates, ISSUE_KEYS, MERGE_ORDER)
+    merged = ops.latest_by_key(candidates, ISSUE_KEYS, merge_order())
     return merged.withColumn("record_loaded_at", _ts(run_ts))
 
 
@@ -173,7 +171,9 @@ def sync_rows(current: DataFrame, merged_runs: DataFrame, version: str, run_ts)
     """One state row per repository: max updated_at (NULL when no issues)
     and the newest merged run, keyed from the run list so empty repositories
     still get a row."""
-    newest = latest_manifests(merged_runs.withColumn("status", F.lit("success")))
+    newest = ops.latest_by_key(
+        merged_runs, REPO_KEYS, [F.col("finished_at").desc_nulls_last(), F.col("run_id").desc_nulls_last()]
+    )
     marks = current.groupBy(*REPO_KEYS).agg(F.max("updated_at").alias("last_successful_watermark_updated_at"))
     return newest.join(marks, list(REPO_KEYS), "left").select(
         *REPO_KEYS,

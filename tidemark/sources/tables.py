@@ -132,3 +132,110 @@ def issue_assignees(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_orderkey").alias("issue_id"), F.col("s_name").alias("assignee_login")
     )
     return pairs.distinct().join(order_repos(spark, sf_dir), "issue_id").select(*ISSUE_KEYS, "assignee_login")
+
+
+# --------------------------------------------------------------------------
+# Bronze-shaped pages built from the tables (for the silver operators)
+# --------------------------------------------------------------------------
+
+ISO = "yyyy-MM-dd'T'HH:mm:ss'Z'"
+
+
+def _iso(c):
+    return F.date_format(c, ISO)
+
+
+def bronze_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze rows whose payload is the issue record as the REST API returns it.
+
+    One landing run per order year, one page per order month; labels and
+    assignees are arrays of objects (at most one per distinct line flag /
+    supplier of the order); ``pull_request`` is present only for pull requests.
+    """
+    iss = issues(spark, sf_dir)
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag", "l_suppkey")
+    lab = (
+        li.select("l_orderkey", "l_returnflag").distinct()
+        .groupBy("l_orderkey")
+        .agg(F.array_sort(F.collect_list(F.struct(
+            F.ascii("l_returnflag").cast("bigint").alias("id"),
+            F.col("l_returnflag").alias("name"),
+            F.concat(F.lit("flag "), F.col("l_returnflag")).alias("description"),
+            F.lit("ededed").alias("color"),
+            F.lit(False).alias("default"),
+        ))).alias("labels"))
+    )
+    sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    asg = (
+        li.select("l_orderkey", "l_suppkey").distinct()
+        .join(sup, F.col("l_suppkey") == F.col("s_suppkey"))
+        .groupBy("l_orderkey")
+        .agg(F.array_sort(F.collect_list(F.struct(
+            F.col("s_name").alias("login"),
+            F.col("s_suppkey").alias("id"),
+            F.lit("User").alias("type"),
+        ))).alias("assignees"))
+    )
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    j = (
+        iss.join(o, iss.issue_id == o.o_orderkey)
+        .join(lab, iss.issue_id == lab.l_orderkey, "left")
+        .join(asg.withColumnRenamed("l_orderkey", "a_orderkey"), F.col("issue_id") == F.col("a_orderkey"), "left")
+    )
+    key = F.col("issue_id").cast("string")
+    payload = F.to_json(F.struct(
+        F.col("issue_id").alias("id"),
+        F.col("issue_node_id").alias("node_id"),
+        F.col("issue_number").alias("number"),
+        "title",
+        "state",
+        "state_reason",
+        F.lit(False).alias("locked"),
+        _iso("created_at").alias("created_at"),
+        _iso("updated_at").alias("updated_at"),
+        _iso("closed_at").alias("closed_at"),
+        "html_url",
+        F.concat(F.lit("api/issues/"), key).alias("url"),
+        "author_association",
+        F.col("comment_count").alias("comments"),
+        F.struct(
+            F.concat(F.lit("user"), F.col("o_custkey").cast("string")).alias("login"),
+            F.col("o_custkey").alias("id"),
+            F.lit("User").alias("type"),
+        ).alias("user"),
+        F.coalesce("labels", F.array()).alias("labels"),
+        F.coalesce("assignees", F.array()).alias("assignees"),
+        F.when(F.col("is_pull_request"), F.struct(
+            F.concat(F.lit("api/pulls/"), key).alias("url"),
+            F.concat(F.lit("pull/"), key).alias("html_url"),
+        )).alias("pull_request"),
+    ))
+    created = F.col("created_at")
+    return j.select(
+        F.concat(F.lit("run_"), F.year(created).cast("string")).alias("run_id"),
+        "repo_owner",
+        "repo_name",
+        F.month(created).cast("int").alias("page_number"),
+        F.make_timestamp(F.year(created) + 1, F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0)).alias("fetched_at"),
+        F.col("issue_id"),
+        F.col("updated_at").alias("issue_updated_at"),
+        payload.alias("payload_json"),
+    )
+
+
+def event_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Versioned records from ``events``: key (event_type, user_id), version ts.
+
+    Mapped onto the issue keys: repo_owner='events', repo_name=event_type,
+    issue_id=user_id, updated_at=ts.
+    """
+    ev = table(spark, sf_dir, "events")
+    return ev.select(
+        F.lit("events").alias("repo_owner"),
+        F.col("event_type").alias("repo_name"),
+        F.col("user_id").alias("issue_id"),
+        F.col("ts").cast("timestamp").alias("updated_at"),
+        "event_id",
+        "value",
+        "props",
+    )
