@@ -95,9 +95,17 @@ def build_silver(
     """
     configure(spark)
     lake = Lake(spark, base)
+    runs = _repo_filter(silver.runs_to_merge(lake.read_manifests(), lake.sync_state()), repos)
+    return merge_runs(spark, base, runs, run_ts)
+
+
+def merge_runs(spark: SparkSession, base: str, runs: DataFrame, run_ts: dt.datetime) -> DataFrame:
+    """Merge the pages of ``runs`` (repo keys, run_id, finished_at) into
+    the committed snapshot of their repositories, rebuild the children, then
+    commit one sync-state row per repository (the commit point)."""
+    configure(spark)
+    lake = Lake(spark, base)
     version = _version(run_ts)
-    state = lake.sync_state()
-    runs = _repo_filter(silver.runs_to_merge(lake.read_manifests(), state), repos)
     run_keys = runs.select(*REPO_KEYS, "run_id")
     # The run list is tiny (one row per run); the semi-join prunes bronze to
     # the selected run_id partitions.
@@ -110,12 +118,7 @@ def build_silver(
     # Write the snapshot once, then derive everything else from the written
     # version (computed once, lineage cut at the write).
     write_version(merged, lake.silver_table("issue_current"), version)
-    written = (
-        spark.read.schema(storage_schema("ISSUE_CURRENT"))
-        .parquet(lake.silver_table("issue_current"))
-        .filter(F.col("version") == version)
-        .drop("version")
-    )
+    written = _read_version(spark, lake.silver_table("issue_current"), "ISSUE_CURRENT", version)
     write_version(silver.labels_of(written, run_ts), lake.silver_table("issue_labels"), version)
     write_version(silver.assignees_of(written, run_ts), lake.silver_table("issue_assignees"), version)
 
@@ -124,6 +127,29 @@ def build_silver(
     return commits
 
 
+def _read_version(spark: SparkSession, location: str, schema_name: str, version: str) -> DataFrame:
+    """The rows just written as ``version`` (typed empty when it wrote no rows)."""
+    return _glob_read(spark, location, schema_name, version)
+
+
+def _glob_read(spark: SparkSession, location: str, schema_name: str, version: str) -> DataFrame:
+    from pyspark.errors import AnalysisException
+
+    from tidemark.sources.storage import is_missing_path
+
+    try:
+        df = (
+            spark.read.schema(storage_schema(schema_name))
+            .option("basePath", location)
+            .parquet(f"{location.rstrip('/')}/repo_owner=*/repo_name=*/version={version}")
+        )
+    except AnalysisException as exc:
+        if is_missing_path(exc):
+            return spark.createDataFrame([], schemas.schema_of(schema_name))
+        raise
+    return df.drop("version")
+
+
 def import_snapshot(spark: SparkSession, base: str, legacy_path: str, run_ts: dt.datetime) -> DataFrame:
     """Adopt a snapshot written by an older layout or schema.
 
@@ -140,12 +166,7 @@ def import_snapshot(spark: SparkSession, base: str, legacy_path: str, run_ts: dt
     existing = lake.silver("issue_current").join(touched, list(REPO_KEYS), "left_semi")
     merged = silver.merge_current(existing, legacy, run_ts)
     write_version(merged, lake.silver_table("issue_current"), version)
-    written = (
-        spark.read.schema(storage_schema("ISSUE_CURRENT"))
-        .parquet(lake.silver_table("issue_current"))
-        .filter(F.col("version") == version)
-        .drop("version")
-    )
+    written = _read_version(spark, lake.silver_table("issue_current"), "ISSUE_CURRENT", version)
     write_version(silver.labels_of(written, run_ts), lake.silver_table("issue_labels"), version)
     write_version(silver.assignees_of(written, run_ts), lake.silver_table("issue_assignees"), version)
     state = lake.sync_state()
@@ -189,20 +210,10 @@ def build_gold(
     assignees = _repo_filter(lake.silver("issue_assignees"), repos)
     lc = marts.lifecycle(issues, labels, assignees, run_ts)
     write_version(lc, lake.gold_table("mart_issue_lifecycle"), version)
-    stored = (
-        spark.read.schema(storage_schema("MART_LIFECYCLE"))
-        .parquet(lake.gold_table("mart_issue_lifecycle"))
-        .filter(F.col("version") == version)
-        .drop("version")
-    )
+    stored = _read_version(spark, lake.gold_table("mart_issue_lifecycle"), "MART_LIFECYCLE", version)
     flow = marts.daily_flow(stored)
     write_version(flow, lake.gold_table("mart_issue_daily_flow"), version)
-    stored_flow = (
-        spark.read.schema(storage_schema("MART_DAILY_FLOW"))
-        .parquet(lake.gold_table("mart_issue_daily_flow"))
-        .filter(F.col("version") == version)
-        .drop("version")
-    )
+    stored_flow = _read_version(spark, lake.gold_table("mart_issue_daily_flow"), "MART_DAILY_FLOW", version)
     write_version(marts.closure_age_monthly(stored), lake.gold_table("mart_issue_closure_age_monthly"), version)
     write_version(marts.weekday_rhythm(stored), lake.gold_table("mart_issue_weekday_rhythm"), version)
     write_version(marts.swing_days(stored_flow), lake.gold_table("mart_issue_swing_days"), version)

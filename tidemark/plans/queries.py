@@ -470,3 +470,40 @@ def dq_gold(spark, sf_dir):
     """D7-D9 report over the lifecycle and daily-flow marts."""
     lc = lifecycle_of(spark, sf_dir)
     return quality.gold_report(lc, marts.daily_flow(lc), tables.issues(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------
+# Streaming variants (I10, I11): run to completion over what is available
+# --------------------------------------------------------------------------
+
+from tidemark.streaming import incremental  # noqa: E402
+
+
+def _event_stream(spark, sf_dir):
+    """The events table as a file stream (the folder, filtered to its file)."""
+    schema = tables.table(spark, sf_dir, "events").schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+
+
+@register("stream_daily_event_counts")
+def stream_daily_event_counts(spark, sf_dir):
+    """Events per type and UTC day from an event-time windowed stream."""
+    stream = _event_stream(spark, sf_dir).select("event_type", F.col("ts").cast("timestamp").alias("ts"))
+    return incremental.run_daily_counts(spark, stream, ["event_type"], "ts")
+
+
+@register("stream_snapshot_merge")
+def stream_snapshot_merge(spark, sf_dir):
+    """Micro-batch upsert of event versions into a committed snapshot."""
+    stream = _event_stream(spark, sf_dir).select(
+        F.lit("events").alias("repo_owner"),
+        F.col("event_type").alias("repo_name"),
+        F.col("user_id").alias("issue_id"),
+        F.col("ts").cast("timestamp").alias("updated_at"),
+        "event_id",
+        "value",
+    )
+    sink = incremental.SnapshotSink(incremental.scratch(spark, "snapshot"), ISSUE_KEYS, ["updated_at", "event_id"])
+    q = incremental.upsert_stream(stream, sink, incremental.scratch(spark, "snapshot-ckpt"))
+    q.awaitTermination()
+    return sink.current(spark)

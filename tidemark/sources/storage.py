@@ -114,9 +114,16 @@ def read_committed(
     full = with_partitions(schema, "version")
     if commits is None:
         return spark.createDataFrame([], schema)
-    df = read_or_none(spark, location, full)
-    if df is None:
-        return spark.createDataFrame([], schema)
+    # Only the partition folders are read (a stray file at the table root
+    # with another schema is ignored).
+    try:
+        df = spark.read.schema(full).option("basePath", location).parquet(
+            f"{location.rstrip('/')}/repo_owner=*/repo_name=*/version=*"
+        )
+    except AnalysisException as exc:
+        if is_missing_path(exc):
+            return spark.createDataFrame([], schema)
+        raise
     pointer = commits.select(*REPO_KEYS, "version")
     return df.join(pointer, [*REPO_KEYS, "version"], "left_semi").select(*schema.fieldNames())
 
