@@ -70,12 +70,13 @@ def month_start(d: str | Column) -> Column:
 
 
 def sorted_list(value: str | Column) -> Column:
-    """Aggregate: ascending list of values with NULLs kept and placed last.
+    """Aggregate: ascending list (of strings) of values with NULLs kept and placed last.
 
-    ``collect_list`` drops NULLs, so each value is wrapped in a struct first.
+    ``collect_list`` drops NULLs, so the NULLs are counted and appended.
     """
-    wrapped = F.collect_list(F.struct(col_(value).alias("v")))
-    return F.array_sort(F.transform(wrapped, lambda s: s["v"]))
+    v = col_(value)
+    nulls = (F.count(F.lit(1)) - F.count(v)).cast("int")
+    return F.concat(F.array_sort(F.collect_list(v)), F.array_repeat(F.lit(None).cast("string"), nulls))
 
 
 def first_element(arr: str | Column) -> Column:
