@@ -239,3 +239,42 @@ def test_unknown_check_mode_raises(spark, workdir):
 
     with pytest.raises(ValueError):
         pipeline.check_report(spark, str(workdir), "bronze")
+
+
+# ---------------------------------------------------------------- files, views, SQL API
+
+
+def test_files_helpers(spark, workdir):
+    from tidemark.sources import files
+
+    assert files.run_id_for(dt.datetime(2024, 1, 2, 3, 4, 5)) == "manual__2024-01-02T03-04-05Z"
+    p = workdir / "page.json"
+    p.write_text(json.dumps([make_issue(1), make_issue(2, is_pull_request=True)]))
+    df = files.read_json_array(spark, str(p))
+    assert df.count() == 2 and "pull_request" in df.columns
+    assert files.export_parquet(df.select("id", "title"), str(workdir / "out")) == 2
+    d = {r.col_name: r.data_type for r in files.describe(df.select("id", "title")).collect()}
+    assert d == {"id": "bigint", "title": "string"}
+
+
+def test_views_and_bound_sql(spark, lake_dirs):
+    from conftest import write_pages
+
+    from tidemark.plans import pipeline
+    from tidemark.sources.storage import Lake
+
+    new_pages, base = lake_dirs
+    d = new_pages()
+    write_pages(d, "acme", "w", "r1", [[make_issue(1, created_at="2024-01-20T00:00:00Z"), make_issue(2)]])
+    pipeline.run_all(spark, str(d), base, dt.datetime(2024, 1, 21))
+    lake = Lake(spark, base)
+    lake.register_views()
+    assert spark.table("silver_issue_current").count() == 2
+    assert spark.table("gold_mart_issue_daily_flow").count() == 20
+    assert spark.table("silver_sync_state").collect()[0].last_successful_bronze_run_id == "r1"
+    got = metrics.opened_in_window_sql(spark, "gold_mart_issue_lifecycle", "acme", "w", "2024-01-21", days=5).collect()
+    assert got[0].opened_in_window == 1
+    metrics.register_open_backlog_view(lake.gold("mart_issue_lifecycle"))
+    assert spark.table("v_open_backlog_snapshot").count() == 2
+    hist = pipeline.manifest_history(spark, base).collect()
+    assert [h.run_id for h in hist] == ["r1"]

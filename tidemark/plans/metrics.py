@@ -254,3 +254,27 @@ def label_group_breakdown(lifecycle: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("issue_count"),
         F.count_if(F.col("is_open") == F.lit(True)).cast("bigint").alias("open_issue_count"),
     )
+
+
+# P16 / P22 -------------------------------------------------------------------
+
+
+def register_open_backlog_view(lifecycle: DataFrame, name: str = "v_open_backlog_snapshot") -> None:
+    """A temp view of open, non-pull-request issues (the mart excludes PRs)."""
+    lifecycle.filter(F.col("is_open") == F.lit(True)).select(
+        "issue_id", "issue_number", "title", "state", "created_at", "updated_at", "comment_count",
+        "label_names", "assignee_logins", "html_url", *REPO_KEYS,
+    ).createOrReplaceTempView(name)
+
+
+def opened_in_window_sql(spark, view: str, owner: str, name: str, as_of, days: int = WINDOW_DAYS) -> DataFrame:
+    """The K2 metric through the SQL API with bound (not spliced) parameters."""
+    return spark.sql(
+        f"SELECT COUNT(*) AS opened_in_window FROM {view} "
+        "WHERE repo_owner = :owner AND repo_name = :name AND created_date >= date_sub(:as_of, :days)",
+        args={"owner": owner, "name": name, "as_of": _as_date(as_of), "days": days},
+    )
+
+
+def _as_date(d):
+    return d if isinstance(d, dt.date) else dt.date.fromisoformat(str(d))

@@ -63,6 +63,11 @@ def land(
     return lake.read_manifests()
 
 
+def manifest_history(spark: SparkSession, base: str) -> DataFrame:
+    """Every landed run, oldest first (ties by run id)."""
+    return Lake(spark, base).read_manifests().orderBy(*REPO_KEYS, "finished_at", "run_id")
+
+
 def latest_runs(spark: SparkSession, base: str) -> DataFrame:
     """E5: latest successful run per repository."""
     return silver.latest_manifests(Lake(spark, base).read_manifests())
