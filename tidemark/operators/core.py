@@ -104,13 +104,27 @@ def densify(
     measures: Sequence[str],
     date_col: str = "calendar_date",
 ) -> DataFrame:
-    """Left-join the sparse daily counts onto the dense spine; gaps become 0."""
-    spine = date_spine(daily, keys, date_col)
-    joined = spine.join(daily, [*keys, date_col], "left")
-    return joined.select(
+    """Fill each key's gaps between its first and last day with zero rows.
+
+    One window pass instead of spine + self-join: every sparse day looks at
+    the key's next day (``lead``) and emits itself plus the empty days up to
+    it. The input is read once (a self-join would evaluate it twice), and
+    the window is partitioned by key over days, so even the hottest key is
+    one row per day. The window's partitioning is reused by any later
+    window on the same key.
+    """
+    w = Window.partitionBy(*_cols(keys)).orderBy(date_col)
+    with_next = daily.select(*_cols(keys), F.col(date_col), *_cols(measures), F.lead(date_col).over(w).alias("_next"))
+    last = F.coalesce(F.date_sub("_next", 1), F.col(date_col))
+    days = F.sequence(F.col(date_col), last, F.expr("INTERVAL 1 DAY"))
+    filled = with_next.select(*_cols(keys), F.col(date_col), *_cols(measures), F.posexplode(days).alias("_pos", "_d"))
+    return filled.select(
         *_cols(keys),
-        F.col(date_col),
-        *[F.coalesce(F.col(m), F.lit(0)).cast("bigint").alias(m) for m in measures],
+        F.col("_d").alias(date_col),
+        *[
+            F.when(F.col("_pos") == 0, F.coalesce(F.col(m), F.lit(0))).otherwise(F.lit(0)).cast("bigint").alias(m)
+            for m in measures
+        ],
     )
 
 
