@@ -12,6 +12,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,11 +56,16 @@ def land(
     """
     configure(spark)
     lake = Lake(spark, base)
-    pages = landing.read_page_files(spark, pages_dir)
-    rows = landing.bronze_rows(pages)
-    rows.write.mode("append").partitionBy("repo_owner", "repo_name", "run_id").parquet(lake.bronze)
-    manifests = landing.manifests_for(pages, finished_at, since, max_pages)
-    append(manifests, lake.manifests)
+    # Two consumers (bronze rows, manifest rows) share one read of the page
+    # files; a lost cached block is recomputed from the files.
+    pages = landing.read_page_files(spark, pages_dir).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        rows = landing.bronze_rows(pages)
+        rows.write.mode("append").partitionBy("repo_owner", "repo_name", "run_id").parquet(lake.bronze)
+        manifests = landing.manifests_for(pages, finished_at, since, max_pages)
+        append(manifests, lake.manifests)
+    finally:
+        pages.unpersist()
     return lake.read_manifests()
 
 
