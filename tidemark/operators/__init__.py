@@ -1,4 +1,5 @@
 from tidemark.operators.core import (  # noqa: F401
+    broadcast_if_small,
     conform,
     daily_event_counts,
     date_spine,

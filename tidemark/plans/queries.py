@@ -507,3 +507,10 @@ def stream_snapshot_merge(spark, sf_dir):
     q = incremental.upsert_stream(stream, sink, incremental.scratch(spark, "snapshot-ckpt"))
     q.awaitTermination()
     return sink.current(spark)
+
+
+@register("rolling_7d")
+def rolling_7d(spark, sf_dir):
+    """The 7-day rolling sums of the dense daily flow."""
+    flow = marts.daily_flow(lifecycle_of(spark, sf_dir))
+    return flow.select("repo_owner", "repo_name", "calendar_date", "rolling_7d_opened", "rolling_7d_closed", "rolling_7d_net_change")

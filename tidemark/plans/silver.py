@@ -90,6 +90,10 @@ def merge_order() -> list[Column]:
     return [F.col(c).desc_nulls_last() for c in MERGE_KEYS]
 
 
+# Upper bound on delta keys that are broadcast (about 100 MB of key rows).
+MAX_BROADCAST_KEYS = 2_000_000
+
+
 def merge_current(existing: DataFrame | None, delta: DataFrame, run_ts) -> DataFrame:
     """Union the prior snapshot and the delta by name, keep the latest per issue.
 
@@ -97,10 +101,26 @@ def merge_current(existing: DataFrame | None, delta: DataFrame, run_ts) -> DataF
     NULL, drifted types via ``try_cast``). Issues absent from the delta carry
     forward; an older version never replaces a newer one. Re-applying a delta
     is a no-op, so a retried run is harmless.
+
+    Incremental case: when the delta's issue keys are few (checked by
+    counting them), they are broadcast; snapshot rows of untouched issues pass
+    through a broadcast anti-join without any shuffle and only touched issues
+    go through the keep-latest window. Otherwise (first load, backfill) the
+    whole union is ranked.
     """
-    frames = [delta] if existing is None else [existing, delta]
-    candidates = ops.union_by_declared_schema(frames, schemas.ISSUE_CURRENT)
-    merged = ops.latest_by_key(candidates, ISSUE_KEYS, merge_order())
+    cand = ops.conform(delta, schemas.ISSUE_CURRENT)
+    if existing is None:
+        merged = ops.latest_by_key(cand, ISSUE_KEYS, merge_order())
+        return merged.withColumn("record_loaded_at", _ts(run_ts))
+    prior = ops.conform(existing, schemas.ISSUE_CURRENT)
+    keys, small = ops.broadcast_if_small(cand.select(*ISSUE_KEYS).distinct(), MAX_BROADCAST_KEYS)
+    if small:
+        untouched = prior.join(keys, ISSUE_KEYS, "left_anti")
+        touched = prior.join(keys, ISSUE_KEYS, "left_semi")
+        winners = ops.latest_by_key(touched.unionByName(cand), ISSUE_KEYS, merge_order())
+        merged = untouched.unionByName(winners)
+    else:
+        merged = ops.latest_by_key(prior.unionByName(cand), ISSUE_KEYS, merge_order())
     return merged.withColumn("record_loaded_at", _ts(run_ts))
 
 
