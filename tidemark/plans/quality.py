@@ -40,6 +40,18 @@ def _per_repo(df: DataFrame) -> DataFrame:
     return df.groupBy(*REPO_KEYS).agg(F.count(F.lit(1)).alias("violations"))
 
 
+def issue_facts(issues: DataFrame, tolerance: str = "1 HOUR") -> DataFrame:
+    """One aggregation pass over the snapshot for the per-repository checks:
+    D1 null ids, D3 closed-before-created, the D6 watermark and the D8 count."""
+    early = F.col("closed_at").isNotNull() & (F.col("closed_at") < F.col("created_at") - F.expr(f"INTERVAL {tolerance}"))
+    return issues.groupBy(*REPO_KEYS).agg(
+        F.count_if(F.col("issue_id").isNull()).cast("bigint").alias("null_ids"),
+        F.count_if(early).cast("bigint").alias("closed_early"),
+        F.max("updated_at").alias("s_max"),
+        F.count_if(F.col("is_pull_request") == F.lit(False)).cast("bigint").alias("non_pr"),
+    )
+
+
 def null_ids(issues: DataFrame) -> DataFrame:
     return _per_repo(issues.filter(F.col("issue_id").isNull()))
 
@@ -57,12 +69,16 @@ def orphans(child: DataFrame, issues: DataFrame) -> DataFrame:
     return _per_repo(ops.orphan_rows(child, issues, ISSUE_KEYS))
 
 
-def sync_mismatch(issues: DataFrame, sync_state: DataFrame | None, manifests: DataFrame) -> DataFrame:
+def sync_mismatch(
+    issues: DataFrame, sync_state: DataFrame | None, manifests: DataFrame, marks: DataFrame | None = None
+) -> DataFrame:
     """D6 per repository: state must name the latest successful run, its finish
     time and the snapshot's max updated_at (NULL-safe). A repository with issues
     or manifests but no state row is a violation too."""
     latest = latest_manifests(manifests).select(*REPO_KEYS, F.col("run_id").alias("m_run"), F.col("finished_at").alias("m_fin"))
-    marks = issues.groupBy(*REPO_KEYS).agg(F.max("updated_at").alias("s_max"))
+    if marks is None:
+        marks = issues.groupBy(*REPO_KEYS).agg(F.max("updated_at").alias("s_max"))
+    marks = marks.select(*REPO_KEYS, "s_max")
     repos = latest.select(*REPO_KEYS).unionByName(marks.select(*REPO_KEYS))
     if sync_state is not None:
         repos = repos.unionByName(sync_state.select(*REPO_KEYS))
@@ -121,20 +137,21 @@ def report(results: dict[str, DataFrame], messages: dict[str, str], repos: DataF
 
 
 def silver_report(issues, labels, assignees, sync_state, manifests) -> DataFrame:
-    repos = issues.select(*REPO_KEYS).unionByName(manifests.select(*REPO_KEYS))
+    facts = issue_facts(issues)
+    repos = facts.select(*REPO_KEYS).unionByName(manifests.select(*REPO_KEYS))
     results = {
-        "D1": null_ids(issues),
+        "D1": facts.select(*REPO_KEYS, F.col("null_ids").alias("violations")),
         "D2": duplicate_ids(issues),
-        "D3": closed_before_created(issues),
+        "D3": facts.select(*REPO_KEYS, F.col("closed_early").alias("violations")),
         "D4": orphans(labels, issues),
         "D5": orphans(assignees, issues),
-        "D6": sync_mismatch(issues, sync_state, manifests),
+        "D6": sync_mismatch(issues, sync_state, manifests, facts),
     }
     return report(results, SILVER_CHECKS, repos)
 
 
 def gold_report(lifecycle, flow, issues) -> DataFrame:
-    repos = issues.select(*REPO_KEYS).unionByName(lifecycle.select(*REPO_KEYS))
+    repos = issues.select(*REPO_KEYS).unionByName(lifecycle.select(*REPO_KEYS)).distinct()
     results = {
         "D7": pr_contamination(lifecycle, issues),
         "D8": lifecycle_count_gap(lifecycle, issues),

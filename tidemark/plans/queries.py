@@ -416,7 +416,7 @@ def schema_evolution(spark, sf_dir):
 
 
 def derived_manifests(spark, sf_dir):
-    bronze = tables.bronze_pages(spark, sf_dir)
+    bronze = tables.bronze_index(spark, sf_dir)
     totals = sv.run_totals(bronze)
     fin = bronze.groupBy("repo_owner", "repo_name", "run_id").agg(F.max("fetched_at").alias("finished_at"))
     return totals.join(fin, ["repo_owner", "repo_name", "run_id"]).withColumn("status", F.lit("success"))
@@ -436,8 +436,20 @@ def latest_runs(spark, sf_dir):
     )
 
 
-def _sync(spark, sf_dir, raw_close=False):
-    return sv.sync_rows(tables.issues(spark, sf_dir, raw_close), derived_manifests(spark, sf_dir), "v1", RUN_TS)
+def materialize(spark, df):
+    """Cut lineage: write ``df`` once to the shared checkpoint folder
+    (``spark.checkpoint.dir``) and read it from there, for inputs that several
+    checks consume."""
+    from tidemark.session import checkpoint_dir
+
+    checkpoint_dir(spark)
+    return df.checkpoint(eager=True)
+
+
+def _sync(spark, sf_dir, raw_close=False, issues=None, manifests=None):
+    issues = issues if issues is not None else tables.issues(spark, sf_dir, raw_close)
+    manifests = manifests if manifests is not None else derived_manifests(spark, sf_dir)
+    return sv.sync_rows(issues, manifests, "v1", RUN_TS)
 
 
 @register("sync_state")
@@ -455,21 +467,23 @@ def watermark_lookback(spark, sf_dir):
 @register("dq_silver")
 def dq_silver(spark, sf_dir):
     """D1-D6 report; closing times taken raw so that D3 finds violations."""
-    issues = tables.issues(spark, sf_dir, raw_close=True)
+    issues = materialize(spark, tables.issues(spark, sf_dir, raw_close=True))
+    manifests = materialize(spark, derived_manifests(spark, sf_dir))
     return quality.silver_report(
         issues,
         tables.issue_labels(spark, sf_dir),
         tables.issue_assignees(spark, sf_dir),
-        _sync(spark, sf_dir, raw_close=True),
-        derived_manifests(spark, sf_dir),
+        _sync(spark, sf_dir, issues=issues, manifests=manifests),
+        manifests,
     )
 
 
 @register("dq_gold")
 def dq_gold(spark, sf_dir):
     """D7-D9 report over the lifecycle and daily-flow marts."""
-    lc = lifecycle_of(spark, sf_dir)
-    return quality.gold_report(lc, marts.daily_flow(lc), tables.issues(spark, sf_dir))
+    issues = materialize(spark, tables.issues(spark, sf_dir))
+    lc = materialize(spark, marts.lifecycle(issues, tables.issue_labels(spark, sf_dir), tables.issue_assignees(spark, sf_dir), RUN_TS))
+    return quality.gold_report(lc, marts.daily_flow(lc), issues)
 
 
 # --------------------------------------------------------------------------

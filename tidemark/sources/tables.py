@@ -227,8 +227,13 @@ def bronze_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(F.lit("pull/"), key).alias("html_url"),
         )).alias("pull_request"),
     ))
+    return j.select(*_landing_columns(), payload.alias("payload_json"))
+
+
+def _landing_columns():
+    """One landing run per order year, one page per order month."""
     created = F.col("created_at")
-    return j.select(
+    return [
         F.concat(F.lit("run_"), F.year(created).cast("string")).alias("run_id"),
         "repo_owner",
         "repo_name",
@@ -236,8 +241,13 @@ def bronze_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.make_timestamp(F.year(created) + 1, F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0)).alias("fetched_at"),
         F.col("issue_id"),
         F.col("updated_at").alias("issue_updated_at"),
-        payload.alias("payload_json"),
-    )
+    ]
+
+
+def bronze_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bronze rows of ``bronze_pages`` without the payload text (for run
+    bookkeeping: manifests, run totals, latest runs)."""
+    return issues(spark, sf_dir).select(*_landing_columns())
 
 
 def event_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
