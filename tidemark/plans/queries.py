@@ -415,8 +415,8 @@ def schema_evolution(spark, sf_dir):
     return _winner_columns(_merge(conformed))
 
 
-def derived_manifests(spark, sf_dir):
-    bronze = tables.bronze_index(spark, sf_dir)
+def derived_manifests(spark, sf_dir, issues=None):
+    bronze = tables.bronze_index(spark, sf_dir, issues)
     totals = sv.run_totals(bronze)
     fin = bronze.groupBy("repo_owner", "repo_name", "run_id").agg(F.max("fetched_at").alias("finished_at"))
     return totals.join(fin, ["repo_owner", "repo_name", "run_id"]).withColumn("status", F.lit("success"))
@@ -448,7 +448,7 @@ def materialize(spark, df):
 
 def _sync(spark, sf_dir, raw_close=False, issues=None, manifests=None):
     issues = issues if issues is not None else tables.issues(spark, sf_dir, raw_close)
-    manifests = manifests if manifests is not None else derived_manifests(spark, sf_dir)
+    manifests = manifests if manifests is not None else derived_manifests(spark, sf_dir, issues)
     return sv.sync_rows(issues, manifests, "v1", RUN_TS)
 
 

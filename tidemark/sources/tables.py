@@ -244,10 +244,11 @@ def _landing_columns():
     ]
 
 
-def bronze_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bronze_index(spark: SparkSession, sf_dir: str, issue_rows: DataFrame | None = None) -> DataFrame:
     """The bronze rows of ``bronze_pages`` without the payload text (for run
     bookkeeping: manifests, run totals, latest runs)."""
-    return issues(spark, sf_dir).select(*_landing_columns())
+    base = issue_rows if issue_rows is not None else issues(spark, sf_dir)
+    return base.select(*_landing_columns())
 
 
 def event_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
