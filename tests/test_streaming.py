@@ -88,3 +88,18 @@ def test_manifest_driven_silver_stream_matches_batch(spark, lake_dirs, workdir):
     assert [s.last_successful_bronze_run_id for s in state] == ["r2"]
     report = pipeline.check_report(spark, base, "silver").collect()
     assert all(r.violations == 0 for r in report)
+
+
+def test_snapshot_sink_compaction(spark, workdir):
+    versions = _versions(spark)
+    src = str(workdir / "src")
+    cut = dt.datetime(2024, 1, 3)
+    versions.filter(F.col("updated_at") < F.lit(cut)).coalesce(1).write.parquet(f"{src}/a")
+    sink = incremental.SnapshotSink(str(workdir / "snap"), ISSUE_KEYS, ["updated_at", "event_id"])
+    stream = lambda: spark.readStream.schema(versions.schema).option("recursiveFileLookup", True).parquet(src)
+    incremental.upsert_stream(stream(), sink, str(workdir / "ckpt")).awaitTermination()
+    sink.compact(spark)
+    versions.filter(F.col("updated_at") >= F.lit(cut)).coalesce(1).write.parquet(f"{src}/b")
+    incremental.upsert_stream(stream(), sink, str(workdir / "ckpt")).awaitTermination()
+    want = ops.latest_by_key(versions, ISSUE_KEYS, [F.col("updated_at").desc(), F.col("event_id").desc()])
+    assert _rows(sink.current(spark)) == _rows(want)

@@ -80,3 +80,29 @@ def checkpoint_dir(spark: SparkSession) -> str:
     local = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return local
+
+
+def scale_settings(input_bytes: int, target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Partition sizing for a job reading ``input_bytes`` (e.g. 100 TB).
+
+    Scan splits and post-shuffle partitions target ``target_partition_bytes``
+    so a task's data fits executor memory with room for sort/aggregation
+    buffers; the initial shuffle width is sized from the input and AQE
+    coalesces it down to the advisory size at run time, and splits skewed
+    partitions of joins.
+    """
+    parts = max(200, -(-input_bytes // target_partition_bytes))
+    size = str(target_partition_bytes)
+    return {
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }
+
+
+def apply_scale_settings(spark: SparkSession, input_bytes: int) -> SparkSession:
+    for key, value in scale_settings(input_bytes).items():
+        spark.conf.set(key, value)
+    return spark

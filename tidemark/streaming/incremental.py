@@ -53,18 +53,64 @@ class SnapshotSink:
     def _order(self) -> list[Column]:
         return [F.col(c).desc_nulls_last() for c in self.order]
 
+    def _commits(self, spark: SparkSession) -> DataFrame | None:
+        from pyspark.errors import AnalysisException
+
+        try:
+            return spark.read.parquet(f"{self.path}/commits")
+        except AnalysisException as exc:  # only a missing folder means "empty"
+            if "PATH_NOT_FOUND" in (exc.getCondition() or ""):
+                return None
+            raise
+
     def current(self, spark: SparkSession) -> DataFrame | None:
+        """Latest row per key: the newest compacted base plus the committed
+        batches after it."""
+        commits = self._commits(spark)
+        if commits is None:
+            return None
+        # one scalar from the (small) commit log
+        covered = commits.filter(F.col("is_base")).agg(F.max("batch_id")).first()[0]
+        batches = commits.filter(~F.col("is_base"))
+        if covered is not None:
+            batches = batches.filter(F.col("batch_id") > covered)
+        frames = []
+        if covered is not None:
+            frames.append(spark.read.parquet(f"{self.path}/base/covered={covered}"))
         try:
-            commits = spark.read.parquet(f"{self.path}/commits")
             data = spark.read.option("basePath", f"{self.path}/data").parquet(f"{self.path}/data")
-        except Exception as exc:  # only a missing folder means "empty"
+            live = data.join(F.broadcast(batches.select(F.col("batch_id").alias("batch"))), "batch", "left_semi")
+            frames.append(live.drop("batch"))
+        except Exception as exc:  # no stream batch written yet
             from pyspark.errors import AnalysisException
 
-            if isinstance(exc, AnalysisException) and "PATH_NOT_FOUND" in (exc.getCondition() or ""):
-                return None
-            raise
-        committed = data.join(commits.select(F.col("batch_id").alias("batch")), "batch", "left_semi")
-        return ops.latest_by_key(committed, self.keys, self._order()).drop("batch")
+            if not (isinstance(exc, AnalysisException) and "PATH_NOT_FOUND" in (exc.getCondition() or "")):
+                raise
+        if not frames:
+            return None
+        union = frames[0]
+        for f in frames[1:]:
+            union = union.unionByName(f)
+        return ops.latest_by_key(union, self.keys, self._order())
+
+    def compact(self, spark: SparkSession) -> None:
+        """Write the current snapshot as a base covering every committed batch;
+        later reads start from it and skip the older batches. Safe to run
+        between triggers: an interrupted compaction has no commit row."""
+        commits = self._commits(spark)
+        if commits is None:
+            return
+        covered = commits.filter(~F.col("is_base")).agg(F.max("batch_id")).first()[0]
+        snap = self.current(spark)
+        if covered is None or snap is None:
+            return
+        snap.write.mode("overwrite").parquet(f"{self.path}/base/covered={covered}")
+        self._commit(spark, covered, is_base=True)
+
+    def _commit(self, spark: SparkSession, batch_id: int, is_base: bool = False) -> None:
+        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        spark.createDataFrame([(batch_id, now, is_base)], "batch_id long, committed_at timestamp, is_base boolean") \
+            .write.mode("append").parquet(f"{self.path}/commits")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -76,9 +122,7 @@ class SnapshotSink:
         union = frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
         winners = ops.latest_by_key(union, self.keys, self._order())
         winners.write.mode("overwrite").parquet(f"{self.path}/data/batch={batch_id}")
-        spark.createDataFrame([(batch_id, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))],
-                              "batch_id long, committed_at timestamp") \
-            .write.mode("append").parquet(f"{self.path}/commits")
+        self._commit(spark, batch_id)
 
 
 def upsert_stream(
