@@ -121,14 +121,18 @@ def merge_runs(spark: SparkSession, base: str, runs: DataFrame, run_ts: dt.datet
     # The run list is tiny (one row per run); the semi-join prunes bronze to
     # the selected run_id partitions.
     delta_raw = lake.read_bronze().join(run_keys, [*REPO_KEYS, "run_id"], "left_semi")
-    delta = silver.flatten(delta_raw, run_ts)
-    touched = runs.select(*REPO_KEYS).distinct()
-    existing = lake.silver("issue_current").join(touched, list(REPO_KEYS), "left_semi")
-    merged = silver.merge_current(existing, delta, run_ts)
-
-    # Write the snapshot once, then derive everything else from the written
-    # version (computed once, lineage cut at the write).
-    write_version(merged, lake.silver_table("issue_current"), version)
+    # The parsed delta feeds the key-count check and the merge: parse the JSON
+    # once (a lost cached block is recomputed from bronze).
+    delta = silver.flatten(delta_raw, run_ts).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        touched = runs.select(*REPO_KEYS).distinct()
+        existing = lake.silver("issue_current").join(touched, list(REPO_KEYS), "left_semi")
+        merged = silver.merge_current(existing, delta, run_ts)
+        # Write the snapshot once, then derive everything else from the written
+        # version (computed once, lineage cut at the write).
+        write_version(merged, lake.silver_table("issue_current"), version)
+    finally:
+        delta.unpersist()
     written = _read_version(spark, lake.silver_table("issue_current"), "ISSUE_CURRENT", version)
     write_version(silver.labels_of(written, run_ts), lake.silver_table("issue_labels"), version)
     write_version(silver.assignees_of(written, run_ts), lake.silver_table("issue_assignees"), version)
