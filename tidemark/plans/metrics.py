@@ -221,6 +221,13 @@ def open_backlog_preview(lifecycle: DataFrame, k: int = PREVIEW_ROWS) -> DataFra
     )
 
 
+def recently_updated(shaped: DataFrame, k: int = PREVIEW_ROWS) -> DataFrame:
+    """L3: the ``k`` most recently updated rows per repository, pull requests included."""
+    order = [F.col("updated_at").desc_nulls_last(), F.col("issue_id").desc()]
+    top = ops.top_k_per_group(shaped, REPO_KEYS, order, k)
+    return top.select(*REPO_KEYS, "issue_id", "issue_number", "title", "state", "created_at", "updated_at", "is_pull_request")
+
+
 # K18-K19 -------------------------------------------------------------------
 
 

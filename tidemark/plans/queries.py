@@ -531,3 +531,9 @@ def rolling_7d(spark, sf_dir):
     """The 7-day rolling sums of the dense daily flow."""
     flow = marts.daily_flow(lifecycle_of(spark, sf_dir))
     return flow.select("repo_owner", "repo_name", "calendar_date", "rolling_7d_opened", "rolling_7d_closed", "rolling_7d_net_change")
+
+
+@register("recently_updated")
+def recently_updated(spark, sf_dir):
+    """L3: ten most recently updated shaped rows per repository (PRs included)."""
+    return metrics.recently_updated(sv.shape_issues(tables.bronze_pages(spark, sf_dir), RUN_TS))

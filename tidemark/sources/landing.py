@@ -55,8 +55,20 @@ def bronze_rows(pages: DataFrame) -> DataFrame:
     )
 
 
+def cut_pages(pages: DataFrame, max_pages: int | None) -> DataFrame:
+    """Q1: keep the first ``max_pages`` pages of each run (0 or None: no limit)."""
+    if not max_pages:
+        return pages
+    return pages.filter(F.col("page_number") <= max_pages)
+
+
 def manifests_for(pages: DataFrame, finished_at, since=None, max_pages: int | None = None) -> DataFrame:
-    """Manifest rows per landed run (A23); empty pages count no page and no record."""
+    """Manifest rows per landed run (A23); empty pages count no page and no record.
+
+    ``pages`` are all page files of the runs; with ``max_pages`` only the first
+    pages count and ``truncated`` records that later pages were left out (the
+    run still commits as a success).
+    """
     n = F.coalesce(F.size("records"), F.lit(0))
     updated = F.aggregate(
         F.transform(F.coalesce("records", F.array().cast("array<string>")),
@@ -64,11 +76,13 @@ def manifests_for(pages: DataFrame, finished_at, since=None, max_pages: int | No
         F.lit(None).cast("timestamp"),
         lambda acc, x: F.greatest(acc, x),
     )
+    kept = F.lit(True) if not max_pages else F.col("page_number") <= max_pages
     per_run = pages.groupBy(*REPO_KEYS, "run_id").agg(
         F.min("fetched_at").alias("started_at"),
-        F.count_if(n > 0).cast("bigint").alias("pages_fetched"),
-        F.sum(n).cast("bigint").alias("records_fetched"),
-        F.max(updated).alias("max_issue_updated_at"),
+        F.count_if(kept & (n > 0)).cast("bigint").alias("pages_fetched"),
+        F.sum(F.when(kept, n).otherwise(0)).cast("bigint").alias("records_fetched"),
+        F.max(F.when(kept, updated)).alias("max_issue_updated_at"),
+        F.count_if(~kept).alias("_cut"),
     )
     return per_run.select(
         "run_id",
@@ -81,5 +95,5 @@ def manifests_for(pages: DataFrame, finished_at, since=None, max_pages: int | No
         "records_fetched",
         "max_issue_updated_at",
         F.lit(None).cast("string").alias("final_url"),
-        (F.lit(max_pages is not None) & (F.col("pages_fetched") >= F.lit(max_pages or 0))).alias("truncated"),
+        (F.col("_cut") > 0).alias("truncated"),
     )

@@ -131,10 +131,21 @@ def read_committed(
 class Lake:
     """The pipeline's tables under one base URI."""
 
+    # Spark setting naming the lake root (any Hadoop URI: file:, s3a:, abfss:, gs: ...).
+    BASE_CONF = "spark.tidemark.base"
+
     def __init__(self, spark: SparkSession, base: str):
         self.spark = spark
         self.base = base.rstrip("/")
 
+    @classmethod
+    def from_conf(cls, spark: SparkSession) -> "Lake":
+        """The lake under the root named by the session setting ``spark.tidemark.base``."""
+        base = spark.conf.get(cls.BASE_CONF, None)
+        if not base:
+            raise ValueError(f"set {cls.BASE_CONF} to the lake root URI")
+        return cls(spark, base)
+
     # locations
     @property
     def bronze(self) -> str:
