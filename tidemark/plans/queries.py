@@ -412,8 +412,9 @@ def schema_evolution(spark, sf_dir):
         "updated_at", F.col("updated_at").cast("string")
     )
     delta = _as_batch(ev.filter(F.col("updated_at") >= F.lit(lo)), MERGE_CUTOFF + dt.timedelta(days=30), "r2")
-    conformed = [ops.conform(f, delta.schema) for f in (legacy, delta)]
-    return _winner_columns(_merge(conformed))
+    union = ops.union_by_declared_schema([legacy, delta], delta.schema)
+    order = [F.col(c).desc_nulls_last() for c in _EVENT_ORDER]
+    return _winner_columns(ops.latest_by_key(union, ISSUE_KEYS, order))
 
 
 def derived_manifests(spark, sf_dir, issues=None):
