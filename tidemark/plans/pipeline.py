@@ -61,7 +61,9 @@ def land(
     pages = landing.read_page_files(spark, pages_dir).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         rows = landing.bronze_rows(landing.cut_pages(pages, max_pages))
-        rows.write.mode("append").partitionBy("repo_owner", "repo_name", "run_id").parquet(lake.bronze)
+        rows.hint("rebalance", "repo_owner", "repo_name", "run_id").write.mode("append").partitionBy(
+            "repo_owner", "repo_name", "run_id"
+        ).parquet(lake.bronze)
         manifests = landing.manifests_for(pages, finished_at, since, max_pages)
         append(manifests, lake.manifests)
     finally:

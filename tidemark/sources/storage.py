@@ -90,9 +90,15 @@ def latest_commits(spark: SparkSession, log_location: str, schema: T.StructType)
 
 
 def write_version(df: DataFrame, location: str, version: str) -> None:
-    """Add one new version directory per repository present in ``df``."""
+    """Add one new version directory per repository present in ``df``.
+
+    The ``rebalance`` hint groups rows by repository before the partitioned
+    write (few, well-sized files per repository instead of one per task and
+    repository); AQE splits a hot repository's partition into several tasks.
+    """
     (
         df.withColumn("version", F.lit(version))
+        .hint("rebalance", "repo_owner", "repo_name")
         .write.mode("append")
         .partitionBy("repo_owner", "repo_name", "version")
         .parquet(location)
