@@ -438,6 +438,10 @@ def latest_runs(spark, sf_dir):
     )
 
 
+# Columns of the snapshot that the silver checks read.
+QUALITY_ISSUE_COLUMNS = [*ISSUE_KEYS, "created_at", "closed_at", "updated_at", "is_pull_request"]
+
+
 def materialize(spark, df):
     """Cut lineage: write ``df`` once as a Parquet table in the shared
     checkpoint folder (``spark.checkpoint.dir``) and read it back, for inputs
@@ -471,8 +475,10 @@ def watermark_lookback(spark, sf_dir):
 @register("dq_silver")
 def dq_silver(spark, sf_dir):
     """D1-D6 report; closing times taken raw so that D3 finds violations."""
-    issues = materialize(spark, tables.issues(spark, sf_dir, raw_close=True))
-    manifests = materialize(spark, derived_manifests(spark, sf_dir))
+    issues = materialize(spark, tables.issues(spark, sf_dir, raw_close=True).select(*QUALITY_ISSUE_COLUMNS))
+    # run ids and finish times depend on creation days only, so the manifests
+    # come from the same materialized rows
+    manifests = derived_manifests(spark, sf_dir, issues)
     return quality.silver_report(
         issues,
         tables.issue_labels(spark, sf_dir),
@@ -485,9 +491,12 @@ def dq_silver(spark, sf_dir):
 @register("dq_gold")
 def dq_gold(spark, sf_dir):
     """D7-D9 report over the lifecycle and daily-flow marts."""
-    issues = materialize(spark, tables.issues(spark, sf_dir))
-    lc = materialize(spark, marts.lifecycle(issues, tables.issue_labels(spark, sf_dir), tables.issue_assignees(spark, sf_dir), RUN_TS))
-    return quality.gold_report(lc, marts.daily_flow(lc), issues)
+    issues = tables.issues(spark, sf_dir)
+    lc = marts.lifecycle(issues, tables.issue_labels(spark, sf_dir), tables.issue_assignees(spark, sf_dir), RUN_TS)
+    # only what the gold checks read: keys, PR flag, event days
+    lc = materialize(spark, lc.select(*ISSUE_KEYS, "created_date", "closed_date", "is_closed"))
+    flags = materialize(spark, issues.select(*ISSUE_KEYS, "is_pull_request"))
+    return quality.gold_report(lc, marts.daily_flow(lc), flags)
 
 
 # --------------------------------------------------------------------------
