@@ -278,3 +278,49 @@ def test_views_and_bound_sql(spark, lake_dirs):
     assert spark.table("v_open_backlog_snapshot").count() == 2
     hist = pipeline.manifest_history(spark, base).collect()
     assert [h.run_id for h in hist] == ["r1"]
+
+
+# ---------------------------------------------------------------- exact mart and metric values
+
+
+def test_weekday_rhythm_and_monthly_quantiles_exact(spark):
+    t = dt.datetime
+    iss = _issues(spark, [
+        (1, "o", "r", "closed", t(2024, 1, 1), t(2024, 1, 2), False),  # Mon -> Tue, age 1
+        (2, "o", "r", "closed", t(2024, 1, 1), t(2024, 1, 4), False),  # Mon -> Thu, age 3
+        (3, "o", "r", "closed", t(2024, 1, 2), t(2024, 1, 12), False),  # Tue -> Fri, age 10
+        (4, "o", "r", "closed", t(2023, 9, 1), t(2024, 1, 20), False),  # age 141
+        (5, "o", "r", "open", t(2024, 1, 7), None, False),  # Sunday
+    ])
+    lc = marts.lifecycle(iss, *_empty_children(spark), RUN_TS)
+    wk = {(r.event_type, r.weekday_name): r.issue_count for r in marts.weekday_rhythm(lc).collect()}
+    assert wk == {
+        ("opened", "Monday"): 2, ("opened", "Tuesday"): 1, ("opened", "Friday"): 1, ("opened", "Sunday"): 1,
+        ("closed", "Tuesday"): 1, ("closed", "Thursday"): 1, ("closed", "Friday"): 1, ("closed", "Saturday"): 1,
+    }
+    m = marts.closure_age_monthly(lc).collect()
+    assert len(m) == 1 and m[0].year_month == dt.date(2024, 1, 1)
+    # ages 1, 3, 10, 141: lower median 3, p90 141
+    assert (m[0].closed_issue_count, m[0].median_closure_age_days, m[0].p90_closure_age_days) == (4, 3, 141)
+    assert (m[0].share_closed_within_7d, m[0].share_closed_after_90d) == (0.5, 0.25)
+    avg = metrics.mean_share(marts.closure_age_monthly(lc), "share_closed_within_7d").collect()[0]
+    assert avg.avg_share_closed_within_7d == 0.5
+
+
+def test_window_boundary_is_inclusive(spark):
+    t = dt.datetime
+    as_of = dt.date(2024, 7, 1)
+    start = as_of - dt.timedelta(days=180)
+    iss = _issues(spark, [
+        (1, "o", "r", "open", t(start.year, start.month, start.day), None, False),  # exactly as_of - 180
+        (2, "o", "r", "open", t(start.year, start.month, start.day) - dt.timedelta(days=1), None, False),
+        (3, "o", "r", "closed", t(2024, 6, 1), t(2024, 6, 20), False),
+    ])
+    lc = marts.lifecycle(iss, *_empty_children(spark), RUN_TS)
+    assert metrics.opened_in_window(lc, as_of).collect()[0].opened_in_window == 2
+    assert metrics.closed_in_window(lc, as_of).collect()[0].closed_in_window == 1
+    flow = marts.daily_flow(lc)
+    assert metrics.net_change_in_window(flow, as_of).collect()[0].net_change_in_window == 1
+    assert metrics.backlog_direction(flow, as_of).collect()[0].direction == "Flat"
+    series = metrics.cumulative_series(flow, as_of).collect()
+    assert series[0].calendar_date == start and series[0].cumulative_net_change == 2  # counts from history start
