@@ -59,7 +59,8 @@ _DDL["BRONZE_PAGES"] = _struct(
 _DDL["MANIFESTS"] = _struct(
     "run_id STRING, repo_owner STRING, repo_name STRING, status STRING, "
     "started_at TIMESTAMP, finished_at TIMESTAMP, since TIMESTAMP, pages_fetched BIGINT, "
-    "records_fetched BIGINT, max_issue_updated_at TIMESTAMP, final_url STRING, truncated BOOLEAN"
+    "records_fetched BIGINT, max_issue_updated_at TIMESTAMP, final_url STRING, truncated BOOLEAN, "
+    "rejected_pages BIGINT, rejected_records BIGINT"
 )
 
 _DDL["ISSUE_CURRENT"] = _struct(

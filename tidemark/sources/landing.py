@@ -77,7 +77,13 @@ def manifests_for(pages: DataFrame, finished_at, since=None, max_pages: int | No
         lambda acc, x: F.greatest(acc, x),
     )
     kept = F.lit(True) if not max_pages else F.col("page_number") <= max_pages
+    # H8: malformed input is counted, never silently lost: a page that is not
+    # a JSON array, and records without an id (they never reach silver).
+    no_id = F.size(F.filter(F.coalesce("records", F.array().cast("array<string>")),
+                            lambda r: tf.try_long(F.get_json_object(r, "$.id")).isNull()))
     per_run = pages.groupBy(*REPO_KEYS, "run_id").agg(
+        F.count_if(kept & F.col("records").isNull()).cast("bigint").alias("rejected_pages"),
+        F.sum(F.when(kept, no_id).otherwise(0)).cast("bigint").alias("rejected_records"),
         F.min("fetched_at").alias("started_at"),
         F.count_if(kept & (n > 0)).cast("bigint").alias("pages_fetched"),
         F.sum(F.when(kept, n).otherwise(0)).cast("bigint").alias("records_fetched"),
@@ -96,4 +102,6 @@ def manifests_for(pages: DataFrame, finished_at, since=None, max_pages: int | No
         "max_issue_updated_at",
         F.lit(None).cast("string").alias("final_url"),
         (F.col("_cut") > 0).alias("truncated"),
+        "rejected_pages",
+        "rejected_records",
     )
