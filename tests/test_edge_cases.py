@@ -324,3 +324,19 @@ def test_window_boundary_is_inclusive(spark):
     assert metrics.backlog_direction(flow, as_of).collect()[0].direction == "Flat"
     series = metrics.cumulative_series(flow, as_of).collect()
     assert series[0].calendar_date == start and series[0].cumulative_net_change == 2  # counts from history start
+
+
+def test_scale_settings_size_partitions_from_input():
+    from tidemark.session import scale_settings
+
+    s = scale_settings(100 * 1024**4)  # 100 TB
+    assert int(s["spark.sql.shuffle.partitions"]) == 100 * 1024**4 // (256 * 1024**2)
+    assert s["spark.sql.files.maxPartitionBytes"] == str(256 * 1024**2)
+    assert int(scale_settings(10 * 1024**2)["spark.sql.shuffle.partitions"]) == 200  # floor for small inputs
+
+
+def test_broadcast_only_behind_size_check(spark):
+    small, ok = ops.broadcast_if_small(spark.range(10), 10)
+    assert ok and small.count() == 10
+    big, ok = ops.broadcast_if_small(spark.range(11), 10)
+    assert not ok and big.count() == 11
