@@ -340,3 +340,17 @@ def test_broadcast_only_behind_size_check(spark):
     assert ok and small.count() == 10
     big, ok = ops.broadcast_if_small(spark.range(11), 10)
     assert not ok and big.count() == 11
+
+
+def test_merge_fallback_path_when_delta_keys_exceed_bound(spark, monkeypatch):
+    """Above the broadcast bound the whole union is ranked; results are the same."""
+    recs = [
+        make_issue(1, title="old", updated_at="2024-01-01T00:00:00Z"),
+        make_issue(2, title="keep", updated_at="2024-01-01T00:00:00Z"),
+    ]
+    existing = silver.merge_current(None, silver.flatten(bronze(spark, recs, run_id="r1"), RUN_TS), RUN_TS)
+    delta = silver.flatten(bronze(spark, [make_issue(1, title="new", updated_at="2024-01-05T00:00:00Z")], run_id="r2"), RUN_TS)
+    targeted = {r.issue_id: r.title for r in silver.merge_current(existing, delta, RUN_TS).collect()}
+    monkeypatch.setattr(silver, "MAX_BROADCAST_KEYS", 0)
+    full = {r.issue_id: r.title for r in silver.merge_current(existing, delta, RUN_TS).collect()}
+    assert targeted == full == {1: "new", 2: "keep"}
