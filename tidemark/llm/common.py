@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 #: Java pattern of one word: everything between ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Spark's setting that removes a query's shuffle files at its end.
+CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: ASCII white space, as ``bytes.split()`` splits.
 SPACES = b" \t\n\x0b\x0c\r"
 
@@ -48,10 +50,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
     Cuts the lineage with files that every executor can read, so a lost executor
     costs at most the running stage, and several readers share one computation.
+    Once the table is written, the shuffle files that made it are not needed and
+    are removed, instead of staying until the driver collects its garbage.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEAN_SHUFFLES, "false")
+    spark.conf.set(CLEAN_SHUFFLES, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEAN_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -10,7 +10,8 @@ doc_id, then line number) is similar: Jaccard of at least ``threshold``.
    of all documents hold is one class. Only the classes' first lines go on.
 3. Prefix filter: similar sets share one of their first ``n - ceil(t n) + 1`` words.
    Classes are joined on these words, under the length filter (``n`` within ``t``) and
-   the positional filter (the places of the shared word leave enough words to share).
+   the positional filter (the places of the shared word leave enough words to share) and
+   a parity filter (128 parities of each set bound from below how many words differ).
 4. Candidates are verified on their whole sets. Those are made again from the texts, of
    the candidates' first lines only: a bitmap of fixed size lets their lines pass, and
    the join that follows is exact.
@@ -24,6 +25,8 @@ table gives an empty result; other columns are kept.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,10 +40,9 @@ BITMAP_BITS, ROW_BITS = 2 ** 22, 32_768
 LINE_ROOM = 2 ** 32
 
 
-def word_hashes(line: Column) -> Column:
-    """The hashes of the different words of a line."""
-    words = F.filter(F.split(F.lower(line), r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    return F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))
+def words_of(line: Column) -> Column:
+    """The lower-cased words of a line, and empty strings."""
+    return F.split(reduce(lambda text, space: F.replace(text, F.lit(space), F.lit(" ")), "\t\x0b\x0c\r", F.lower(line)), " ")
 
 
 def place() -> Column:
@@ -60,7 +62,8 @@ def rarity(docs: DataFrame, buckets: int = RARITY_BUCKETS) -> Column:
     The counts are of all words of all lines; ``buckets`` numbers reach the driver, whatever the corpus.
     """
     bucket = F.pmod("h", F.lit(buckets)).cast("int").alias("bucket")
-    found = text_lines(docs).select(F.explode(word_hashes(F.col("content"))).alias("h")).groupBy(bucket).count().collect()
+    words = docs.select(F.explode(words_of(F.replace("text", F.lit("\n"), F.lit(" ")))).alias("word")).filter("word <> ''")
+    found = words.select(F.xxhash64("word").alias("h")).groupBy(bucket).count().collect()
     counts = dict.fromkeys(range(buckets), 0) | {r["bucket"]: r["count"] for r in found}
     rank = {b: k for k, b in enumerate(sorted(counts, key=lambda b: (counts[b], b)))}
     # one string, which the optimiser folds into one array, instead of an expression for each number
@@ -69,10 +72,21 @@ def rarity(docs: DataFrame, buckets: int = RARITY_BUCKETS) -> Column:
 
 def set_of(line: Column, ranks: Column, buckets: int = RARITY_BUCKETS) -> Column:
     """The set of a line as sorted order keys, rarest first: bucket rank, then the other bits of the hash."""
-    return F.array_sort(F.transform(word_hashes(line), lambda h: F.shiftleft(
+    hashes = F.array_distinct(F.array_remove(F.transform(words_of(line), lambda w: F.xxhash64(w)), F.xxhash64(F.lit(""))))
+    return F.sort_array(F.transform(hashes, lambda h: F.shiftleft(
         F.get(ranks, F.pmod(h, F.lit(buckets)).cast("int")), 48).bitwiseOR(F.shiftrightunsigned(h, 16))))
 
 
+def parities(words: Column) -> list[Column]:
+    """128 parities of a set, as two longs: sets differ in at least as many words as their parities differ in bits."""
+    def half(which: int) -> Column:
+        own = F.filter(words, lambda w: w.bitwiseAND(F.lit(64).cast("long")) == which)
+        return F.aggregate(own, F.lit(0).cast("long"), lambda a, w: a.bitwiseXOR(
+            F.call_function("shiftleft", F.lit(1).cast("long"), w.bitwiseAND(F.lit(63).cast("long")).cast("int"))))
+
+    return [half(0).alias("parity"), half(64).alias("parity2")]
+
+
 def needed(n: Column, threshold: float) -> Column:
     """ceil(threshold * n), safe from the rounding of the product."""
     return F.ceil(n * threshold - 1e-9).cast("int")
@@ -83,24 +97,30 @@ def classes(docs: DataFrame, ranks: Column, threshold: float = THRESHOLD) -> tup
     found = text_lines(docs).select("doc_id", "line", set_of(F.col("content"), ranks).alias("words")).filter(F.size("words") > 0)
     n = F.size("words")
     prefix = F.transform(F.slice("words", 1, n - needed(n, threshold) + 1), lambda w: F.hash(w))
-    lines = materialize(found.select(
-        "doc_id", "line", F.xxhash64("words").alias("id"), n.alias("n"), prefix.alias("prefix")), "lines")
-    own = lines.groupBy("id", "n", "prefix").agg(F.min(place()).alias("first"))
-    return lines.select("doc_id", "line", "id"), materialize(own, "line-classes")
+    lines = materialize(found.select("doc_id", "line", F.xxhash64("words").alias("id"), n.alias("n"),
+                                     *parities(F.col("words")), prefix.alias("prefix")), "lines")
+    own = lines.groupBy("id", "n", "parity", "parity2", "prefix").agg(F.min(place()).alias("first"))
+    return lines.select("doc_id", "line", "id"), materialize(own.withColumn("tag", F.shiftright("id", 32).cast("int")), "line-classes")
 
 
 def candidates(own: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Pairs (a, b) of classes, a the one of the earlier first line, that pass all filters."""
-    index = own.select("id", "n", "first", F.posexplode("prefix").alias("at", "word"))
+    """Pairs (a, b) of classes that pass all filters, named by the places of their first lines; a is earlier."""
+    index = own.select("n", "parity", "parity2", "tag", F.posexplode("prefix").alias("at", "word"))
     a, b = index.alias("a"), index.alias("b")
     n_a, n_b = F.col("a.n"), F.col("b.n")
-    small, large = F.least(n_a, n_b), F.greatest(n_a, n_b)
-    # of all shared words: those before both places, this one, and those after both places
-    most = F.least("a.at", "b.at") + 1 + F.least(n_a - F.col("a.at"), n_b - F.col("b.at")) - 1
+    # of all shared words: those before both places, and those from the places on
+    most = F.least("a.at", "b.at") + F.least(n_a - F.col("a.at"), n_b - F.col("b.at"))
     shared = F.ceil((n_a + n_b) * (threshold / (1 + threshold)) - 1e-9)
-    return a.join(b, (F.col("a.word") == F.col("b.word")) & (F.col("a.first") < F.col("b.first"))
-                  & (small >= needed(large, threshold)) & (most >= shared)) \
-        .select(F.col("a.first").alias("a"), F.col("b.first").alias("b")).distinct()
+    differ = sum(F.bit_count(F.col(f"a.{p}").bitwiseXOR(F.col(f"b.{p}"))) for p in ("parity", "parity2"))
+    once = (F.col("a.parity") < F.col("b.parity")) | (
+        (F.col("a.parity") == F.col("b.parity")) & (F.col("a.tag") < F.col("b.tag")))
+    met = a.join(b, (F.col("a.word") == F.col("b.word")) & once
+                 & (F.least(n_a, n_b) >= needed(F.greatest(n_a, n_b), threshold)) & (most >= shared)
+                 & (differ <= n_a + n_b - 2 * shared)) \
+        .select(F.col("a.parity").alias("pa"), F.col("a.tag").alias("ta"), F.col("b.parity").alias("pb"), F.col("b.tag").alias("tb")).distinct()
+    firsts = own.select("parity", "tag", "first")
+    named = met.join(firsts.toDF("pa", "ta", "fa"), ["pa", "ta"]).join(firsts.toDF("pb", "tb", "fb"), ["pb", "tb"])
+    return named.select(F.least("fa", "fb").alias("a"), F.greatest("fa", "fb").alias("b")).filter("a < b").distinct()
 
 
 def lines_at(docs: DataFrame, places: DataFrame) -> DataFrame:
@@ -134,8 +154,8 @@ def removed_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     lines, own = classes(docs, ranks, threshold)
     later = similar(docs, own, ranks, threshold).select(F.col("b").alias("first")).distinct()
     gone = own.select("id", "first").join(later.withColumn("matched", F.lit(True)), "first", "left")
-    return lines.join(gone, "id").filter((place() != F.col("first")) | F.col("matched")) \
-        .groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("removed"))
+    return materialize(lines.join(gone, "id").filter((place() != F.col("first")) | F.col("matched"))
+                       .groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("removed")), "removed-lines")
 
 
 def deduplicate(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
