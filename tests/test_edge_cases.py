@@ -49,7 +49,7 @@ def test_json_nulls_and_key_presence(spark):
     assert rows[1].assignee_count == 0 and rows[1].author_login is None
     assert rows[1].is_pull_request is False
     assert rows[2].is_pull_request is True and rows[2].pull_request_url is None
-    assert rows[3].is_pull_request is True and rows[3].pull_request_url.endswith("/pulls/3")
+    assert rows[3].is_pull_request is True and rows[3].pull_request_url.endswith("/url/3")
 
 
 def test_bad_fields_null_but_row_survives(spark):
@@ -335,22 +335,23 @@ def test_scale_settings_size_partitions_from_input():
     assert int(scale_settings(10 * 1024**2)["spark.sql.shuffle.partitions"]) == 200  # floor for small inputs
 
 
-def test_broadcast_only_behind_size_check(spark):
-    small, ok = ops.broadcast_if_small(spark.range(10), 10)
-    assert ok and small.count() == 10
-    big, ok = ops.broadcast_if_small(spark.range(11), 10)
-    assert not ok and big.count() == 11
-
-
-def test_merge_fallback_path_when_delta_keys_exceed_bound(spark, monkeypatch):
-    """Above the broadcast bound the whole union is ranked; results are the same."""
-    recs = [
-        make_issue(1, title="old", updated_at="2024-01-01T00:00:00Z"),
-        make_issue(2, title="keep", updated_at="2024-01-01T00:00:00Z"),
-    ]
-    existing = silver.merge_current(None, silver.flatten(bronze(spark, recs, run_id="r1"), RUN_TS), RUN_TS)
-    delta = silver.flatten(bronze(spark, [make_issue(1, title="new", updated_at="2024-01-05T00:00:00Z")], run_id="r2"), RUN_TS)
-    targeted = {r.issue_id: r.title for r in silver.merge_current(existing, delta, RUN_TS).collect()}
-    monkeypatch.setattr(silver, "MAX_BROADCAST_KEYS", 0)
-    full = {r.issue_id: r.title for r in silver.merge_current(existing, delta, RUN_TS).collect()}
-    assert targeted == full == {1: "new", 2: "keep"}
+def test_merge_ranks_the_whole_union(spark):
+    """Rows of an old snapshot that a clean one never has (no id, twice the same key) do not survive a merge."""
+    at = "2031-02-01T00:00:00Z"
+    old = silver.flatten(bronze(spark, [make_issue(1, title="old", updated_at=at), make_issue(2, title="keep", updated_at=at)]), RUN_TS)
+    lost = old.limit(1).withColumn("issue_id", F.lit(None).cast("long"))
+    prior = old.unionByName(old).unionByName(lost).unionByName(lost)
+    delta = silver.flatten(bronze(spark, [make_issue(1, title="new", updated_at="2031-02-03T00:00:00Z")], run_id="r2"), RUN_TS)
+    got = silver.merge_current(prior, delta, RUN_TS).collect()
+    assert sorted((r.issue_id or 0, r.title) for r in got if r.issue_id) == [(1, "new"), (2, "keep")] and len(got) == 3
+
+
+def test_monthly_quantiles_are_exact_in_large_groups(spark):
+    n = 60_000
+    lc = spark.range(n).select(
+        F.lit("o").alias("repo_owner"), F.lit("r").alias("repo_name"), F.lit(True).alias("is_closed"),
+        F.lit("2031-05-06").cast("date").alias("closed_date"), F.pmod(F.xxhash64("id"), F.lit(30011)).alias("closure_age_days"))
+    ages = sorted(r[0] for r in lc.select("closure_age_days").collect())
+    got = marts.closure_age_monthly(lc).first()
+    assert (got.median_closure_age_days, got.p90_closure_age_days) == (ages[n // 2 - 1], ages[n * 9 // 10 - 1])
+    assert got.closed_issue_count == n

@@ -1,5 +1,4 @@
 from tidemark.operators.core import (  # noqa: F401
-    broadcast_if_small,
     conform,
     daily_event_counts,
     date_spine,

@@ -34,19 +34,6 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
-    """Mark ``df`` for broadcast only after checking its size.
-
-    Counts the rows (one small job; use it on key lists, pointer tables and
-    deltas, never on fact tables) and returns ``(broadcast(df), True)`` when at
-    most ``max_rows``; otherwise ``(df, False)`` so the caller can take a
-    shuffle-based path.
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df), True
-    return df, False
-
-
 def union_by_declared_schema(frames: Sequence[DataFrame], schema) -> DataFrame:
     """UNION ALL BY NAME onto a declared schema.
 

@@ -10,14 +10,13 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark import functions as tf
 from tidemark import operators as ops
 from tidemark.schemas import ISSUE_KEYS, REPO_KEYS
 
-# Accuracy of the quantile sketch; exact for groups up to this many rows.
-QUANTILE_ACCURACY = 10000
 
 
 def lifecycle(
@@ -93,30 +92,28 @@ def daily_flow(lc: DataFrame) -> DataFrame:
     )
 
 
-def closure_age_monthly(lc: DataFrame, accuracy: int = QUANTILE_ACCURACY) -> DataFrame:
+def closure_age_monthly(lc: DataFrame) -> DataFrame:
     """M3: closed count, median / p90 age and two shares per repo and month.
 
-    Quantiles come from one mergeable sketch per group (partial aggregation
-    map-side), so a hot repository-month never gathers its rows in one task.
+    Ages are whole days, so a month is a short list of (age, count): counted with
+    map-side partial sums, then the discrete quantiles are read off the cumulative
+    counts. Exact at every size, and a hot repository-month is a few rows.
     """
-    age = F.col("closure_age_days")
+    age, month = F.col("closure_age_days"), [*REPO_KEYS, "year_month"]
     closed = lc.filter(
         (F.col("is_closed") == F.lit(True)) & F.col("closed_date").isNotNull() & age.isNotNull()
     )
-    agg = closed.groupBy(*REPO_KEYS, tf.month_start("closed_date").alias("year_month")).agg(
-        F.count(F.lit(1)).alias("closed_issue_count"),
-        F.percentile_approx(age, [0.5, 0.9], accuracy).alias("_q"),
-        F.sum(F.when(age <= 7, 1).otherwise(0)).alias("_n7"),
-        F.sum(F.when(age > 90, 1).otherwise(0)).alias("_n90"),
-    )
-    return agg.select(
-        *REPO_KEYS,
-        "year_month",
-        "closed_issue_count",
-        F.get("_q", 0).cast("bigint").alias("median_closure_age_days"),
-        F.get("_q", 1).cast("bigint").alias("p90_closure_age_days"),
-        (F.col("_n7").cast("double") / F.col("closed_issue_count")).alias("share_closed_within_7d"),
-        (F.col("_n90").cast("double") / F.col("closed_issue_count")).alias("share_closed_after_90d"),
+    by_age = closed.groupBy(*REPO_KEYS, tf.month_start("closed_date").alias("year_month"), age.alias("age")).agg(
+        F.count(F.lit(1)).alias("n"))
+    upto = by_age.withColumn("upto", F.sum("n").over(Window.partitionBy(*month).orderBy("age"))).withColumn(
+        "total", F.sum("n").over(Window.partitionBy(*month)))
+    # the youngest age that at least the share has reached, in whole numbers (10ths)
+    return upto.groupBy(*month).agg(
+        F.max("total").alias("closed_issue_count"),
+        F.min(F.when(F.col("upto") * 10 >= F.col("total") * 5, F.col("age"))).cast("bigint").alias("median_closure_age_days"),
+        F.min(F.when(F.col("upto") * 10 >= F.col("total") * 9, F.col("age"))).cast("bigint").alias("p90_closure_age_days"),
+        (F.sum(F.when(F.col("age") <= 7, F.col("n")).otherwise(0)).cast("double") / F.max("total")).alias("share_closed_within_7d"),
+        (F.sum(F.when(F.col("age") > 90, F.col("n")).otherwise(0)).cast("double") / F.max("total")).alias("share_closed_after_90d"),
     )
 
 

@@ -12,7 +12,6 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,11 +20,12 @@ from tidemark.plans import marts, quality, silver
 from tidemark.schemas import REPO_KEYS
 from tidemark.session import configure
 from tidemark.sources import landing
-from tidemark.sources.storage import Lake, append, write_version
+from tidemark.sources.storage import Lake, append, commit, next_sequence, write_version
 
 
-def _version(run_ts: dt.datetime) -> str:
-    return f"{run_ts:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
+def _version(sequence: int, run_ts: dt.datetime) -> str:
+    """A version's name: versions are ordered by sequence, not by the caller's clock."""
+    return f"{sequence:012d}-{run_ts:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
 
 
 def _repo_filter(df: DataFrame, repos: list[tuple[str, str]] | None) -> DataFrame:
@@ -47,27 +47,22 @@ def land(
     base: str,
     finished_at: dt.datetime,
     since: dt.datetime | None = None,
-    max_pages: int | None = None,
 ) -> DataFrame:
-    """Land every page file under ``pages_dir``; then commit one manifest row per run.
+    """Land the page files under ``pages_dir`` of runs not landed yet; then commit one manifest row per run.
 
     Pages are written first, the manifest last (I8): if the write fails, no
-    manifest exists and silver never sees the run (I3).
+    manifest exists and silver never sees the run (I3). A run has a folder of its
+    own that is replaced, so a landing repeated after a failure leaves no page
+    twice; a run with a manifest is left alone.
     """
     configure(spark)
     lake = Lake(spark, base)
-    # Two consumers (bronze rows, manifest rows) share one read of the page
-    # files; a lost cached block is recomputed from the files.
-    pages = landing.read_page_files(spark, pages_dir).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        rows = landing.bronze_rows(landing.cut_pages(pages, max_pages))
-        rows.hint("rebalance", "repo_owner", "repo_name", "run_id").write.mode("append").partitionBy(
-            "repo_owner", "repo_name", "run_id"
-        ).parquet(lake.bronze)
-        manifests = landing.manifests_for(pages, finished_at, since, max_pages)
-        append(manifests, lake.manifests)
-    finally:
-        pages.unpersist()
+    landed = lake.read_manifests().select(*REPO_KEYS, "run_id")
+    pages = landing.read_page_files(spark, pages_dir).join(landed, [*REPO_KEYS, "run_id"], "left_anti")
+    landing.bronze_rows(pages).hint("rebalance", "repo_owner", "repo_name", "run_id").write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy("repo_owner", "repo_name", "run_id").parquet(lake.bronze)
+    append(landing.manifests_for(pages, finished_at, since), lake.manifests)
     return lake.read_manifests()
 
 
@@ -108,7 +103,7 @@ def build_silver(
     """
     configure(spark)
     lake = Lake(spark, base)
-    runs = _repo_filter(silver.runs_to_merge(lake.read_manifests(), lake.sync_state()), repos)
+    runs = _repo_filter(silver.runs_to_merge(lake.read_manifests(), lake.merged_runs()), repos)
     return merge_runs(spark, base, runs, run_ts)
 
 
@@ -118,30 +113,34 @@ def merge_runs(spark: SparkSession, base: str, runs: DataFrame, run_ts: dt.datet
     commit one sync-state row per repository (the commit point)."""
     configure(spark)
     lake = Lake(spark, base)
-    version = _version(run_ts)
+    sequence = next_sequence(spark, lake.sync_log, schemas.SYNC_LOG)
+    version = _version(sequence, run_ts)
     run_keys = runs.select(*REPO_KEYS, "run_id")
     # The run list is tiny (one row per run); the semi-join prunes bronze to
     # the selected run_id partitions.
     delta_raw = lake.read_bronze().join(run_keys, [*REPO_KEYS, "run_id"], "left_semi")
-    # The parsed delta feeds the key-count check and the merge: parse the JSON
-    # once (a lost cached block is recomputed from bronze).
-    delta = silver.flatten(delta_raw, run_ts).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        touched = runs.select(*REPO_KEYS).distinct()
-        existing = lake.silver("issue_current").join(touched, list(REPO_KEYS), "left_semi")
-        merged = silver.merge_current(existing, delta, run_ts)
-        # Write the snapshot once, then derive everything else from the written
-        # version (computed once, lineage cut at the write).
-        write_version(merged, lake.silver_table("issue_current"), version)
-    finally:
-        delta.unpersist()
+    delta = silver.flatten(delta_raw, run_ts)
+    touched = runs.select(*REPO_KEYS).distinct()
+    existing = lake.silver("issue_current").join(touched, list(REPO_KEYS), "left_semi")
+    merged = silver.merge_current(existing, delta, run_ts)
+    # Write the snapshot once, then derive everything else from the written
+    # version (computed once, lineage cut at the write).
+    write_version(merged, lake.silver_table("issue_current"), version)
     written = _read_version(spark, lake.silver_table("issue_current"), "ISSUE_CURRENT", version)
     write_version(silver.labels_of(written, run_ts), lake.silver_table("issue_labels"), version)
     write_version(silver.assignees_of(written, run_ts), lake.silver_table("issue_assignees"), version)
 
-    commits = silver.sync_rows(written, runs, version, run_ts)
-    append(commits, lake.sync_log)  # commit point (I7)
-    return commits
+    # the state names the newest of all merged runs, also when an older run arrives late
+    fresh = runs.select(*REPO_KEYS, "run_id", "finished_at")
+    before = lake.merged_runs()
+    every = fresh if before is None else fresh.unionByName(
+        before.select(*fresh.columns).join(touched, list(REPO_KEYS), "left_semi"))
+    commits = silver.sync_rows(written, every, version, run_ts)
+    # the run list counts only with its version's commit row, which comes last
+    append(fresh.withColumn("version", F.lit(version)), lake.merged_log)
+    commit(commits, lake.sync_log, schemas.SYNC_LOG, sequence)
+    # the selection of ``runs`` now finds nothing: return what is stored
+    return lake.sync_state().filter(F.col("version") == version)
 
 
 def _read_version(spark: SparkSession, location: str, schema_name: str, version: str) -> DataFrame:
@@ -177,7 +176,8 @@ def import_snapshot(spark: SparkSession, base: str, legacy_path: str, run_ts: dt
     """
     configure(spark)
     lake = Lake(spark, base)
-    version = _version(run_ts)
+    sequence = next_sequence(spark, lake.sync_log, schemas.SYNC_LOG)
+    version = _version(sequence, run_ts)
     legacy = spark.read.parquet(legacy_path)
     touched = legacy.select(*REPO_KEYS).distinct()
     existing = lake.silver("issue_current").join(touched, list(REPO_KEYS), "left_semi")
@@ -194,9 +194,8 @@ def import_snapshot(spark: SparkSession, base: str, legacy_path: str, run_ts: dt
         else spark.createDataFrame([], "repo_owner string, repo_name string, run_id string, finished_at timestamp")
     )
     runs = touched.join(prior, list(REPO_KEYS), "left")
-    commits = silver.sync_rows(written, runs, version, run_ts)
-    append(commits, lake.sync_log)
-    return commits
+    commit(silver.sync_rows(written, runs, version, run_ts), lake.sync_log, schemas.SYNC_LOG, sequence)
+    return lake.sync_state().filter(F.col("version") == version)
 
 
 def storage_schema(name: str):
@@ -221,10 +220,12 @@ def build_gold(
     """
     configure(spark)
     lake = Lake(spark, base)
-    version = _version(run_ts)
-    issues = _repo_filter(lake.silver("issue_current"), repos)
-    labels = _repo_filter(lake.silver("issue_labels"), repos)
-    assignees = _repo_filter(lake.silver("issue_assignees"), repos)
+    sequence = next_sequence(spark, lake.gold_log, schemas.GOLD_LOG)
+    version = _version(sequence, run_ts)
+    state = lake.pinned_state()
+    issues = _repo_filter(lake.silver("issue_current", state), repos)
+    labels = _repo_filter(lake.silver("issue_labels", state), repos)
+    assignees = _repo_filter(lake.silver("issue_assignees", state), repos)
     lc = marts.lifecycle(issues, labels, assignees, run_ts)
     write_version(lc, lake.gold_table("mart_issue_lifecycle"), version)
     stored = _read_version(spark, lake.gold_table("mart_issue_lifecycle"), "MART_LIFECYCLE", version)
@@ -236,7 +237,7 @@ def build_gold(
     write_version(marts.swing_days(stored_flow), lake.gold_table("mart_issue_swing_days"), version)
     repos_df = issues.select(*REPO_KEYS).distinct()
     commits = repos_df.select(*REPO_KEYS, F.lit(version).alias("version"), F.lit(run_ts).cast("timestamp").alias("committed_at"))
-    append(commits, lake.gold_log)
+    commit(commits, lake.gold_log, schemas.GOLD_LOG, sequence)
 
 
 # E4 -------------------------------------------------------------------------
@@ -246,13 +247,14 @@ def check_report(spark: SparkSession, base: str, mode: str) -> DataFrame:
     """The quality report of the persisted tables for ``mode`` silver or gold."""
     configure(spark)
     lake = Lake(spark, base)
-    issues = lake.silver("issue_current")
+    state = lake.pinned_state()
+    issues = lake.silver("issue_current", state)
     if mode == "silver":
         return quality.silver_report(
             issues,
-            lake.silver("issue_labels"),
-            lake.silver("issue_assignees"),
-            lake.sync_state(),
+            lake.silver("issue_labels", state),
+            lake.silver("issue_assignees", state),
+            state,
             lake.read_manifests(),
         )
     if mode == "gold":

@@ -165,8 +165,12 @@ def assert_clean(report_df: DataFrame, sample: int = 20) -> None:
     bad = report_df.filter(F.col("violations") != 0)
     rows = bad.orderBy("check_id", *REPO_KEYS).limit(sample).collect()
     if rows:
+        total = bad.agg(F.count("*").alias("pairs"), F.sum("violations").alias("violations")).first()
         lines = [
             f"{r.check_id} {r.check_name} [{r.repo_owner}/{r.repo_name}]: expected 0, got {r.violations}"
             for r in rows
         ]
-        raise QualityError("Data quality checks failed:\n" + "\n".join(lines))
+        raise QualityError(
+            f"Data quality checks failed: {total.pairs} checks of repositories, {total.violations} violations"
+            + (f"; the first {sample}:" if total.pairs > sample else ":") + "\n" + "\n".join(lines)
+        )

@@ -427,7 +427,7 @@ def derived_manifests(spark, sf_dir, issues=None):
 @register("run_totals")
 def run_totals(spark, sf_dir):
     """Pages, records and max updated_at per landed run."""
-    return sv.run_totals(tables.bronze_pages(spark, sf_dir))
+    return sv.run_totals(tables.bronze_index(spark, sf_dir))
 
 
 @register("latest_runs")

@@ -90,38 +90,19 @@ def merge_order() -> list[Column]:
     return [F.col(c).desc_nulls_last() for c in MERGE_KEYS]
 
 
-# Upper bound on delta keys that are broadcast (about 100 MB of key rows).
-MAX_BROADCAST_KEYS = 2_000_000
-
-
 def merge_current(existing: DataFrame | None, delta: DataFrame, run_ts) -> DataFrame:
     """Union the prior snapshot and the delta by name, keep the latest per issue.
 
     Both sides are conformed to the declared schema first (missing columns as
     NULL, drifted types via ``try_cast``). Issues absent from the delta carry
     forward; an older version never replaces a newer one. Re-applying a delta
-    is a no-op, so a retried run is harmless.
-
-    Incremental case: when the delta's issue keys are few (checked by
-    counting them), they are broadcast; snapshot rows of untouched issues pass
-    through a broadcast anti-join without any shuffle and only touched issues
-    go through the keep-latest window. Otherwise (first load, backfill) the
-    whole union is ranked.
+    is a no-op, so a retried run is harmless. The whole union is ranked at every
+    size, so the rows never depend on how large the delta is.
     """
     cand = ops.conform(delta, schemas.ISSUE_CURRENT)
-    if existing is None:
-        merged = ops.latest_by_key(cand, ISSUE_KEYS, merge_order())
-        return merged.withColumn("record_loaded_at", _ts(run_ts))
-    prior = ops.conform(existing, schemas.ISSUE_CURRENT)
-    keys, small = ops.broadcast_if_small(cand.select(*ISSUE_KEYS).distinct(), MAX_BROADCAST_KEYS)
-    if small:
-        untouched = prior.join(keys, ISSUE_KEYS, "left_anti")
-        touched = prior.join(keys, ISSUE_KEYS, "left_semi")
-        winners = ops.latest_by_key(touched.unionByName(cand), ISSUE_KEYS, merge_order())
-        merged = untouched.unionByName(winners)
-    else:
-        merged = ops.latest_by_key(prior.unionByName(cand), ISSUE_KEYS, merge_order())
-    return merged.withColumn("record_loaded_at", _ts(run_ts))
+    if existing is not None:
+        cand = ops.conform(existing, schemas.ISSUE_CURRENT).unionByName(cand)
+    return ops.latest_by_key(cand, ISSUE_KEYS, merge_order()).withColumn("record_loaded_at", _ts(run_ts))
 
 
 # --------------------------------------------------------------------------
@@ -129,9 +110,14 @@ def merge_current(existing: DataFrame | None, delta: DataFrame, run_ts) -> DataF
 # --------------------------------------------------------------------------
 
 
-def _elements(current: DataFrame, field: str) -> DataFrame:
+def _distinct_elements(current: DataFrame, field: str, typed, flag: str) -> DataFrame:
+    """The different elements of each issue's array that have ``flag``, typed, as ``_e``.
+
+    The snapshot has one row per issue, so duplicates lie within one array and need no shuffle.
+    """
     arr = F.from_json(F.get_json_object("source_payload_json", f"$.{field}"), "array<string>")
-    return current.select(*ISSUE_KEYS, F.explode(arr).alias("_el"))
+    kept = F.filter(F.transform(arr, typed), lambda e: e[flag])
+    return current.select(*ISSUE_KEYS, F.explode(F.array_distinct(kept)).alias("_e"))
 
 
 def labels_of(current: DataFrame, run_ts) -> DataFrame:
@@ -139,28 +125,34 @@ def labels_of(current: DataFrame, run_ts) -> DataFrame:
 
     Rows need an ``id`` text; a non-numeric id keeps the row with NULL label_id.
     """
-    el = _elements(current, "labels").withColumn("_l", F.from_json("_el", schemas.LABEL_ELEMENT))
-    rows = el.filter(F.col("_l.id").isNotNull()).select(
-        *ISSUE_KEYS,
-        tf.try_long("_l.id").alias("label_id"),
-        F.col("_l.name").alias("label_name"),
-        F.col("_l.description").alias("label_description"),
-        F.col("_l.color").alias("label_color"),
-        tf.try_bool("_l.default").alias("label_is_default"),
-    )
-    return rows.distinct().withColumn("record_loaded_at", _ts(run_ts))
+    def typed(el: Column) -> Column:
+        parsed = F.from_json(el, schemas.LABEL_ELEMENT)
+        return F.struct(
+            parsed["id"].isNotNull().alias("has_id"),
+            tf.try_long(parsed["id"]).alias("label_id"),
+            parsed["name"].alias("label_name"),
+            parsed["description"].alias("label_description"),
+            parsed["color"].alias("label_color"),
+            tf.try_bool(parsed["default"]).alias("label_is_default"),
+        )
+
+    rows = _distinct_elements(current, "labels", typed, "has_id")
+    return rows.select(*ISSUE_KEYS, "_e.*").drop("has_id").withColumn("record_loaded_at", _ts(run_ts))
 
 
 def assignees_of(current: DataFrame, run_ts) -> DataFrame:
     """Assignee rows rebuilt from the whole snapshot; rows need a login."""
-    el = _elements(current, "assignees").withColumn("_a", F.from_json("_el", schemas.ASSIGNEE_ELEMENT))
-    rows = el.filter(F.col("_a.login").isNotNull()).select(
-        *ISSUE_KEYS,
-        F.col("_a.login").alias("assignee_login"),
-        tf.try_long("_a.id").alias("assignee_id"),
-        F.col("_a.type").alias("assignee_type"),
-    )
-    return rows.distinct().withColumn("record_loaded_at", _ts(run_ts))
+    def typed(el: Column) -> Column:
+        parsed = F.from_json(el, schemas.ASSIGNEE_ELEMENT)
+        return F.struct(
+            parsed["login"].isNotNull().alias("has_login"),
+            parsed["login"].alias("assignee_login"),
+            tf.try_long(parsed["id"]).alias("assignee_id"),
+            parsed["type"].alias("assignee_type"),
+        )
+
+    rows = _distinct_elements(current, "assignees", typed, "has_login")
+    return rows.select(*ISSUE_KEYS, "_e.*").drop("has_login").withColumn("record_loaded_at", _ts(run_ts))
 
 
 # --------------------------------------------------------------------------
@@ -174,17 +166,17 @@ def latest_manifests(manifests: DataFrame) -> DataFrame:
     return ops.latest_by_key(ok, REPO_KEYS, [F.col("finished_at").desc_nulls_last(), F.col("run_id").desc_nulls_last()])
 
 
-def runs_to_merge(manifests: DataFrame, sync_state: DataFrame | None) -> DataFrame:
-    """I3 + Q2: successful runs finished after each repository's last merged run.
+def runs_to_merge(manifests: DataFrame, merged: DataFrame | None) -> DataFrame:
+    """I3 + Q2: successful runs that no committed version contains, whatever their finish time.
 
-    Runs without a manifest row never appear, so a failed landing stays invisible.
+    Runs without a manifest row never appear, so a failed landing stays invisible;
+    a run whose manifest arrives late, or with an equal finish time, is still merged.
     """
-    ok = manifests.filter(F.col("status") == "success").select(*REPO_KEYS, "run_id", "finished_at")
-    if sync_state is None:
+    ok = manifests.filter(F.col("status") == "success").groupBy(*REPO_KEYS, "run_id").agg(
+        F.max("finished_at").alias("finished_at"))
+    if merged is None:
         return ok
-    last = sync_state.select(*REPO_KEYS, F.col("last_successful_run_finished_at").alias("_done"))
-    joined = ok.join(last, list(REPO_KEYS), "left")
-    return joined.filter(F.col("_done").isNull() | (F.col("finished_at") > F.col("_done"))).drop("_done")
+    return ok.join(merged.select(*REPO_KEYS, "run_id"), [*REPO_KEYS, "run_id"], "left_anti")
 
 
 def sync_rows(current: DataFrame, merged_runs: DataFrame, version: str, run_ts) -> DataFrame:

@@ -63,6 +63,10 @@ _DDL["MANIFESTS"] = _struct(
     "rejected_pages BIGINT, rejected_records BIGINT"
 )
 
+_DDL["MERGED_RUNS"] = _struct(
+    "repo_owner STRING, repo_name STRING, run_id STRING, finished_at TIMESTAMP, version STRING"
+)
+
 _DDL["ISSUE_CURRENT"] = _struct(
     "issue_id BIGINT, issue_node_id STRING, repo_owner STRING, repo_name STRING, "
     "issue_number BIGINT, title STRING, state STRING, state_reason STRING, is_locked BOOLEAN, "

@@ -67,8 +67,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written intermediates.
 
     On a cluster this is the shared location named by ``spark.checkpoint.dir``;
-    it is read from the session and never replaced. Only when it is unset (local
-    tests) is a fresh private folder created and registered.
+    it is read from the session and never replaced. Only a session whose master is
+    local (tests, one machine) may leave it unset and gets a private folder; on a
+    cluster that is an error, since executors could not read each other's files.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -77,6 +78,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return local

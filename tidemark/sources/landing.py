@@ -27,12 +27,13 @@ def read_page_files(spark: SparkSession, pages_dir: str) -> DataFrame:
             "repo_owner",
             "repo_name",
             "run_id",
-            F.regexp_extract("_metadata.file_name", r"page_(\d+)", 1).cast("int").alias("page_number"),
+            # a name without a number is a rejected page
+            F.regexp_extract("_metadata.file_name", r"page_(\d+)", 1).try_cast("int").alias("page_number"),
             F.col("_metadata.file_modification_time").alias("fetched_at"),
             F.from_json("value", "array<string>").alias("records"),
         )
     )
-    return raw
+    return raw.withColumn("records", F.when(F.col("page_number").isNotNull(), F.col("records")))
 
 
 def bronze_rows(pages: DataFrame) -> DataFrame:
@@ -55,19 +56,10 @@ def bronze_rows(pages: DataFrame) -> DataFrame:
     )
 
 
-def cut_pages(pages: DataFrame, max_pages: int | None) -> DataFrame:
-    """Q1: keep the first ``max_pages`` pages of each run (0 or None: no limit)."""
-    if not max_pages:
-        return pages
-    return pages.filter(F.col("page_number") <= max_pages)
-
-
-def manifests_for(pages: DataFrame, finished_at, since=None, max_pages: int | None = None) -> DataFrame:
+def manifests_for(pages: DataFrame, finished_at, since=None) -> DataFrame:
     """Manifest rows per landed run (A23); empty pages count no page and no record.
 
-    ``pages`` are all page files of the runs; with ``max_pages`` only the first
-    pages count and ``truncated`` records that later pages were left out (the
-    run still commits as a success).
+    Every page of a run is landed, so ``truncated`` is always false.
     """
     n = F.coalesce(F.size("records"), F.lit(0))
     updated = F.aggregate(
@@ -76,19 +68,17 @@ def manifests_for(pages: DataFrame, finished_at, since=None, max_pages: int | No
         F.lit(None).cast("timestamp"),
         lambda acc, x: F.greatest(acc, x),
     )
-    kept = F.lit(True) if not max_pages else F.col("page_number") <= max_pages
     # H8: malformed input is counted, never silently lost: a page that is not
     # a JSON array, and records without an id (they never reach silver).
     no_id = F.size(F.filter(F.coalesce("records", F.array().cast("array<string>")),
                             lambda r: tf.try_long(F.get_json_object(r, "$.id")).isNull()))
     per_run = pages.groupBy(*REPO_KEYS, "run_id").agg(
-        F.count_if(kept & F.col("records").isNull()).cast("bigint").alias("rejected_pages"),
-        F.sum(F.when(kept, no_id).otherwise(0)).cast("bigint").alias("rejected_records"),
+        F.count_if(F.col("records").isNull()).cast("bigint").alias("rejected_pages"),
+        F.sum(no_id).cast("bigint").alias("rejected_records"),
         F.min("fetched_at").alias("started_at"),
-        F.count_if(kept & (n > 0)).cast("bigint").alias("pages_fetched"),
-        F.sum(F.when(kept, n).otherwise(0)).cast("bigint").alias("records_fetched"),
-        F.max(F.when(kept, updated)).alias("max_issue_updated_at"),
-        F.count_if(~kept).alias("_cut"),
+        F.count_if(n > 0).cast("bigint").alias("pages_fetched"),
+        F.sum(n).cast("bigint").alias("records_fetched"),
+        F.max(updated).alias("max_issue_updated_at"),
     )
     return per_run.select(
         "run_id",
@@ -101,7 +91,7 @@ def manifests_for(pages: DataFrame, finished_at, since=None, max_pages: int | No
         "records_fetched",
         "max_issue_updated_at",
         F.lit(None).cast("string").alias("final_url"),
-        (F.col("_cut") > 0).alias("truncated"),
+        F.lit(False).alias("truncated"),
         "rejected_pages",
         "rejected_records",
     )

@@ -79,9 +79,32 @@ def latest_commits(spark: SparkSession, log_location: str, schema: T.StructType)
     log = read_or_none(spark, log_location, schema)
     if log is None:
         return None
-    return ops.latest_by_key(
-        log, REPO_KEYS, [F.col("committed_at").desc_nulls_last(), F.col("version").desc_nulls_last()]
-    )
+    # a version starts with its sequence number, whatever clock its writer had
+    return ops.latest_by_key(log, REPO_KEYS, [F.col("version").desc_nulls_last()])
+
+
+class CommitConflict(RuntimeError):
+    """Another writer committed a version that this one has not read."""
+
+
+def next_sequence(spark: SparkSession, log_location: str, schema: T.StructType) -> int:
+    """One above the highest sequence number in a commit log."""
+    log = read_or_none(spark, log_location, schema)
+    if log is None:
+        return 1
+    last = log.agg(F.max(F.substring_index("version", "-", 1).try_cast("bigint")).alias("last")).first()["last"]
+    return (last or 0) + 1
+
+
+def commit(rows: DataFrame, log_location: str, schema: T.StructType, sequence: int) -> None:
+    """Append commit rows, unless the log already has this or a later sequence number for one of
+    their repositories: then what was read for this version is out of date."""
+    log = read_or_none(rows.sparkSession, log_location, schema)
+    if log is not None:
+        newer = log.filter(F.substring_index("version", "-", 1).try_cast("bigint") >= sequence)
+        if not newer.join(rows.select(*REPO_KEYS).distinct(), list(REPO_KEYS), "left_semi").isEmpty():
+            raise CommitConflict(f"sequence {sequence} or a later one is already committed in {log_location}")
+    append(rows, log_location)
 
 
 # --------------------------------------------------------------------------
@@ -164,6 +187,10 @@ class Lake:
     def silver_table(self, name: str) -> str:
         return path(self.base, "silver", name)
 
+    @property
+    def merged_log(self) -> str:
+        return path(self.base, "silver", "merged_runs")
+
     @property
     def sync_log(self) -> str:
         return path(self.base, "silver", "sync_log")
@@ -182,12 +209,29 @@ class Lake:
     def read_manifests(self) -> DataFrame:
         return read_or_empty(self.spark, self.manifests, schemas.MANIFESTS)
 
+    def merged_runs(self) -> DataFrame | None:
+        """The runs that committed versions contain; a failed merge's rows have no committed version."""
+        schema = schemas.schema_of("MERGED_RUNS")
+        merged = read_or_none(self.spark, self.merged_log, schema)
+        log = read_or_none(self.spark, self.sync_log, schemas.SYNC_LOG)
+        if merged is None or log is None:
+            return None
+        return merged.join(log.select(*REPO_KEYS, "version"), [*REPO_KEYS, "version"], "left_semi")
+
     def sync_state(self) -> DataFrame | None:
         return latest_commits(self.spark, self.sync_log, schemas.SYNC_LOG)
 
-    def silver(self, name: str) -> DataFrame:
+    def pinned_state(self) -> DataFrame | None:
+        """``sync_state`` as of now: a commit that comes later does not change it (one row per repository)."""
+        state = self.sync_state()
+        if state is None:
+            return None
+        return self.spark.createDataFrame(state.toArrow(), state.schema)
+
+    def silver(self, name: str, state: DataFrame | None = None) -> DataFrame:
+        """The committed rows of a table; by ``state``, if several tables must be of the same versions."""
         schema = schemas.schema_of(schemas.SILVER_TABLES[name])
-        return read_committed(self.spark, self.silver_table(name), schema, self.sync_state())
+        return read_committed(self.spark, self.silver_table(name), schema, self.sync_state() if state is None else state)
 
     def gold_commits(self) -> DataFrame | None:
         return latest_commits(self.spark, self.gold_log, schemas.GOLD_LOG)
