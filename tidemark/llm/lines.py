@@ -16,6 +16,8 @@ doc_id, then line number) is similar: Jaccard of at least ``threshold``.
    the candidates' first lines only: a bitmap of fixed size lets their lines pass, and
    the join that follows is exact.
 5. A class's first line goes if a similar class has an earlier one; its others go anyway.
+   Each class is compared with the earliest class of each of its prefix words first, and only
+   those that this leaves open are joined with all earlier classes.
 
 Words are compared by 63 bits of their hash. Defined results: lines without a word
 and null texts stay; (doc_id, line number) identifies a line, so rows that repeat a
@@ -100,27 +102,46 @@ def classes(docs: DataFrame, ranks: Column, threshold: float = THRESHOLD) -> tup
     lines = materialize(found.select("doc_id", "line", F.xxhash64("words").alias("id"), n.alias("n"),
                                      *parities(F.col("words")), prefix.alias("prefix")), "lines")
     own = lines.groupBy("id", "n", "parity", "parity2", "prefix").agg(F.min(place()).alias("first"))
-    return lines.select("doc_id", "line", "id"), materialize(own.withColumn("tag", F.shiftright("id", 32).cast("int")), "line-classes")
+    return lines.select("doc_id", "line", "id"), materialize(own, "line-classes")
 
 
-def candidates(own: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Pairs (a, b) of classes that pass all filters, named by the places of their first lines; a is earlier."""
-    index = own.select("n", "parity", "parity2", "tag", F.posexplode("prefix").alias("at", "word"))
-    a, b = index.alias("a"), index.alias("b")
-    n_a, n_b = F.col("a.n"), F.col("b.n")
+def prefix_index(own: DataFrame, *more: str) -> DataFrame:
+    """A row for each prefix word of each class."""
+    return own.select("first", "n", "parity", "parity2", *more, F.posexplode("prefix").alias("at", "word"))
+
+
+def passes(a: str, b: str, threshold: float) -> Column:
+    """The filters on a pair of index rows of one word, of which the first is of the earlier class."""
+    def get(side: str, name: str) -> Column:
+        return F.col(f"{side}.{name}")
+
+    n_a, n_b = get(a, "n"), get(b, "n")
     # of all shared words: those before both places, and those from the places on
-    most = F.least("a.at", "b.at") + F.least(n_a - F.col("a.at"), n_b - F.col("b.at"))
+    most = F.least(get(a, "at"), get(b, "at")) + F.least(n_a - get(a, "at"), n_b - get(b, "at"))
     shared = F.ceil((n_a + n_b) * (threshold / (1 + threshold)) - 1e-9)
-    differ = sum(F.bit_count(F.col(f"a.{p}").bitwiseXOR(F.col(f"b.{p}"))) for p in ("parity", "parity2"))
-    once = (F.col("a.parity") < F.col("b.parity")) | (
-        (F.col("a.parity") == F.col("b.parity")) & (F.col("a.tag") < F.col("b.tag")))
-    met = a.join(b, (F.col("a.word") == F.col("b.word")) & once
-                 & (F.least(n_a, n_b) >= needed(F.greatest(n_a, n_b), threshold)) & (most >= shared)
-                 & (differ <= n_a + n_b - 2 * shared)) \
-        .select(F.col("a.parity").alias("pa"), F.col("a.tag").alias("ta"), F.col("b.parity").alias("pb"), F.col("b.tag").alias("tb")).distinct()
-    firsts = own.select("parity", "tag", "first")
-    named = met.join(firsts.toDF("pa", "ta", "fa"), ["pa", "ta"]).join(firsts.toDF("pb", "tb", "fb"), ["pb", "tb"])
-    return named.select(F.least("fa", "fb").alias("a"), F.greatest("fa", "fb").alias("b")).filter("a < b").distinct()
+    differ = sum(F.bit_count(get(a, p).bitwiseXOR(get(b, p))) for p in ("parity", "parity2"))
+    return ((get(a, "first") < get(b, "first")) & (F.least(n_a, n_b) >= needed(F.greatest(n_a, n_b), threshold))
+            & (most >= shared) & (differ <= n_a + n_b - 2 * shared))
+
+
+def leader_pairs(own: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """Pairs (a, b) that pass the filters, a the earliest class of a prefix word they share: a row for each
+    class and word at most, however many classes share the word."""
+    index = prefix_index(own)
+    leaders = index.groupBy("word").agg(
+        F.min(F.struct("first", "n", "at", "parity", "parity2")).alias("a"), F.count("*").alias("classes")).filter("classes > 1")
+    return index.alias("b").join(leaders, "word").filter(passes("a", "b", threshold)) \
+        .select(F.col("a.first").alias("a"), F.col("b.first").alias("b")).distinct()
+
+
+def candidates(own: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """Pairs (a, b) that pass the filters, b a class with ``open`` and a any earlier class, by their first lines."""
+    index = prefix_index(own, "open")
+    a, b = index.alias("a"), index.alias("b")
+    # always b.open, as every class has words; a condition on the columns of both sides lets both read one exchange
+    wanted = F.when(F.col("a.n") + F.col("a.open").cast("int") > 0, F.col("b.open"))
+    return a.join(b, (F.col("a.word") == F.col("b.word")) & wanted & passes("a", "b", threshold)) \
+        .select(F.col("a.first").alias("a"), F.col("b.first").alias("b")).distinct()
 
 
 def lines_at(docs: DataFrame, places: DataFrame) -> DataFrame:
@@ -134,9 +155,9 @@ def lines_at(docs: DataFrame, places: DataFrame) -> DataFrame:
     return passed.select("at", "content").join(places, "at").dropDuplicates(["at"])
 
 
-def similar(docs: DataFrame, own: DataFrame, ranks: Column, threshold: float = THRESHOLD) -> DataFrame:
-    """Verified pairs (a, b, shared, jaccard) of classes, named by the places of their first lines; a is earlier."""
-    pairs = materialize(candidates(own, threshold), "line-pairs")
+def similar(docs: DataFrame, pairs: DataFrame, ranks: Column, threshold: float = THRESHOLD) -> DataFrame:
+    """Those of ``pairs`` (a, b: places of lines) that are similar, with ``shared`` words and ``jaccard``."""
+    pairs = materialize(pairs, "line-pairs")
     places = pairs.select(F.col("a").alias("at")).union(pairs.select("b")).distinct()
     sets = materialize(lines_at(docs, materialize(places, "line-places")).select(
         "at", set_of(F.col("content"), ranks).alias("words")), "line-sets")
@@ -148,11 +169,26 @@ def similar(docs: DataFrame, own: DataFrame, ranks: Column, threshold: float = T
         .filter(F.col("jaccard") >= threshold - 1e-12)
 
 
+def later_classes(docs: DataFrame, own: DataFrame, ranks: Column, threshold: float = THRESHOLD) -> DataFrame:
+    """(first) of the classes that are similar to an earlier one.
+
+    One earlier match is enough. So classes are compared with the earliest class of each of their prefix
+    words first, which settles groups of near copies in a number of pairs that grows with the group and
+    not with its square; only classes that are still open are joined with all earlier ones.
+    """
+    settled = materialize(similar(docs, leader_pairs(own, threshold), ranks, threshold)
+                          .select(F.col("b").alias("first")).distinct(), "line-settled")
+    marked = own.join(settled.withColumn("settled", F.lit(True)), "first", "left").withColumn("open", F.col("settled").isNull())
+    marked = materialize(marked.drop("id", "settled"), "line-open")
+    rest = similar(docs, candidates(marked, threshold), ranks, threshold).select(F.col("b").alias("first")).distinct()
+    return settled.union(rest)
+
+
 def removed_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, removed array<int>): the lines of each document that an earlier line matches."""
     ranks = rarity(docs)
     lines, own = classes(docs, ranks, threshold)
-    later = similar(docs, own, ranks, threshold).select(F.col("b").alias("first")).distinct()
+    later = later_classes(docs, own, ranks, threshold)
     gone = own.select("id", "first").join(later.withColumn("matched", F.lit(True)), "first", "left")
     return materialize(lines.join(gone, "id").filter((place() != F.col("first")) | F.col("matched"))
                        .groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("removed")), "removed-lines")
