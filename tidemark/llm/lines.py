@@ -35,6 +35,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import let, materialize, table
 
 THRESHOLD = 0.8
+#: White space between the words of a line, besides the blank.
+SPACES = "\t\x0b\x0c\r"
 RARITY_BUCKETS = 32_768
 #: Bits of the bitmap of candidates' lines, and of one row of Spark's bitmap aggregate.
 BITMAP_BITS, ROW_BITS = 2 ** 22, 32_768
@@ -44,7 +46,7 @@ LINE_ROOM = 2 ** 32
 
 def words_of(line: Column) -> Column:
     """The lower-cased words of a line, and empty strings."""
-    return F.split(reduce(lambda text, space: F.replace(text, F.lit(space), F.lit(" ")), "\t\x0b\x0c\r", F.lower(line)), " ")
+    return F.split(reduce(lambda text, space: F.replace(text, F.lit(space), F.lit(" ")), SPACES, F.lower(line)), " ")
 
 
 def place() -> Column:
@@ -54,8 +56,9 @@ def place() -> Column:
 
 
 def text_lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, line, words text) of every line, ``line`` counting from 0."""
-    return docs.select(F.col("doc_id").cast("long"), F.posexplode(F.split("text", "\n")).alias("line", "content"))
+    """(doc_id, line, content) of every line with a word, ``line`` counting from 0 over all lines."""
+    each = docs.select(F.col("doc_id").cast("long"), F.posexplode(F.split("text", "\n")).alias("line", "content"))
+    return each.filter(F.btrim("content", F.lit(" " + SPACES)) != "")
 
 
 def rarity(docs: DataFrame, buckets: int = RARITY_BUCKETS) -> Column:
@@ -96,7 +99,7 @@ def needed(n: Column, threshold: float) -> Column:
 
 def classes(docs: DataFrame, ranks: Column, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
     """(lines, classes): (doc_id, line, id) of lines with words; (id, n, prefix, first) of their classes."""
-    found = text_lines(docs).select("doc_id", "line", set_of(F.col("content"), ranks).alias("words")).filter(F.size("words") > 0)
+    found = text_lines(docs).select("doc_id", "line", set_of(F.col("content"), ranks).alias("words"))
     n = F.size("words")
     prefix = F.transform(F.slice("words", 1, n - needed(n, threshold) + 1), lambda w: F.hash(w))
     lines = materialize(found.select("doc_id", "line", F.xxhash64("words").alias("id"), n.alias("n"),
