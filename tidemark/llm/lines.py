@@ -119,8 +119,8 @@ def passes(a: str, b: str, threshold: float) -> Column:
         return F.col(f"{side}.{name}")
 
     n_a, n_b = get(a, "n"), get(b, "n")
-    # of all shared words: those before both places, and those from the places on
-    most = F.least(get(a, "at"), get(b, "at")) + F.least(n_a - get(a, "at"), n_b - get(b, "at"))
+    # holds for the first word that a similar pair shares, as its other shared words come later in both
+    most = F.least(n_a - get(a, "at"), n_b - get(b, "at"))
     shared = F.ceil((n_a + n_b) * (threshold / (1 + threshold)) - 1e-9)
     differ = sum(F.bit_count(get(a, p).bitwiseXOR(get(b, p))) for p in ("parity", "parity2"))
     return ((get(a, "first") < get(b, "first")) & (F.least(n_a, n_b) >= needed(F.greatest(n_a, n_b), threshold))
