@@ -4,8 +4,9 @@ A line is its set of lower-cased words. A line is removed if an earlier line (by
 doc_id, then line number) is similar: Jaccard of at least ``threshold``.
 
 1. Words are ordered by rarity: all words of the corpus are counted in
-   ``RARITY_BUCKETS`` hash buckets, a table of fixed size. A word's order key is the
-   rank of its bucket, followed by its hash; any order is exact, rare-first is fast.
+   ``RARITY_BUCKETS`` hash buckets, and each count is kept as one of 95 steps of its logarithm,
+   a table of fixed size. A word's order key is the step of its bucket, followed by its hash;
+   any order is exact, rare-first is fast.
 2. Lines of equal sets are one class, found by one aggregation; a line that a third
    of all documents hold is one class. Only the classes' first lines go on.
 3. Prefix filter: similar sets share one of their first ``n - ceil(t n) + 1`` words.
@@ -37,7 +38,11 @@ from tidemark.llm.common import let, materialize, table
 THRESHOLD = 0.8
 #: White space between the words of a line, besides the blank.
 SPACES = "\t\x0b\x0c\r"
-RARITY_BUCKETS = 32_768
+RARITY_BUCKETS = 2 ** 20
+#: Steps of a count's logarithm: a third of a power of two each, up to 2^31 and more.
+RARITY_STEPS, STEPS_PER_POWER = 95, 3
+#: Buckets of one row that reaches the driver.
+RARITY_ROW = 1024
 #: Bits of the bitmap of candidates' lines, and of one row of Spark's bitmap aggregate.
 BITMAP_BITS, ROW_BITS = 2 ** 22, 32_768
 #: Lines of one document that a line's place has room for.
@@ -62,24 +67,28 @@ def text_lines(docs: DataFrame) -> DataFrame:
 
 
 def rarity(docs: DataFrame, buckets: int = RARITY_BUCKETS) -> Column:
-    """An array literal: for each hash bucket, its rank from the rarest words to the most frequent.
+    """A binary literal: for each hash bucket, a printable byte that rises with the count of its words.
 
-    The counts are of all words of all lines; ``buckets`` numbers reach the driver, whatever the corpus.
+    The counts are of all words of all lines; ``buckets`` bytes reach the driver, whatever the corpus.
     """
-    bucket = F.pmod("h", F.lit(buckets)).cast("int").alias("bucket")
     words = docs.select(F.explode(words_of(F.replace("text", F.lit("\n"), F.lit(" ")))).alias("word")).filter("word <> ''")
-    found = words.select(F.xxhash64("word").alias("h")).groupBy(bucket).count().collect()
-    counts = dict.fromkeys(range(buckets), 0) | {r["bucket"]: r["count"] for r in found}
-    rank = {b: k for k, b in enumerate(sorted(counts, key=lambda b: (counts[b], b)))}
-    # one string, which the optimiser folds into one array, instead of an expression for each number
-    return F.split(F.lit(",".join(str(rank[b]) for b in range(buckets))), ",").cast("array<long>")
+    each = words.select(F.pmod(F.xxhash64("word"), F.lit(buckets)).alias("bucket"))
+    counts = each.union(docs.sparkSession.range(buckets).toDF("bucket")).groupBy("bucket").count()  # one more for every bucket
+    step = F.char(F.least(F.floor(F.log2("count") * STEPS_PER_POWER), F.lit(RARITY_STEPS - 1)) + 32)
+    row = F.sort_array(F.collect_list(F.struct("bucket", step.alias("step"))))
+    found = counts.groupBy(F.expr(f"bucket div {RARITY_ROW}").alias("row")).agg(F.array_join(row["step"], "").alias("bytes"))
+    return F.lit("".join(r["bytes"] for r in sorted(found.collect()))).cast("binary")
 
 
-def set_of(line: Column, ranks: Column, buckets: int = RARITY_BUCKETS) -> Column:
-    """The set of a line as sorted order keys, rarest first: bucket rank, then the other bits of the hash."""
-    hashes = F.array_distinct(F.array_remove(F.transform(words_of(line), lambda w: F.xxhash64(w)), F.xxhash64(F.lit(""))))
-    return F.sort_array(F.transform(hashes, lambda h: F.shiftleft(
-        F.get(ranks, F.pmod(h, F.lit(buckets)).cast("int")), 48).bitwiseOR(F.shiftrightunsigned(h, 16))))
+def set_of(line: Column, steps: Column, buckets: int = RARITY_BUCKETS) -> Column:
+    """The set of a line as sorted order keys, rarest first: step of the bucket, then 56 bits of the hash."""
+    hashes = F.array_except(F.transform(words_of(line), lambda w: F.xxhash64(w)), F.array(F.xxhash64(F.lit(""))))
+
+    def key(h: Column) -> Column:
+        step = F.ascii(F.substring(steps, F.pmod(h, F.lit(buckets)).cast("int") + 1, F.lit(1)).cast("string"))
+        return F.shiftleft(F.coalesce(step, F.lit(0)).cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))  # never null: sorts as plain longs
+
+    return F.sort_array(F.transform(hashes, key))
 
 
 def parities(words: Column) -> list[Column]:
@@ -97,9 +106,9 @@ def needed(n: Column, threshold: float) -> Column:
     return F.ceil(n * threshold - 1e-9).cast("int")
 
 
-def classes(docs: DataFrame, ranks: Column, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
+def classes(docs: DataFrame, steps: Column, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
     """(lines, classes): (doc_id, line, id) of lines with words; (id, n, prefix, first) of their classes."""
-    found = text_lines(docs).select("doc_id", "line", set_of(F.col("content"), ranks).alias("words"))
+    found = text_lines(docs).select("doc_id", "line", set_of(F.col("content"), steps).alias("words"))
     n = F.size("words")
     prefix = F.transform(F.slice("words", 1, n - needed(n, threshold) + 1), lambda w: F.hash(w))
     lines = materialize(found.select("doc_id", "line", F.xxhash64("words").alias("id"), n.alias("n"),
@@ -158,12 +167,12 @@ def lines_at(docs: DataFrame, places: DataFrame) -> DataFrame:
     return passed.select("at", "content").join(places, "at").dropDuplicates(["at"])
 
 
-def similar(docs: DataFrame, pairs: DataFrame, ranks: Column, threshold: float = THRESHOLD) -> DataFrame:
+def similar(docs: DataFrame, pairs: DataFrame, steps: Column, threshold: float = THRESHOLD) -> DataFrame:
     """Those of ``pairs`` (a, b: places of lines) that are similar, with ``shared`` words and ``jaccard``."""
     pairs = materialize(pairs, "line-pairs")
     places = pairs.select(F.col("a").alias("at")).union(pairs.select("b")).distinct()
     sets = materialize(lines_at(docs, materialize(places, "line-places")).select(
-        "at", set_of(F.col("content"), ranks).alias("words")), "line-sets")
+        "at", set_of(F.col("content"), steps).alias("words")), "line-sets")
     shared = F.size(F.array_intersect("wa", "wb"))
     both = F.size("wa") + F.size("wb")
     return pairs.join(sets.select(F.col("at").alias("a"), F.col("words").alias("wa")), "a") \
@@ -172,26 +181,26 @@ def similar(docs: DataFrame, pairs: DataFrame, ranks: Column, threshold: float =
         .filter(F.col("jaccard") >= threshold - 1e-12)
 
 
-def later_classes(docs: DataFrame, own: DataFrame, ranks: Column, threshold: float = THRESHOLD) -> DataFrame:
+def later_classes(docs: DataFrame, own: DataFrame, steps: Column, threshold: float = THRESHOLD) -> DataFrame:
     """(first) of the classes that are similar to an earlier one.
 
     One earlier match is enough. So classes are compared with the earliest class of each of their prefix
     words first, which settles groups of near copies in a number of pairs that grows with the group and
     not with its square; only classes that are still open are joined with all earlier ones.
     """
-    settled = materialize(similar(docs, leader_pairs(own, threshold), ranks, threshold)
+    settled = materialize(similar(docs, leader_pairs(own, threshold), steps, threshold)
                           .select(F.col("b").alias("first")).distinct(), "line-settled")
     marked = own.join(settled.withColumn("settled", F.lit(True)), "first", "left").withColumn("open", F.col("settled").isNull())
     marked = materialize(marked.drop("id", "settled"), "line-open")
-    rest = similar(docs, candidates(marked, threshold), ranks, threshold).select(F.col("b").alias("first")).distinct()
+    rest = similar(docs, candidates(marked, threshold), steps, threshold).select(F.col("b").alias("first")).distinct()
     return settled.union(rest)
 
 
 def removed_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, removed array<int>): the lines of each document that an earlier line matches."""
-    ranks = rarity(docs)
-    lines, own = classes(docs, ranks, threshold)
-    later = later_classes(docs, own, ranks, threshold)
+    steps = rarity(docs)
+    lines, own = classes(docs, steps, threshold)
+    later = later_classes(docs, own, steps, threshold)
     gone = own.select("id", "first").join(later.withColumn("matched", F.lit(True)), "first", "left")
     return materialize(lines.join(gone, "id").filter((place() != F.col("first")) | F.col("matched"))
                        .groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("removed")), "removed-lines")
