@@ -246,6 +246,22 @@ def test_line_dedup_equals_brute_force(docs):
     assert got == brute_lines(rows)
 
 
+def test_line_dedup_near_copies_around_the_threshold(spark):
+    rng = np.random.default_rng(4)
+    rows = []
+    for doc in range(120):  # six base lines of 5 to 30 words, of which up to a third are changed, dropped or added
+        base = [f"w{(doc % 6) * 40 + k}" for k in range(5 * (doc % 6 + 1))]
+        copies = []
+        for _ in range(3):
+            line = [f"x{rng.integers(50)}" if rng.random() < rng.choice([0, 0.05, 0.1, 0.3]) else w for w in base]
+            cut = rng.integers(0, len(line) // 4 + 1)
+            copies.append(" ".join(line[cut:] + [f"y{rng.integers(30)}" for _ in range(rng.integers(0, 3))]))
+        rows.append((doc, "\n".join(copies)))
+    got = {r.doc_id: r.text for r in lines.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    expected = brute_lines(rows)
+    assert got == expected and 0 < sum(t != expected[i] for i, t in rows)
+
+
 def test_line_dedup_odd_input(spark, odd, empty):
     got = lines.deduplicate(clashing(odd))
     assert got.columns == [c for c in clashing(odd).columns if c != "n_removed"] + ["n_removed"] and got.count() == odd.count()
