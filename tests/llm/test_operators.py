@@ -425,6 +425,16 @@ def test_hot_group_fills_shards(spark):
     assert len({r.shard for r in got if r.doc_id % 3 == 0}) <= 5  # 300 documents, 90 to a shard
 
 
+def test_groups_stay_whole_where_every_document_has_a_copy(spark):
+    rows = [(i, f"text {i // 2}") for i in range(4000)] + [(4000 + i, f"more {i // 5}") for i in range(1000)]
+    got = sharding.shards(spark.createDataFrame(rows, "doc_id long, text string"), 10).collect()
+    check_shards(got, 5000, 10)
+    where = defaultdict(set)
+    for r in got:
+        where[rows[r.doc_id][1]].add(r.shard)
+    assert sum(len(x) > 1 for x in where.values()) < 10  # at most one at each border of two shards
+
+
 def test_sharding_odd_input(odd, empty):
     check_shards(sharding.shards(odd).collect(), odd.count())
     out = sharding.sharded_documents(clashing(odd))

@@ -1,13 +1,16 @@
 """Sharding by balanced label propagation, with DataFrame functions only.
 
-Documents are linked if they share a link key (here: equal texts). Linked
-documents start in shards by hash. In each round the documents of a link key
-prefer the shard, among those with room, that holds most of their neighbours; the
-moves into a shard are accepted in the order of neighbours gained, up to the
-shard's quota of rows, so sizes stay even while cut links vanish. Equal texts are
+Documents are linked if they share a link key (here: equal texts). Link keys of more
+than a ``BIG``-th of a shard are placed first, whole while a shard has room for them; one
+larger than a shard fills one shard after another. The other linked documents start in
+shards by hash. In each round the documents of a link key prefer the shard that holds
+most of their neighbours. What two shards want from each other is exchanged in equal
+counts, which needs no room; moves beyond that go into free room. They are accepted
+in the order of neighbours gained (in steps of its logarithm). Equal texts are
 interchangeable, so rounds run on counts by (link key, shard), a row for at most
-``shards`` parts of each key, however many documents it has; a key larger than a
-shard fills one shard after another.
+``shards`` parts of each key, however many documents it has. Rounds end when they accept
+less than a tenth of what is wanted; the keys that are then still cut are packed whole
+into the room that the others leave. A key stays cut only if no shard has room for it.
 
 Documents without a link have no preference and fill what is left, which makes
 the law ``rows`` exact: counts of shards differ by at most one.
@@ -31,11 +34,13 @@ from tidemark.llm.common import attach, materialize, row_key, table
 SHARDS = 40
 #: Bytes that a document has besides its text.
 OVERHEAD = 16
-ROUNDS = 40
+#: Link keys of more than this part of a shard are placed by the driver: at most 2 * BIG * shards.
+BIG = 4
+#: A round that accepts less than this part of the wanted moves is the last.
+LEAST_ACCEPTED = 0.1
 #: Prefix sums run within this many hash buckets.
 BUCKETS = 1024
-#: Cells of one shard and round that one task ranks.
-LANE_CELLS = 200_000
+KEY = ["link", "text_crc32"]
 
 
 def linked_rows(docs: DataFrame) -> DataFrame:
@@ -75,57 +80,126 @@ def loads(cells: DataFrame, shards: int) -> list[int]:
     return [found.get(s, 0) for s in range(shards)]
 
 
-def propagate(cells: DataFrame, quotas: list[int], rounds: int = ROUNDS, lane_cells: int = LANE_CELLS) -> DataFrame:
-    """Balanced label propagation over (link, text_crc32, shard, n); ends when no move is accepted."""
-    shards, key = len(quotas), ["link", "text_crc32"]
-    lanes = max(1, cells.count() // (shards * lane_cells))
-    for _ in range(rounds):
-        room = longs([max(0, q - x) for q, x in zip(quotas, loads(cells, shards))])
-        parts = cells.withColumn("room", F.get(room, F.col("shard"))).withColumn("tie", F.xxhash64("link", "shard"))
-        best = F.max(F.when(F.col("room") > 0, F.struct("n", "tie", "shard", "room"))).over(W.partitionBy(*key))
-        # a part moves to one at least as large, or with all others to one that has room for the whole key
-        fits = F.sum("n").over(W.partitionBy(*key)) - F.col("best.n") <= F.col("best.room")
-        moves = parts.withColumn("best", best).withColumn("fits", fits).filter(
-            (F.col("shard") != F.col("best.shard")) & ((F.col("n") <= F.col("best.n")) | F.col("fits"))).withColumn("lane", F.pmod("tie", F.lit(lanes))).select(
-            *key, "n", "tie", "lane", F.col("shard").alias("source"), F.col("best.shard").alias("shard"),
-            (F.col("best.n") - F.col("n")).alias("gain"))
-        queue = W.partitionBy("shard", "lane").orderBy(F.desc("gain"), "link", "tie").rowsBetween(W.unboundedPreceding, 0)
-        share = F.expr(f"get(r, shard) div {lanes}") + F.when(F.col("lane") < F.get("r", F.col("shard")) % lanes, 1).otherwise(0)
-        accepted = moves.withColumn("r", room).withColumn("upto", F.sum("n").over(queue)).withColumn("share", share).withColumn(
-            "n", F.least("n", F.col("share") - (F.col("upto") - F.col("n")))).filter("n > 0").select(*key, "source", "shard", "n")
-        accepted = materialize(accepted, "moves")
-        if accepted.isEmpty():
-            break
-        moved = cells.unionByName(accepted.drop("source")).unionByName(
-            accepted.select(*key, F.col("source").alias("shard"), (-F.col("n")).alias("n")))
-        cells = materialize(moved.groupBy(*key, "shard").agg(F.sum("n").alias("n")).filter("n > 0"), "cells")
-    return cells
-
-
-def within_quota(cells: DataFrame, quotas: list[int]) -> DataFrame:
-    """``cells`` with what a shard holds beyond its quota given up; the largest parts stay."""
-    over = [s for s, (q, x) in enumerate(zip(quotas, loads(cells, len(quotas)))) if x > q]
-    if not over:
-        return cells
-    order = W.partitionBy("shard").orderBy(F.desc("n"), "link", "text_crc32").rowsBetween(W.unboundedPreceding, 0)
-    full = cells.filter(F.col("shard").isin(over)).withColumn("upto", F.sum("n").over(order)).withColumn(
-        "n", F.least("n", F.get(longs(quotas), F.col("shard")) - (F.col("upto") - F.col("n")))).filter("n > 0").drop("upto")
-    return cells.filter(~F.col("shard").isin(over)).unionByName(full)
-
-
-def shards(docs: DataFrame, n_shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
+def running(rows: DataFrame, by: list[str], first: Column) -> DataFrame:
+    """``rows`` with ``upto``: the running sum of ``n`` among equal ``by``, by ``first`` and then by a hash of the key."""
+    spread = rows.withColumn("__bucket", first.cast("long") * BUCKETS + F.pmod(F.xxhash64(*KEY, F.lit("running")), F.lit(BUCKETS)))
+    keys = [*by, "__bucket"]
+    sums = spread.groupBy(*keys).agg(F.sum("n").alias("__n"))
+    starts = sums.withColumn("__start", F.sum("__n").over(W.partitionBy(*by).orderBy("__bucket")) - F.col("__n")).drop("__n")
+    inside = F.sum("n").over(W.partitionBy(*keys).orderBy(*KEY).rowsBetween(W.unboundedPreceding, 0))
+    return spread.withColumn("__in", inside).join(starts, keys).withColumn(
+        "upto", F.col("__start") + F.col("__in")).drop("__bucket", "__start", "__in")
+
+
+def settle(sizes: list[int], rooms: list[int]) -> list[list[tuple[int, int]]]:
+    """(shard, n) parts for groups of these sizes, each in the smallest room that holds it or else in the largest rooms.
+
+    ``rooms`` are lowered by what is placed.
+    """
+    out = []
+    for size in sizes:
+        parts = []
+        while size:
+            fit = [(room, s) for s, room in enumerate(rooms) if room >= size]
+            shard = min(fit)[1] if fit else max(range(len(rooms)), key=lambda s: (rooms[s], -s))
+            n = min(size, rooms[shard])
+            parts.append((shard, n))
+            rooms[shard] -= n
+            size -= n
+        out.append(parts)
+    return out
+
+
+def settled(groups: DataFrame, rooms: list[int]) -> DataFrame:
+    """(link, text_crc32, shard, n) of a few groups (link, text_crc32, n), the largest first; ``rooms`` are lowered."""
+    found = sorted(((r["n"], r["link"], r["text_crc32"]) for r in groups.collect()), key=lambda g: (-g[0], *g[1:]))
+    rows = [(link, crc, s, n) for (_, link, crc), parts in zip(found, settle([g[0] for g in found], rooms)) for s, n in parts]
+    return groups.sparkSession.createDataFrame(rows, "link long, text_crc32 long, shard int, n long")
+
+
+def shard_at(rooms: list[int], place: Column) -> Column:
+    """The shard of a place from 0, if places fill the rooms one after another."""
+    return F.size(F.filter(longs([sum(rooms[:s + 1]) for s in range(len(rooms))]), lambda end: end <= place))
+
+
+def flows(wanted: list[list[int]], room: list[int]) -> list[list[int]]:
+    """Moves to accept from shard to shard: equal counts between two shards, and then what room there is."""
+    shards = range(len(room))
+    accepted = [[min(wanted[s][t], wanted[t][s]) for t in shards] for s in shards]
+    room = list(room)
+    for t in sorted(shards, key=lambda t: -room[t]):
+        for s in sorted(shards, key=lambda s: room[s]):  # the fullest first
+            n = max(0, min(wanted[s][t] - accepted[s][t], room[t]))
+            accepted[s][t] += n
+            room[t] -= n
+            room[s] += n
+    return accepted
+
+
+def propagate(cells: DataFrame, quotas: list[int]) -> DataFrame:
+    """Balanced label propagation over (link, text_crc32, shard, n); counts by pair of shards reach the driver."""
+    shards, load, turn = len(quotas), loads(cells, len(quotas)), 0
+    while True:
+        turn += 1
+        parts = cells.withColumn("tie", F.xxhash64("link", "shard", F.lit(turn)))
+        best = F.max(F.struct("n", "tie", "shard")).over(W.partitionBy(*KEY))
+        moves = materialize(parts.withColumn("best", best).filter(F.col("shard") != F.col("best.shard")).select(
+            *KEY, "n", F.col("shard").alias("source"), F.col("best.shard").alias("shard"),
+            (F.col("best.n") - F.col("n")).alias("gain")), "moves")
+        wanted = [[0] * shards for _ in quotas]
+        for r in moves.groupBy("source", "shard").agg(F.sum("n").alias("n")).collect():
+            wanted[r["source"]][r["shard"]] = r["n"]
+        accept = flows(wanted, [q - x for q, x in zip(quotas, load)])
+        n_accepted, n_wanted = sum(map(sum, accept)), sum(map(sum, wanted))
+        if not n_accepted:
+            return cells
+        limit = F.get(longs([n for row in accept for n in row]), F.col("source") * shards + F.col("shard"))
+        taken = running(moves, ["source", "shard"], 63 - F.floor(F.log2(F.col("gain") + 1))).withColumn(
+            "n", F.least("n", limit - (F.col("upto") - F.col("n")))).filter("n > 0").select(*KEY, "source", "shard", "n")
+        moved = taken.select(*KEY, F.explode(F.array(
+            F.struct("shard", "n"), F.struct(F.col("source").alias("shard"), (-F.col("n")).alias("n")))).alias("m")).select(*KEY, "m.*")
+        cells = materialize(cells.unionByName(moved).groupBy(*KEY, "shard").agg(F.sum("n").alias("n")).filter("n > 0"), "cells")
+        load = [x + sum(accept[s][t] - accept[t][s] for s in range(shards)) for t, x in enumerate(load)]
+        if n_accepted < LEAST_ACCEPTED * n_wanted:
+            return cells
+
+
+def packed(cells: DataFrame, quotas: list[int]) -> DataFrame:
+    """``cells`` with the keys that are cut, or beyond a shard's quota, placed anew, whole where a shard has room."""
+    alone = cells.withColumn("parts", F.count("*").over(W.partitionBy(*KEY)))
+    whole = running(alone.filter("parts = 1").drop("parts"), ["shard"], F.lit(0))
+    stays = F.col("upto") <= F.get(longs(quotas), F.col("shard"))
+    whole = materialize(whole.withColumn("stays", stays).drop("upto"), "whole")
+    kept = whole.filter("stays").select(*KEY, "shard", "n")
+    cut = alone.filter("parts > 1").groupBy(*KEY).agg(F.sum("n").alias("n"))
+    cut = cut.unionByName(whole.filter("NOT stays").select(*KEY, "n"))
+    rooms = [q - x for q, x in zip(quotas, loads(kept, len(quotas)))]
+    order = running(cut.withColumn("everything", F.lit(0)), ["everything"], F.lit(0))
+    placed = materialize(order.select(*KEY, "n", shard_at(rooms, F.col("upto") - F.col("n")).alias("shard"),
+                                      shard_at(rooms, F.col("upto") - 1).alias("last")), "packed")
+    inside = placed.filter("shard = last").select(*KEY, "shard", "n")
+    rooms = [r - x for r, x in zip(rooms, loads(inside, len(quotas)))]
+    across = settled(placed.filter("shard <> last").select(*KEY, "n"), rooms)  # fewer than shards
+    return kept.unionByName(inside).unionByName(across)
+
+
+def shards(docs: DataFrame, n_shards: int = SHARDS) -> DataFrame:
     """(doc_id, row_key, size, text_crc32, shard, slot) for every row of ``docs``; slots count from 0 in each shard."""
-    key = ["link", "text_crc32"]
+    key = KEY
     rows = materialize(linked_rows(docs).withColumn("spread", F.xxhash64("row_key", F.lit("shard"))), "rows")
     quotas = quota(rows.count(), n_shards)
-    start = rows.groupBy(*key, F.pmod("spread", F.lit(n_shards)).cast("int").alias("shard")).agg(F.count("*").alias("n"))
-    cells = materialize(start.withColumn("all", F.sum("n").over(W.partitionBy(*key))).filter("all > 1").drop("all"), "cells")
-    cells = materialize(within_quota(propagate(cells, quotas, rounds), quotas), "cells")
-
-    # parts of each key, as ranges of its documents' ranks; beyond them, and without a link: free
+    sizes = materialize(rows.groupBy(*key).agg(F.count("*").alias("all")).filter("all > 1"), "sizes")
+    is_big = F.col("all") * BIG > min(quotas)
+    rooms = list(quotas)
+    big = settled(sizes.filter(is_big).select(*key, F.col("all").alias("n")), rooms)
+    start = shard_at(rooms, F.pmod(F.xxhash64("row_key", "doc_id", F.lit("start")), F.lit(max(1, sum(rooms)))))
+    cells = materialize(rows.join(sizes.filter(~is_big), key, "left_semi").groupBy(*key, start.alias("shard"))
+                        .agg(F.count("*").alias("n")), "cells")
+    cells = materialize(packed(propagate(cells, rooms), rooms).unionByName(big), "cells")
+
+    # parts of each key, as ranges of its documents' ranks; without a link: free
     parts = cells.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("shard", "n"))).alias("parts"), F.sum("n").alias("placed"))
-    whole = rows.groupBy(*key).agg(F.count("*").alias("all")).filter("all > 1")
-    parts = materialize(parts.join(whole, key, "right").select(
+    parts = materialize(parts.join(sizes, key, "right").select(
         *key, F.when((F.size("parts") == 1) & (F.col("placed") == F.col("all")), F.get("parts", F.lit(0)).shard).alias("only"),
         F.coalesce("parts", F.expr("cast(array() as array<struct<shard:int,n:long>>)")).alias("parts")), "parts")
     with_parts = rows.join(parts, key, "left").withColumn("is_free", F.col("parts").isNull())
