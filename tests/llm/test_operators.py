@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -181,6 +183,29 @@ def test_overlaps_equal_exact_search(spark, docs):
     assert {(r.doc_id, r.item_id) for r in decontamination.query(spark, SF).collect()} >= want
 
 
+def test_masks_hit_every_admissible_pattern():
+    # longer stretches hold one of 13 to 25 tokens that is as much alike
+    for n in range(decontamination.SHORT, 26):
+        seeds = [decontamination.mask_list(decontamination.MASKS)[m] for m in decontamination.masks_for(n, decontamination.MASKS)]
+        reads = [sum(1 << at + k for k, c in enumerate(m) if c == "1") for m in seeds for at in range(n - len(m) + 1)]
+        for other in itertools.combinations(range(n), n - math.ceil(0.8 * n - 1e-9)):
+            changed = sum(1 << k for k in other)
+            assert any(not r & changed for r in reads), (n, other)
+
+
+def test_overlaps_find_items_of_every_short_length(spark):
+    items, rows = [], []
+    for n in range(5, 14):
+        item = [f"i{n}x{k}" for k in range(n)]
+        items.append((n, " ".join(item)))
+        for other in itertools.combinations(range(n), n - math.ceil(0.8 * n)):
+            rows.append((n, " ".join(["before", *("other" if k in other else w for k, w in enumerate(item)), "after"])))
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontamination.overlaps(
+        docs, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == {(i, n) for i, (n, _) in enumerate(rows)}
+
+
 def test_longest_alike_equals_brute_force():
     rng = np.random.default_rng(4)
     for _ in range(200):

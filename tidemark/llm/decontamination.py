@@ -15,8 +15,10 @@ is exact, drops them.
 
 Defined results: tokens are maximal runs of letters, digits and underscores,
 lower-cased; null and empty texts match nothing; items of fewer than ``SHORT``
-tokens match nothing; items shorter than the masks' span are found by runs of
-``SHORT`` tokens; repeated rows are found alike; an empty documents or benchmark
+tokens match nothing; overlaps of ``SHORT`` to ``COVERED - 1`` tokens are found by
+masks of their own. Every way in which an overlap may differ from its item leaves at
+least one window of one mask whole, as long as ``min_equal`` is 0.8 or more (checked
+exhaustively in the tests). Repeated rows are found alike; an empty documents or benchmark
 table gives an empty result; other columns are ignored.
 """
 
@@ -33,9 +35,11 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import drop_rows, materialize, row_key, signed64, table
 
-#: 1 reads a token, 0 ignores it: six of ten, no two masks ignoring the same.
-MASKS = ("1101001011", "1110010101", "1010110011")
-#: The run of tokens that stands in for the masks in shorter items.
+#: 1 reads a token, 0 ignores it: six each. They hit every overlap of ``COVERED`` tokens and more.
+MASKS = ("1101111", "1101010011", "1111001001", "111111")
+COVERED = 13
+#: The masks of overlaps that may be shorter than that; ``FIVE`` are needed beside them for items of ``SHORT`` tokens.
+SHORT_MASKS, FIVE = ("1111", "11011"), ("10111", "11101")
 SHORT = 5
 MIN_TOKENS = 13
 MIN_EQUAL = 0.8
@@ -81,21 +85,30 @@ def window_hashes(tokens: np.ndarray, mask: str) -> np.ndarray:
 
 
 def mask_list(masks: tuple[str, ...]) -> list[str]:
-    """The masks and, as the last, the short run."""
-    return [*masks, "1" * SHORT]
+    """The masks and, after them, those of short overlaps."""
+    return [*masks, *SHORT_MASKS, *FIVE]
 
 
-def benchmark_windows(items: DataFrame, masks: tuple[str, ...] = MASKS) -> DataFrame:
+def masks_for(n_tokens: int, masks: tuple[str, ...], min_tokens: int = MIN_TOKENS) -> range:
+    """The places in ``mask_list`` of the masks that find overlaps with an item of ``n_tokens``."""
+    least, long = min(min_tokens, n_tokens), len(masks)
+    if n_tokens < SHORT:
+        return range(0)
+    if least >= COVERED:
+        return range(long)
+    return range(long, long + len(SHORT_MASKS) + (len(FIVE) if least <= SHORT else 0))
+
+
+def benchmark_windows(items: DataFrame, masks: tuple[str, ...] = MASKS, min_tokens: int = MIN_TOKENS) -> DataFrame:
     """(item_key, item_id, tokens, windows array<struct<mask, hash, at>>)."""
-    seeds, span = mask_list(masks), max(map(len, masks))
+    seeds = mask_list(masks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = Tokens()
         for batch in batches:
             tokens = [find(t) for t in batch.column(2).to_pylist()]
-            windows = [[{"mask": m, "hash": h, "at": at} for m, seed in enumerate(seeds)
-                        if (m < len(masks)) == (len(t) >= span)
-                        for at, h in enumerate(signed64(window_hashes(t, seed)).tolist())] for t in tokens]
+            windows = [[{"mask": m, "hash": h, "at": at} for m in masks_for(len(t), masks, min_tokens)
+                        for at, h in enumerate(signed64(window_hashes(t, seeds[m])).tolist())] for t in tokens]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array([signed64(t) for t in tokens], pa.list_(pa.int64())),
                  pa.array(windows, pa.list_(pa.struct([("mask", pa.int32()), ("hash", pa.int64()), ("at", pa.int32())])))],
@@ -116,9 +129,9 @@ def bitmap_of(index: DataFrame, bits: int = BITMAP_BITS) -> np.ndarray:
     return out.reshape(-1)
 
 
-def regions(docs: DataFrame, bitmap: np.ndarray, masks: tuple[str, ...], short: bool, around: int = AROUND) -> DataFrame:
-    """(row_key, doc_id, start, tokens, hits): the surroundings of windows that the bitmap lets pass."""
-    seeds = list(enumerate(mask_list(masks)))[:None if short else -1]
+def regions(docs: DataFrame, bitmap: np.ndarray, masks: tuple[str, ...], used: set[int], around: int = AROUND) -> DataFrame:
+    """(row_key, doc_id, start, tokens, hits): the surroundings of windows of the ``used`` masks that the bitmap lets pass."""
+    seeds = [(m, seed) for m, seed in enumerate(mask_list(masks)) if m in used]
     shared = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,10 +187,10 @@ def longest_alike(equal: np.ndarray, share: float) -> tuple[int, int]:
 def overlaps(docs: DataFrame, items: DataFrame, masks: tuple[str, ...] = MASKS, min_tokens: int = MIN_TOKENS,
              min_equal: float = MIN_EQUAL, around: int = AROUND) -> DataFrame:
     """(row_key, doc_id, item_id, start, n_aligned, n_equal): the largest overlap of each row and item that share one."""
-    bench = materialize(benchmark_windows(items, masks), "benchmark")
+    bench = materialize(benchmark_windows(items, masks, min_tokens), "benchmark")
     index = materialize(bench.select("item_key", F.explode("windows").alias("w")).select("item_key", "w.*"), "windows")
-    short = not index.filter(F.col("mask") == len(masks)).isEmpty()
-    found = materialize(regions(docs, bitmap_of(index), masks, short, around).dropDuplicates(["row_key", "start"]), "regions")
+    used = {r["mask"] for r in index.select("mask").distinct().collect()}
+    found = materialize(regions(docs, bitmap_of(index), masks, used, around).dropDuplicates(["row_key", "start"]), "regions")
     hits = found.select("row_key", "start", F.explode("hits").alias("h")).select(
         "row_key", "start", "h.mask", "h.hash", F.col("h.at").alias("doc_at"))
     aligned = hits.join(index, ["mask", "hash"]).select(
