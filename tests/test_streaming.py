@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 
 from conftest import SF_SMALL, make_issue, write_pages
 from pyspark.sql import functions as F
@@ -37,6 +38,20 @@ def test_daily_counts_stream_equals_batch(spark):
     )
 
 
+def test_daily_counts_stream_counts_late_rows(spark, workdir):
+    """A file for each batch, whose dates go backwards by far more than a week."""
+    src = str(workdir / "src")
+    for n, day in enumerate(["2024-06-30", "2024-05-01", "2024-05-01", "2024-01-01"]):
+        rows = [("a", dt.datetime.fromisoformat(f"{day} 0{h}:00:00")) for h in range(3)]
+        spark.createDataFrame(rows, "event_type string, ts timestamp").coalesce(1).write.parquet(f"{src}/{n}")
+        for f in (workdir / "src" / str(n)).glob("part-*"):  # oldest file first
+            os.utime(f, (1_700_000_000 + n, 1_700_000_000 + n))
+    stream = spark.readStream.schema("event_type string, ts timestamp").option("recursiveFileLookup", True).option(
+        "maxFilesPerTrigger", 1).parquet(src)
+    got = {str(r.calendar_date): r.event_count for r in incremental.run_daily_counts(spark, stream, ["event_type"], "ts").collect()}
+    assert got == {"2024-06-30": 3, "2024-05-01": 6, "2024-01-01": 3}
+
+
 def test_upsert_stream_over_out_of_order_batches_equals_one_pass(spark, workdir):
     """Newest slice arrives first, oldest last; the snapshot still keeps the latest."""
     versions = _versions(spark)

@@ -4,9 +4,9 @@ I10 - micro-batch upsert: each micro-batch of new records (or of new manifest
       rows, which name the runs to merge) is merged into a versioned snapshot
       with the same keep-latest rule as the batch pipeline. The merge is
       idempotent, so a micro-batch replayed after a failure is harmless.
-I11 - daily counts as a stream: event-time windows of one day with a
-      watermark bounding state; per-batch updates are appended to a table and
-      the latest value per (key, day) is the current count.
+I11 - daily counts as a stream: each micro-batch appends its partial counts
+      per key and UTC day, and their sums are the current counts. There is no
+      state and no watermark, so late rows count too.
 
 Checkpoints and sink tables live under the session's shared checkpoint folder
 (``spark.checkpoint.dir``), never on a machine-local path on a cluster.
@@ -162,40 +162,34 @@ def manifest_driven_silver(spark: SparkSession, base: str, checkpoint: str, avai
 
 
 # --------------------------------------------------------------------------
-# Daily counts with event-time windows
+# Daily counts by event time
 # --------------------------------------------------------------------------
 
 
-def daily_counts_stream(
-    stream: DataFrame,
-    keys: Sequence[str],
-    ts_col: str,
-    lateness: str = "7 days",
-    count_col: str = "event_count",
-) -> DataFrame:
-    """Streaming aggregation: per key and UTC day, with a watermark bounding state."""
-    agg = (
-        stream.withWatermark(ts_col, lateness)
-        .groupBy(*keys, F.window(ts_col, "1 day").alias("w"))
-        .agg(F.count(F.lit(1)).alias(count_col))
-    )
-    return agg.select(*keys, F.to_date(F.col("w.start")).alias("calendar_date"), count_col)
+def daily_counts_of(batch: DataFrame, keys: Sequence[str], ts_col: str, count_col: str = "event_count") -> DataFrame:
+    """Partial counts of one micro-batch: per key and UTC day."""
+    return batch.filter(F.col(ts_col).isNotNull()).groupBy(*keys, F.to_date(ts_col).alias("calendar_date")).agg(
+        F.count(F.lit(1)).alias(count_col))
 
 
-class LatestValueSink:
-    """foreachBatch target for update-mode aggregates: append each batch's
-    updated rows with their batch id; the latest row per key is current."""
+class DailyCountSink:
+    """foreachBatch target: a folder of partial daily counts for each batch,
+    which a replayed batch writes anew; their sums are current. No state and no
+    watermark, so rows count however late they arrive."""
 
-    def __init__(self, path: str, keys: Sequence[str]):
+    def __init__(self, path: str, keys: Sequence[str], ts_col: str, count_col: str = "event_count"):
         self.path = path.rstrip("/")
         self.keys = list(keys)
+        self.ts_col = ts_col
+        self.count_col = count_col
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("append").parquet(self.path)
+        counts = daily_counts_of(batch, self.keys, self.ts_col, self.count_col)
+        counts.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
 
     def current(self, spark: SparkSession) -> DataFrame:
-        df = spark.read.parquet(self.path)
-        return ops.latest_by_key(df, self.keys, [F.col("batch_id").desc()]).drop("batch_id")
+        return spark.read.parquet(self.path).groupBy(*self.keys, "calendar_date").agg(
+            F.sum(self.count_col).alias(self.count_col))
 
 
 def run_daily_counts(
@@ -203,14 +197,11 @@ def run_daily_counts(
     stream: DataFrame,
     keys: Sequence[str],
     ts_col: str,
-    lateness: str = "7 days",
 ) -> DataFrame:
     """Run I11 over everything available now; return the current counts."""
-    counts = daily_counts_stream(stream, keys, ts_col, lateness)
-    sink = LatestValueSink(scratch(spark, "daily-counts"), [*keys, "calendar_date"])
+    sink = DailyCountSink(scratch(spark, "daily-counts"), keys, ts_col)
     q = (
-        counts.writeStream.outputMode("update")
-        .foreachBatch(sink)
+        stream.writeStream.foreachBatch(sink)
         .option("checkpointLocation", scratch(spark, "daily-counts-ckpt"))
         .trigger(availableNow=True)
         .start()
