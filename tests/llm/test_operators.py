@@ -491,6 +491,15 @@ def test_pseudonyms_keep_formats_and_links(spark):
     assert re.search(r"\d{4}/\d\d/\d\d", got[8].text)[0].split("/") == re.search(r"\d\d\.\d\d\.\d{4}", got[9].text)[0].split(".")[::-1]
 
 
+def test_values_alone_in_a_text_are_found(spark):
+    values = ["jane_@example.com", "jane.@example.com", "j%@example.com", "j+@example.com", "j-@example.com", "a@b.de", "1.2.3.4",
+              "GB82WEST12345698765432", "1999-12-31", "123-45-6789", "+1 (917) 555-7713", "4111111111111111", "b4" * 16]
+    rows = [(i, v) for i, v in enumerate(values)] + [(100 + i, f"{v} in 2024") for i, v in enumerate(values)]
+    got = {r.doc_id: r for r in pseudonyms.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, value in enumerate(values):
+        assert got[i].text != value and got[i].n_pseudonyms == 1 and got[100 + i].text == f"{got[i].text} in 2024"
+
+
 def test_feistel_is_a_permutation(spark):
     vector = F.array(pseudonyms.digit((F.col("id") / 30).cast("int"), 20), pseudonyms.digit(F.col("id") % 30, 30))
     out = spark.range(600).select(pseudonyms.permute(vector, F.lit("test")).alias("v")).collect()

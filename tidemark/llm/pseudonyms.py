@@ -57,7 +57,7 @@ PATTERNS = {
 }
 PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: What every value has: without it a text is not searched.
-HINT = r"[0-9][0-9./() -]*[0-9]|[0-9]@|[A-Za-z]@[A-Za-z0-9]|[0-9a-fA-F]{32}"
+HINT = r"[0-9][0-9./() -]*[0-9]|@[A-Za-z0-9]|[0-9a-fA-F]{32}"
 
 #: Days in 400 years of the calendar, 189 * 773, and the first day of such a period.
 PERIOD, PERIOD_PARTS, EPOCH = 146_097, (189, 773), "1800-01-01"
