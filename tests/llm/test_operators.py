@@ -500,6 +500,16 @@ def test_values_alone_in_a_text_are_found(spark):
         assert got[i].text != value and got[i].n_pseudonyms == 1 and got[100 + i].text == f"{got[i].text} in 2024"
 
 
+def test_long_hex_keys_are_replaced(spark):
+    keys = ["b4" * (n // 2) for n in (200, 202, 256, 4096)] + ["C" * 300 + "7" * 100]
+    rows = [(i, f"key {k}.") for i, k in enumerate(keys)] + [(9, "f" * 300), (10, "7" * 300)]
+    got = {r.doc_id: r.text for r in pseudonyms.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, key in enumerate(keys):
+        new = re.fullmatch(r"key ([0-9a-fA-F]+)\.", got[i])[1]
+        assert new != key and len(new) == len(key) and [c.isdigit() for c in new] == [c.isdigit() for c in key]
+    assert got[9] == "f" * 300 and got[10] == "7" * 300
+
+
 def test_feistel_is_a_permutation(spark):
     vector = F.array(pseudonyms.digit((F.col("id") / 30).cast("int"), 20), pseudonyms.digit(F.col("id") % 30, 30))
     out = spark.range(600).select(pseudonyms.permute(vector, F.lit("test")).alias("v")).collect()

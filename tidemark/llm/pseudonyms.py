@@ -53,7 +53,7 @@ PATTERNS = {
     "ip": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?!\.?[0-9])",
     "phone": r"(?<![0-9])(?:\+1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])",
     "card": r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])",
-    "hex": r"(?<![A-Za-z0-9])(?=[a-fA-F]{0,200}[0-9])(?=[0-9]{0,200}[a-fA-F])(?:[0-9a-f]{32,200}|[0-9A-F]{32,200})(?![A-Za-z0-9])",
+    "hex": r"(?<![A-Za-z0-9])(?=[a-fA-F]*+[0-9])(?=[0-9]*+[a-fA-F])(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+)(?![A-Za-z0-9])",
 }
 PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: What every value has: without it a text is not searched.
@@ -86,8 +86,9 @@ def permute(vector: Column, label: Column, key: str = KEY, turns: int = TURNS) -
                 ((d.v + F.conv(F.substr(F.get(drawn, (i / 16).cast("int")), (i % 16) * 8 + 1, F.lit(8)), 16, 10).cast("long"))
                  % d.r).alias("v"), d.r.alias("r"))))
 
-        # the halves change places
-        fixed = F.array_join(F.transform(state.right, lambda d: F.concat_ws(":", d.v, d.r)), ",")
+        # the halves change places; a long one is hashed once, not for each block
+        fixed = let(F.array_join(F.transform(state.right, lambda d: F.concat_ws(":", d.v, d.r)), ","),
+                    lambda half: F.when(F.size(state.right) > 100, F.sha2(half, 512)).otherwise(half))
         return F.struct(state.right.alias("left"), let(fixed, added).alias("right"))
 
     def run(digits: Column) -> Column:
@@ -269,10 +270,16 @@ def email(value: Column, out: Column) -> Column:
     return F.concat(rewrite(F.substring_index(value, "@", 1), out), F.lit("@"), F.substring_index(value, "@", -1))
 
 
+def hex_key(value: Column, out: Column) -> Column:
+    # letters and digits only, so each has the digit at its own place: linear, however long the key
+    base = lambda c: F.when(c.between("0", "9"), ord("0")).when(c.between("a", "z"), ord("a")).otherwise(ord("A"))
+    return F.array_join(F.transform(chars(value), lambda c, i: F.char(base(c) + F.get(out, i))), "")
+
+
 KINDS = {
     "email": Kind(email_vector, email), "iban": Kind(iban_vector, iban), "date": Kind(date_vector, date),
     "ssn": Kind(ssn_vector, ssn), "ip": Kind(ip_vector, ip), "phone": Kind(phone_vector, phone),
-    "card": Kind(card_vector, card), "hex": Kind(lambda v: char_digits(v, 6), rewrite),
+    "card": Kind(card_vector, card), "hex": Kind(lambda v: char_digits(v, 6), hex_key),
 }
 
 
