@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tidemark.llm import (
-    chat, decontamination, lines, mixing, pseudonyms, quality, sharding, simhash, toxicity, urls,
+    chat, decontamination, lines, manifest, mixing, pseudonyms, quality, repair, sharding, simhash, toxicity, urls,
 )
 
 QUERIES = {
@@ -17,6 +17,12 @@ QUERIES = {
     "op8_covering_simhash": simhash.query,
     "op9_label_propagation_sharding": sharding.query,
     "op10_weak_supervision_quality": quality.query,
+    "op11_merkle_manifest": manifest.query,
+    "op13_conversation_repair": repair.query,
 }
 
-SQL = {"op5_chat_formatting": chat.SQL}
+SQL = {
+    "op5_chat_formatting": chat.SQL,
+    "op11_merkle_manifest": manifest.SQL,
+    "op13_conversation_repair": repair.SQL,
+}
