@@ -339,11 +339,10 @@ WITH RECURSIVE crc AS (
          CASE how WHEN 1 THEN '' WHEN 2 THEN regexp_replace(COALESCE(text, ' '), '[.!?]', '', 'g') ELSE COALESCE(text, ' ') END AS text
   FROM crc, LATERAL (SELECT unnest(CASE how WHEN 0 THEN []::INT[] WHEN 3 THEN [0, 1] ELSE [0] END) AS copy) AS copies
 ), numbered AS (
-  SELECT *, row_number() OVER all_rows AS pos, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS same,
-         left(role, 1) AS initial, lag(left(role, 1)) OVER all_rows AS before, rtrim(text, E' \\t\\n\\x0B\\f\\r') AS bare
+  SELECT *, row_number() OVER all_rows AS pos, left(role, 1) AS initial, lag(left(role, 1)) OVER all_rows AS before, rtrim(text, E' \\t\\n\\x0B\\f\\r') AS bare
   FROM damaged WINDOW all_rows AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
 ), judged AS (
-  SELECT *, CASE WHEN bare = '' THEN 'blank' WHEN same > 1 THEN 'duplicate' WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated'
+  SELECT *, CASE WHEN bare = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'duplicate' WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated'
                  ELSE '' END AS fault
   FROM numbered
 ), counts AS (
