@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tidemark.llm import (
-    chat, decontamination, lines, manifest, mixing, pseudonyms, quality, repair, sharding, simhash, toxicity, urls,
+    chat, decontamination, groups, lines, manifest, mixing, pseudonyms, quality, repair, sharding, simhash, toxicity, urls,
 )
 
 QUERIES = {
@@ -18,11 +18,13 @@ QUERIES = {
     "op9_label_propagation_sharding": sharding.query,
     "op10_weak_supervision_quality": quality.query,
     "op11_merkle_manifest": manifest.query,
+    "op12_token_group_join": groups.query,
     "op13_conversation_repair": repair.query,
 }
 
 SQL = {
     "op5_chat_formatting": chat.SQL,
     "op11_merkle_manifest": manifest.SQL,
+    "op12_token_group_join": groups.SQL,
     "op13_conversation_repair": repair.SQL,
 }
