@@ -5,9 +5,9 @@ link when their sets' Jaccard similarity is at least ``percent`` hundredths.
 
 1. Equal sets are one class, found by one aggregation; everything below works on classes.
 2. Shingles are ordered by rarity (counts of all documents' shingles in a table of
-   ``BUCKETS`` hash buckets, kept as steps of their logarithm). Similar sets share one of
-   their first ``n - ceil(t n) + 1`` shingles in any one order, so a class none of
-   whose first shingles occurs in another class has no link.
+   ``BUCKETS`` hash buckets, kept as steps of their logarithm). In any one order, similar sets
+   share ``least(n)`` of their first ``n - ceil(t n) + least(n)`` shingles, so a class that has
+   fewer first shingles in common with all other classes together has no link.
 3. The other classes are sorted by min-hashes of their sets and cut into groups of
    ``GROUP`` neighbours, so that similar documents share a group. The token-group
    matrix holds which group has which shingle.
@@ -17,7 +17,7 @@ link when their sets' Jaccard similarity is at least ``percent`` hundredths.
 5. Only connectivity is asked for, so classes that are linked already are not compared
    again: first each group is opened for its own members, then for each class the one
    earlier group with which it shares most first shingles, and then, for each pair of a class
-   and a group that share a first shingle and lie in different components, the group. The
+   and a group that share enough first shingles and lie in different components, the group. The
    last step is exact; the first two leave it little. A query is of the smaller component,
    so that a large group of copies is not compared with itself.
 
@@ -32,6 +32,7 @@ if a component has no other; an empty table gives an empty result; other columns
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,8 +51,10 @@ PERCENT = 85
 GROUP = 32
 #: Queries that one task compares with a group.
 QUERIES = 1024
+#: One in so many shingles must be shared among the first ones, and one more.
+LEAST = 20
 #: Hash buckets whose shingles are counted, and buckets of one row of counts.
-BUCKETS, ROW = 2 ** 18, 2 ** 10
+BUCKETS, ROW = 2 ** 18, 2 ** 12
 #: Words whose hashes a task remembers.
 WORDS = 1_000_000
 #: Odd multipliers: of a word's place in a shingle, and of the min-hashes' orders.
@@ -95,32 +98,39 @@ def bucket_counts(docs: DataFrame, shingle: int = SHINGLE) -> np.ndarray:
         for batch in batches:
             sets = [shingles(t, hashes, shingle) for t in batch.column(0).to_pylist()]
             if sets:
-                total += np.bincount((np.concatenate(sets) % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS)
-        yield from as_rows(total, range(BUCKETS // ROW))
+                np.add.at(total, (np.concatenate(sets) % np.uint64(BUCKETS)).astype(np.int64), 1)
+        yield as_rows(total)
 
-    def as_rows(total: np.ndarray, rows: range | list[int]) -> Iterator[pa.RecordBatch]:
-        kept = [r for r in rows if total[r * ROW:(r + 1) * ROW].any()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(kept, pa.int32()), pa.array([total[r * ROW:(r + 1) * ROW].tobytes() for r in kept], pa.binary())],
-            names=["row", "counts"])
+    def as_rows(total: np.ndarray) -> pa.RecordBatch:
+        kept = [r for r in range(BUCKETS // ROW) if total[r * ROW:(r + 1) * ROW].any()]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(kept, pa.int32()),
+             pa.array([zlib.compress(total[r * ROW:(r + 1) * ROW].tobytes(), 1) for r in kept], pa.binary())], names=["row", "counts"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(BUCKETS, np.int64)
         for batch in batches:
             for row, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                total[row * ROW:(row + 1) * ROW] += np.frombuffer(counts, np.int64)
-        yield from as_rows(total, range(BUCKETS // ROW))
+                total[row * ROW:(row + 1) * ROW] += np.frombuffer(zlib.decompress(counts), np.int64)
+        steps = np.minimum(np.log2(total + 1) * 3, 255).astype(np.uint8)
+        yield as_rows(steps)
 
     schema = "row int, counts binary"
     parts = docs.select(F.col("text").cast("binary")).mapInArrow(count, schema)
-    total = np.zeros(BUCKETS, np.int64)
-    for row in parts.repartition("row").mapInArrow(add, schema).collect():  # BUCKETS numbers, whatever the corpus
-        total[row["row"] * ROW:(row["row"] + 1) * ROW] = np.frombuffer(row["counts"], np.int64)
-    return np.minimum(np.log2(total + 1) * 3, 255).astype(np.uint8)
+    steps = np.zeros(BUCKETS, np.uint8)
+    for row in parts.repartition("row").mapInArrow(add, schema).collect():  # a byte for each bucket, whatever the corpus
+        steps[row["row"] * ROW:(row["row"] + 1) * ROW] = np.frombuffer(zlib.decompress(row["counts"]), np.uint8)
+    return steps
 
 
 def prefix_size(n: int, percent: int = PERCENT) -> int:
-    return n - -(-percent * n // 100) + 1
+    """How many first shingles of a set of ``n`` are looked at."""
+    return min(n, n - -(-percent * n // 100) + 1 + n // LEAST)
+
+
+def least(n: Column, percent: int = PERCENT) -> Column:
+    """How many of them a similar set shares, of the sizes that such a set can have."""
+    return 1 + F.floor(F.ceil(n * percent / 100) / LEAST)
 
 
 def signed(values: np.ndarray) -> np.ndarray:
@@ -168,15 +178,21 @@ def row_hash() -> Column:
     return F.xxhash64("doc_id", "text")
 
 
-def sharing(classes: DataFrame) -> DataFrame:
-    """(token, c1): the first shingles that several of ``classes`` have, written."""
-    postings = classes.select(F.explode("prefix").alias("token"), "c1").repartition("token")
+def sharing(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(token, c1): the first shingles that several of ``classes`` have, of the classes that have enough of them, written."""
+    postings = classes.select(F.explode("prefix").alias("token"), "c1", "n").repartition("token")
     several = postings.groupBy("token").agg((F.min("c1") != F.max("c1")).alias("several")).filter("several").select("token")
-    return materialize(postings.join(several, "token"), "sharing")
+    shared = materialize(postings.join(several, "token"), "sharing")
+    enough = shared.groupBy("c1").agg(F.count("*").alias("k"), F.min("n").alias("least_n")).filter(
+        F.col("k") >= least(F.col("least_n"), percent)).select("c1")
+    return shared.join(enough, "c1").select("token", "c1")
 
 
-def member_sets(docs: DataFrame, members: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(id, group, tokens): the sets of ``members`` (id, group, row, c1, c2), made again from their texts, written."""
+def member_sets(docs: DataFrame, members: DataFrame, repeated: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """(id, group, tokens): the sets of ``members`` (id, group, row, c1, c2), made again from their texts, written.
+
+    ``repeated`` has the ``row`` of documents that stand several times with their id and text.
+    """
     texts = docs.select(row_hash().alias("row"), F.col("text").cast("binary").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,8 +206,12 @@ def member_sets(docs: DataFrame, members: DataFrame, shingle: int = SHINGLE) ->
                 [batch.column(0).filter(pa.array(same)), batch.column(1).filter(pa.array(same)),
                  lists([s for s, ok in zip(sets, same) if ok])], names=["id", "group", "tokens"])
 
-    found = members.select("id", "group", "c1", "c2", "row").join(texts, "row").select("id", "group", "c1", "c2", "text")
-    return materialize(found.mapInArrow(run, "id long, group long, tokens array<long>").dropDuplicates(["id"]), "members")
+    wanted = members.select("id", "group", "c1", "c2", "row")
+    found = wanted.join(texts, "row")
+    if not repeated.isEmpty():
+        again = wanted.join(texts.join(repeated, "row", "left_semi"), "row").dropDuplicates(["id"])
+        found = found.join(repeated, "row", "left_anti").unionByName(again)
+    return materialize(found.select("id", "group", "c1", "c2", "text").mapInArrow(run, "id long, group long, tokens array<long>"), "members")
 
 
 class Opened:
@@ -282,15 +302,15 @@ def relabelled(labels: DataFrame, edges: DataFrame) -> DataFrame:
     return materialize(labels.join(step, "label", "left").select("id", F.coalesce("lower", "label").alias("label")), "group-labels")
 
 
-def class_labels(docs: DataFrame, members: DataFrame, postings: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """(id, label) of ``members`` (id, group, n, row, c1, c2): equal labels for classes that links connect."""
-    sets = member_sets(docs, members, shingle)
+def class_labels(sets: DataFrame, postings: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(id, label) of the classes in ``sets`` (id, group, tokens): equal labels for classes that links connect."""
     own = sets.select("group", F.lit(0).cast("long").alias("chunk"), F.lit(False).alias("query"), F.col("id").alias("label"), "tokens")
     links = materialize(open_groups(own, percent), "group-links")
     labels = relabelled(sets.select("id", F.col("id").alias("label")), links)
 
     leaders = postings.groupBy("token").agg(F.min("group").alias("leader"))
-    best = (postings.join(leaders, "token").filter(F.col("leader") < F.col("group")).groupBy("id", "leader").count()
+    best = (postings.join(leaders, "token").filter(F.col("leader") < F.col("group")).groupBy("id", "leader").agg(
+                F.count("*").alias("count"), F.min("n").alias("n")).filter(F.col("count") >= least(F.col("n"), percent))
             .groupBy("id").agg(F.max_by("leader", F.struct("count", "leader")).alias("group")))
     labels = relabelled(labels, opened_for(best, sets, labels, percent))
 
@@ -303,7 +323,9 @@ def class_labels(docs: DataFrame, members: DataFrame, postings: DataFrame, shing
     pairs = queries.join(rows, "token").filter(
         (F.col("part") < F.col("largest")) & (F.col("own") != F.col("group"))
         & (100 * F.col("most") >= percent * F.col("n")) & (100 * F.col("n") >= percent * F.col("least")))
-    return relabelled(labels, opened_for(pairs.select("id", "group").distinct(), sets, labels, percent))
+    enough = pairs.groupBy("id", "group").agg(F.count("*").alias("count"), F.min("n").alias("n")).filter(
+        F.col("count") >= least(F.col("n"), percent))
+    return relabelled(labels, opened_for(enough.select("id", "group"), sets, labels, percent))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, group: int = GROUP) -> DataFrame:
@@ -312,13 +334,14 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     classes = materialize(found.filter("n > 0").groupBy("c1", "c2").agg(
         F.min("doc_id").alias("first_id"), F.min("row").alias("row"),
         *[F.first(c).alias(c) for c in ("n", "s1", "s2", "prefix")]), "classes")
-    shared = sharing(classes)
+    shared = materialize(sharing(classes, percent), "shared")
     live = classes.select("c1", "c2", "row", "n", "s1", "s2", "first_id").join(shared.select("c1").distinct(), "c1", "left_semi")
     members = placed(live, ["s1", "s2", "n"], "live").select(
         F.col("place").alias("id"), F.expr(f"place div {group}").alias("group"), "c1", "c2", "row", "n", "first_id")
     members = materialize(members, "grouped")
     postings = materialize(shared.join(members.select("c1", "id", "group", "n"), "c1").drop("c1"), "postings")
-    labels = class_labels(docs, members, postings, shingle, percent)
+    repeated = materialize(found.groupBy("row").count().filter("count > 1").select("row"), "repeated")
+    labels = class_labels(member_sets(docs, members, repeated, shingle), postings, percent)
     linked = members.join(labels, "id").select("c1", "c2", "label", "first_id")
     firsts = linked.groupBy("label").agg(F.min("first_id").alias("lowest"))
     lowest = linked.join(firsts, "label").select("c1", "c2", "lowest")
