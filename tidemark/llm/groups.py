@@ -15,10 +15,10 @@ link when their sets' Jaccard similarity is at least ``percent`` hundredths.
    ``t`` of its shingles in the group's union can be similar to no member. For the others
    the same look-up gives the overlap with every member, and Jaccard is verified.
 5. Only connectivity is asked for, so classes that are linked already are not compared
-   again: first each group is opened for its own members, then for each class the one
-   earlier group with which it shares most first shingles, and then, for each pair of a class
-   and a group that share enough first shingles and lie in different components, the group. The
-   last step is exact; the first two leave it little. A query is of the smaller component,
+   again: first each group is opened for its own members, then, ``PILOTS`` times, for each first
+   shingle of a class ``LEADERS`` of the groups that have it, and then, for each pair of a class
+   and a group that share a first shingle at places that leave enough to share, and lie in
+   different components, the group. The last step is exact; the others leave it little. A query is of the smaller component,
    so that a large group of copies is not compared with itself.
 
 A group with many queries is opened by several tasks, ``QUERIES`` queries each. Sets are
@@ -38,7 +38,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import materialize, table
@@ -49,12 +49,16 @@ SHINGLE = 4
 PERCENT = 85
 #: Classes of one group.
 GROUP = 32
+#: Rounds before the exact one, and the groups that a shingle leads to in each.
+PILOTS, LEADERS = 1, 8
 #: Queries that one task compares with a group.
 QUERIES = 1024
 #: One in so many shingles must be shared among the first ones, and one more.
 LEAST = 20
 #: Hash buckets whose shingles are counted, and buckets of one row of counts.
 BUCKETS, ROW = 2 ** 18, 2 ** 12
+#: Bits of the bitmap of documents whose sets are made again, and of one row of Spark's bitmap aggregate.
+BITS, ROW_BITS = 2 ** 24, 32_768
 #: Words whose hashes a task remembers.
 WORDS = 1_000_000
 #: Odd multipliers: of a word's place in a shingle, and of the min-hashes' orders.
@@ -179,13 +183,23 @@ def row_hash() -> Column:
 
 
 def sharing(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(token, c1): the first shingles that several of ``classes`` have, of the classes that have enough of them, written."""
-    postings = classes.select(F.explode("prefix").alias("token"), "c1", "n").repartition("token")
+    """(token, at, c1): the first shingles that several of ``classes`` have, of the classes that have enough of them, written."""
+    postings = classes.select(F.posexplode("prefix").alias("at", "token"), "c1").repartition("token")
     several = postings.groupBy("token").agg((F.min("c1") != F.max("c1")).alias("several")).filter("several").select("token")
     shared = materialize(postings.join(several, "token"), "sharing")
-    enough = shared.groupBy("c1").agg(F.count("*").alias("k"), F.min("n").alias("least_n")).filter(
-        F.col("k") >= least(F.col("least_n"), percent)).select("c1")
-    return shared.join(enough, "c1").select("token", "c1")
+    enough = shared.groupBy("c1").count().join(classes.groupBy("c1").agg(F.min("n").alias("n")), "c1").filter(
+        F.col("count") >= least(F.col("n"), percent)).select("c1")
+    return shared.join(enough, "c1").select("token", "at", "c1")
+
+
+def among(texts: DataFrame, members: DataFrame) -> DataFrame:
+    """``texts`` whose ``row`` may be one of ``members``': a bitmap of ``BITS`` bits lets them all pass, and few others."""
+    bit = F.pmod(F.xxhash64("row"), F.lit(BITS))
+    bitmap = members.select(bit.alias("p")).groupBy(F.expr(f"p div {ROW_BITS}").alias("part")).agg(
+        F.bitmap_construct_agg(F.col("p") % ROW_BITS).alias("bits"))
+    byte = f"cast(conv(hex(substring(bits, cast(p % {ROW_BITS} div 8 as int) + 1, 1)), 16, 10) as int)"
+    return texts.withColumn("p", bit).withColumn("part", F.expr(f"p div {ROW_BITS}")).join(F.broadcast(bitmap), "part") \
+        .filter(F.expr(f"{byte} & shiftleft(1, cast(p % 8 as int)) <> 0")).select("row", "text")
 
 
 def member_sets(docs: DataFrame, members: DataFrame, repeated: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -193,7 +207,7 @@ def member_sets(docs: DataFrame, members: DataFrame, repeated: DataFrame, shingl
 
     ``repeated`` has the ``row`` of documents that stand several times with their id and text.
     """
-    texts = docs.select(row_hash().alias("row"), F.col("text").cast("binary").alias("text"))
+    texts = among(docs.select(row_hash().alias("row"), F.col("text").cast("binary").alias("text")), members)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -308,24 +322,35 @@ def class_labels(sets: DataFrame, postings: DataFrame, percent: int = PERCENT) -
     links = materialize(open_groups(own, percent), "group-links")
     labels = relabelled(sets.select("id", F.col("id").alias("label")), links)
 
-    leaders = postings.groupBy("token").agg(F.min("group").alias("leader"))
-    best = (postings.join(leaders, "token").filter(F.col("leader") < F.col("group")).groupBy("id", "leader").agg(
-                F.count("*").alias("count"), F.min("n").alias("n")).filter(F.col("count") >= least(F.col("n"), percent))
-            .groupBy("id").agg(F.max_by("leader", F.struct("count", "leader")).alias("group")))
-    labels = relabelled(labels, opened_for(best, sets, labels, percent))
+    for turn in range(PILOTS):
+        each = postings.join(labels, "id")
+        rows = each.groupBy("token", "group").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+        first = Window.partitionBy("token").orderBy(F.xxhash64("group", F.lit(turn)))
+        few = rows.withColumn("at", F.row_number().over(first)).filter(F.col("at") <= LEADERS).drop("at")
+        pairs = each.withColumnRenamed("group", "own").join(few, "token").filter(
+            (F.col("own") != F.col("group")) & ((F.col("low") != F.col("label")) | (F.col("high") != F.col("label"))))
+        labels = relabelled(labels, opened_for(enough(pairs, percent), sets, labels, percent))
 
     weight = labels.groupBy("label").agg(F.count("*").alias("size"))
     ranked = labels.join(weight, "label").select("id", F.struct("size", "label").alias("part"))
-    each = postings.join(ranked, "id")
-    rows = each.groupBy("token", "group").agg(F.max("part").alias("largest"), F.min("n").alias("least"), F.max("n").alias("most"))
+    # similar x and y overlap in t (|x| + |y|) / (1 + t) shingles at least, and from the first that they share, at places
+    # i and j, in |x| - i and |y| - j at most; so t |y| <= |x| - (1 + t) i, the reach of x at its place, and the reverse
+    reach = 100 * F.col("n") - (100 + percent) * F.col("at")
+    each = postings.join(ranked, "id").withColumn("reach", reach).filter(F.col("reach") >= percent * percent / 100 * F.col("n"))
+    rows = each.groupBy("token", "group").agg(F.max("part").alias("largest"), F.min("n").alias("least"), F.max("reach").alias("most"))
     split = rows.groupBy("token").agg(F.count("*").alias("groups"), F.max("largest").alias("top")).filter("groups > 1")
-    queries = each.join(split.select("token", "top"), "token").filter(F.col("part") < F.col("top")).select("token", "id", "n", "part", F.col("group").alias("own"))
+    queries = each.join(split.select("token", "top"), "token").filter(F.col("part") < F.col("top")).select(
+        "token", "id", "n", "reach", "part", F.col("group").alias("own"))
     pairs = queries.join(rows, "token").filter(
         (F.col("part") < F.col("largest")) & (F.col("own") != F.col("group"))
-        & (100 * F.col("most") >= percent * F.col("n")) & (100 * F.col("n") >= percent * F.col("least")))
-    enough = pairs.groupBy("id", "group").agg(F.count("*").alias("count"), F.min("n").alias("n")).filter(
-        F.col("count") >= least(F.col("n"), percent))
-    return relabelled(labels, opened_for(enough.select("id", "group"), sets, labels, percent))
+        & (F.col("most") >= percent * F.col("n")) & (F.col("reach") >= percent * F.col("least")))
+    return relabelled(labels, opened_for(pairs.select("id", "group").distinct(), sets, labels, percent))
+
+
+def enough(pairs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(id, group) of ``pairs`` (token, id, group, n) that share as many first shingles as similar sets do."""
+    return pairs.groupBy("id", "group").agg(F.count("*").alias("count"), F.min("n").alias("n")).filter(
+        F.col("count") >= least(F.col("n"), percent)).select("id", "group")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, group: int = GROUP) -> DataFrame:
