@@ -7,10 +7,11 @@ import pytest
 from conftest import SF_SMALL
 
 import __spark_entry__ as entry
+import oracle_queries
+from tidemark.plans.queries import REGISTRY as QUERIES
 from tools.check_oracle import TABLES, digest
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+ORACLE = oracle_queries.SQL
 
 
 @pytest.fixture(scope="module")
@@ -23,6 +24,7 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
