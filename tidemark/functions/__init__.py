@@ -1,6 +1,7 @@
 from tidemark.functions.columns import (  # noqa: F401
     WEEKDAY_NAMES,
     calendar_day_diff,
+    canonical_json,
     closure_age_days,
     direction_signal,
     empty_string_array,

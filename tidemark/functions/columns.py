@@ -35,6 +35,14 @@ def try_bool(c: str | Column) -> Column:
     return col_(c).try_cast("boolean")
 
 
+def canonical_json(c: str | Column) -> Column:
+    """JSON text with the keys of every object in order and no white space; text that is not JSON stays as it is.
+
+    A variant keeps an object's fields sorted by name, so two texts of one record that differ in key order become equal.
+    """
+    return F.coalesce(F.to_json(F.try_parse_json(col_(c))), col_(c))
+
+
 def json_key_present(json_text: str | Column, key: str) -> Column:
     """True when the top-level object has ``key``, even if its value is JSON null."""
     return F.coalesce(F.array_contains(F.json_object_keys(col_(json_text)), F.lit(key)), F.lit(False))

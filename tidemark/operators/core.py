@@ -163,14 +163,22 @@ def rank_within(df: DataFrame, keys: Sequence[str], ranks: dict[str, Column]) ->
     return out
 
 
-def top_k_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int) -> DataFrame:
-    """At most ``k`` rows per group under a total order (add a tie key to ``order``).
+#: Reducers that share a hot group's winners before they meet.
+TOP_K_PARTS = 32
 
-    ``row_number() <= k`` is planned with a partial ``WindowGroupLimit`` before
-    the shuffle, so a hot group ships at most k rows per map task.
+
+def top_k_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, parts: int = TOP_K_PARTS) -> DataFrame:
+    """At most ``k`` rows per group under a total order (add a tie key to ``order``), sorted by group and ``order``.
+
+    Two stages: the map tasks, whose partial ``WindowGroupLimit`` leaves ``k`` rows of a group each, are dealt to
+    ``parts`` reducers by their partition number; these leave ``k`` rows each, so the group's last reducer reads
+    ``parts * k`` rows however many tasks hold the group. The total order makes the result independent of the dealing.
     """
-    w = Window.partitionBy(*_cols(keys)).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k).drop("_rn")
+    dealt = df.withColumn("_part", F.pmod(F.spark_partition_id(), F.lit(parts)))
+    for by in (["_part"], []):
+        w = Window.partitionBy(*_cols([*keys, *by])).orderBy(*order)
+        dealt = dealt.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k)
+    return dealt.drop("_rn", "_part").orderBy(*_cols(keys), *order)
 
 
 # --------------------------------------------------------------------------
@@ -200,12 +208,14 @@ def orphan_rows(child: DataFrame, parent: DataFrame, keys: Sequence[str]) -> Dat
 
 
 def spine_gap_groups(df: DataFrame, keys: Sequence[str], date_col: str) -> DataFrame:
-    """Groups whose row count differs from their first-to-last day span + 1."""
-    d = F.col(date_col).cast("date")
-    return (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("actual_rows"), F.min(d).alias("_lo"), F.max(d).alias("_hi"))
-        .withColumn("expected_rows", (F.datediff("_hi", "_lo") + 1).cast("bigint"))
-        .filter(F.col("actual_rows") != F.col("expected_rows"))
-        .drop("_lo", "_hi")
-    )
+    """Groups with another number of rows than days from first to last: (keys, missing_days, repeated_days).
+
+    Both are counted from each row to the group's next one."""
+    day = F.col(date_col).cast("date")
+    following = F.lead(day).over(Window.partitionBy(*_cols(keys)).orderBy(day))
+    skipped = F.greatest(F.datediff(following, day) - 1, F.lit(0))
+    repeated = F.coalesce(F.datediff(following, day) == 0, F.lit(False))
+    steps = df.select(*_cols(keys), skipped.alias("skipped"), repeated.alias("repeated"))
+    return steps.groupBy(*keys).agg(
+        F.coalesce(F.sum("skipped"), F.lit(0)).cast("bigint").alias("missing_days"),
+        F.count_if("repeated").alias("repeated_days")).filter("missing_days <> repeated_days")

@@ -91,31 +91,40 @@ def repo_names(lifecycle: DataFrame) -> DataFrame:
 # K2-K5 ---------------------------------------------------------------------
 
 
-def opened_in_window(lifecycle: DataFrame, as_of, days: int = WINDOW_DAYS) -> DataFrame:
+def _per_repository(rows: DataFrame, cond: Column, agg: Column, out: str, repos: DataFrame | None) -> DataFrame:
+    """``agg`` over the rows that meet ``cond``, one row per repository, NULL for those without such rows.
+
+    Over a stored mart, give its repositories (``repos``, such as the commit log): then ``cond`` is a filter that
+    reaches the scan. Without, one pass over ``rows`` finds the repositories too.
+    """
+    if repos is None:
+        return rows.withColumn("_in", cond).groupBy(*REPO_KEYS).agg(agg.alias(out))
+    found = rows.filter(cond).withColumn("_in", F.lit(True)).groupBy(*REPO_KEYS).agg(agg.alias(out))
+    return repos.select(*REPO_KEYS).distinct().join(found, list(REPO_KEYS), "left")
+
+
+def opened_in_window(lifecycle: DataFrame, as_of, days: int = WINDOW_DAYS, repos: DataFrame | None = None) -> DataFrame:
     """K2: issues created on or after ``as_of - days`` (0 for quiet repositories)."""
     cond = F.col("created_date") >= window_start(as_of, days)
-    return lifecycle.groupBy(*REPO_KEYS).agg(F.count_if(cond).cast("bigint").alias("opened_in_window"))
+    return _per_repository(lifecycle, cond, F.count_if("_in").cast("bigint"), "opened_in_window", repos).na.fill(0, ["opened_in_window"])
 
 
-def closed_in_window(lifecycle: DataFrame, as_of, days: int = WINDOW_DAYS) -> DataFrame:
+def closed_in_window(lifecycle: DataFrame, as_of, days: int = WINDOW_DAYS, repos: DataFrame | None = None) -> DataFrame:
     """K3: closed issues with a closing day on or after ``as_of - days``."""
     cond = (F.col("is_closed") == F.lit(True)) & (F.col("closed_date") >= window_start(as_of, days))
-    return lifecycle.groupBy(*REPO_KEYS).agg(F.count_if(cond).cast("bigint").alias("closed_in_window"))
-
-
-def _windowed_net(flow: DataFrame, as_of, days: int) -> Column:
-    # SUM over no rows is NULL, as in the reference.
-    return F.sum(F.when(F.col("calendar_date") >= window_start(as_of, days), F.col("net_change")))
+    return _per_repository(lifecycle, cond, F.count_if("_in").cast("bigint"), "closed_in_window", repos).na.fill(0, ["closed_in_window"])
 
 
-def net_change_in_window(flow: DataFrame, as_of, days: int = WINDOW_DAYS) -> DataFrame:
-    """K4: summed net change of the window's days."""
-    return flow.groupBy(*REPO_KEYS).agg(_windowed_net(flow, as_of, days).cast("bigint").alias("net_change_in_window"))
+def net_change_in_window(flow: DataFrame, as_of, days: int = WINDOW_DAYS, repos: DataFrame | None = None) -> DataFrame:
+    """K4: summed net change of the window's days; NULL without one, as a sum over no rows is."""
+    net = F.sum(F.when(F.col("_in"), F.col("net_change"))).cast("bigint")
+    return _per_repository(flow, F.col("calendar_date") >= window_start(as_of, days), net, "net_change_in_window", repos)
 
 
-def backlog_direction(flow: DataFrame, as_of, days: int = WINDOW_DAYS) -> DataFrame:
+def backlog_direction(flow: DataFrame, as_of, days: int = WINDOW_DAYS, repos: DataFrame | None = None) -> DataFrame:
     """K5: Worsening above +10, Improving below -10, else Flat (also when NULL)."""
-    return flow.groupBy(*REPO_KEYS).agg(tf.direction_signal(_windowed_net(flow, as_of, days)).alias("direction"))
+    net = net_change_in_window(flow, as_of, days, repos)
+    return net.select(*REPO_KEYS, tf.direction_signal("net_change_in_window").alias("direction"))
 
 
 # K6-K8 ---------------------------------------------------------------------
@@ -183,7 +192,7 @@ def weekday_bars(weekday: DataFrame, event_type: str) -> DataFrame:
 
 
 def issue_detail(lifecycle: DataFrame, k: int = DETAIL_ROWS) -> DataFrame:
-    """Newest ``k`` issues per repository (tie key: issue id)."""
+    """Newest ``k`` issues per repository, newest first (tie key: issue id)."""
     order = [F.col("created_at").desc_nulls_last(), F.col("issue_id").desc()]
     top = ops.top_k_per_group(lifecycle, REPO_KEYS, order, k)
     return top.select(
@@ -202,7 +211,7 @@ def issue_detail(lifecycle: DataFrame, k: int = DETAIL_ROWS) -> DataFrame:
 
 
 def open_backlog_preview(lifecycle: DataFrame, k: int = PREVIEW_ROWS) -> DataFrame:
-    """Most recently updated open issues per repository."""
+    """Most recently updated open issues per repository, latest first."""
     open_rows = lifecycle.filter(F.col("is_open") == F.lit(True))
     order = [F.col("updated_at").desc_nulls_last(), F.col("issue_id").desc()]
     top = ops.top_k_per_group(open_rows, REPO_KEYS, order, k)
@@ -232,9 +241,10 @@ def recently_updated(shaped: DataFrame, k: int = PREVIEW_ROWS) -> DataFrame:
 
 
 def count_by_state(issues: DataFrame) -> DataFrame:
-    """Non-pull-request issues per state."""
+    """Non-pull-request issues per state, the most frequent state first."""
     rows = issues.filter(F.col("is_pull_request") == F.lit(False))
-    return rows.groupBy(*REPO_KEYS, "state").agg(F.count(F.lit(1)).alias("issue_count"))
+    counts = rows.groupBy(*REPO_KEYS, "state").agg(F.count(F.lit(1)).alias("issue_count"))
+    return counts.orderBy(*REPO_KEYS, F.col("issue_count").desc(), "state")
 
 
 def issue_totals(issues: DataFrame) -> DataFrame:

@@ -46,10 +46,13 @@ def land(
     pages_dir: str,
     base: str,
     finished_at: dt.datetime,
-    since: dt.datetime | None = None,
+    since: dt.datetime | DataFrame | None = None,
 ) -> DataFrame:
     """Land the page files under ``pages_dir`` of runs not landed yet; then commit one manifest row per run.
 
+    Records updated before ``since`` are left out: a time for every repository (a backfill's override), or a
+    row (repo keys, since) for each, as ``read_watermarks`` gives; without it everything is landed.
+
     Pages are written first, the manifest last (I8): if the write fails, no
     manifest exists and silver never sees the run (I3). A run has a folder of its
     own that is replaced, so a landing repeated after a failure leaves no page
@@ -59,10 +62,11 @@ def land(
     lake = Lake(spark, base)
     landed = lake.read_manifests().select(*REPO_KEYS, "run_id")
     pages = landing.read_page_files(spark, pages_dir).join(landed, [*REPO_KEYS, "run_id"], "left_anti")
+    pages = landing.apply_since(pages, since)
     landing.bronze_rows(pages).hint("rebalance", "repo_owner", "repo_name", "run_id").write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
     ).partitionBy("repo_owner", "repo_name", "run_id").parquet(lake.bronze)
-    append(landing.manifests_for(pages, finished_at, since), lake.manifests)
+    append(landing.manifests_for(pages, finished_at), lake.manifests)
     return lake.read_manifests()
 
 
@@ -91,6 +95,23 @@ def read_watermarks(spark: SparkSession, base: str, lookback_days: int = 30) ->
 # E2 -------------------------------------------------------------------------
 
 
+class NoSuccessfulRun(RuntimeError):
+    """A repository is asked for that no run has been landed for."""
+
+
+def _require_runs(manifests: DataFrame, repos: list[tuple[str, str]] | None) -> None:
+    """A lake, or one of ``repos``, without a successful run is an error and not an empty snapshot."""
+    ok = _repo_filter(manifests.filter(F.col("status") == "success"), repos).select(*REPO_KEYS).distinct()
+    if not repos:
+        if ok.isEmpty():
+            raise NoSuccessfulRun("no successful run has been landed")
+        return
+    have = {(r.repo_owner, r.repo_name) for r in ok.collect()}  # at most the repositories asked for
+    missing = sorted(set(repos) - have)
+    if missing:
+        raise NoSuccessfulRun("no successful run has been landed for " + ", ".join(f"{o}/{n}" for o, n in missing))
+
+
 def build_silver(
     spark: SparkSession,
     base: str,
@@ -99,11 +120,15 @@ def build_silver(
 ) -> DataFrame:
     """Merge every successful, not yet merged run into the current snapshot.
 
-    Returns the committed sync-state rows of this run (empty if nothing new).
+    Returns the committed sync-state rows of this run: none, and nothing written, if no run is new.
     """
     configure(spark)
     lake = Lake(spark, base)
-    runs = _repo_filter(silver.runs_to_merge(lake.read_manifests(), lake.merged_runs()), repos)
+    manifests = lake.read_manifests()
+    _require_runs(manifests, repos)
+    runs = _repo_filter(silver.runs_to_merge(manifests, lake.merged_runs()), repos)
+    if runs.isEmpty():
+        return lake.sync_state().limit(0)
     return merge_runs(spark, base, runs, run_ts)
 
 
@@ -117,8 +142,8 @@ def merge_runs(spark: SparkSession, base: str, runs: DataFrame, run_ts: dt.datet
     version = _version(sequence, run_ts)
     run_keys = runs.select(*REPO_KEYS, "run_id")
     # The run list is tiny (one row per run); the semi-join prunes bronze to
-    # the selected run_id partitions.
-    delta_raw = lake.read_bronze().join(run_keys, [*REPO_KEYS, "run_id"], "left_semi")
+    # the selected run_id partitions, whatever types their files have.
+    delta_raw = lake.read_bronze(run_keys)
     delta = silver.flatten(delta_raw, run_ts)
     touched = runs.select(*REPO_KEYS).distinct()
     existing = lake.silver("issue_current").join(touched, list(REPO_KEYS), "left_semi")
@@ -212,8 +237,11 @@ def build_gold(
     base: str,
     run_ts: dt.datetime,
     repos: list[tuple[str, str]] | None = None,
+    everything: bool = False,
 ) -> None:
-    """Rebuild the five marts from the committed silver snapshot.
+    """Rebuild the five marts of each repository whose committed silver version they are not of.
+
+    Repositories without a new version keep theirs; ``everything`` rebuilds them all (after a change of the marts).
 
     The lifecycle mart is written first and read back narrow; the other marts
     fan out from the stored copy, so the label / assignee joins run once.
@@ -222,21 +250,28 @@ def build_gold(
     lake = Lake(spark, base)
     sequence = next_sequence(spark, lake.gold_log, schemas.GOLD_LOG)
     version = _version(sequence, run_ts)
-    state = lake.pinned_state()
-    issues = _repo_filter(lake.silver("issue_current", state), repos)
-    labels = _repo_filter(lake.silver("issue_labels", state), repos)
-    assignees = _repo_filter(lake.silver("issue_assignees", state), repos)
-    lc = marts.lifecycle(issues, labels, assignees, run_ts)
-    write_version(lc, lake.gold_table("mart_issue_lifecycle"), version)
+    state = lake.sync_state()
+    if state is None:
+        return
+    built = lake.gold_commits()
+    if built is not None and not everything:
+        done = built.select(*REPO_KEYS, F.col("silver_version").alias("version"))
+        state = state.join(done, [*REPO_KEYS, "version"], "left_anti")
+    state = lake.pinned(_repo_filter(state, repos))
+    if state.isEmpty():
+        return
+    issues = lake.silver("issue_current", state)
+    lc = marts.lifecycle(issues, lake.silver("issue_labels", state), lake.silver("issue_assignees", state), run_ts)
+    write_version(lc, lake.gold_table("mart_issue_lifecycle"), version, ["created_date", "issue_id"])
     stored = _read_version(spark, lake.gold_table("mart_issue_lifecycle"), "MART_LIFECYCLE", version)
     flow = marts.daily_flow(stored)
-    write_version(flow, lake.gold_table("mart_issue_daily_flow"), version)
+    write_version(flow, lake.gold_table("mart_issue_daily_flow"), version, ["calendar_date"])
     stored_flow = _read_version(spark, lake.gold_table("mart_issue_daily_flow"), "MART_DAILY_FLOW", version)
-    write_version(marts.closure_age_monthly(stored), lake.gold_table("mart_issue_closure_age_monthly"), version)
-    write_version(marts.weekday_rhythm(stored), lake.gold_table("mart_issue_weekday_rhythm"), version)
-    write_version(marts.swing_days(stored_flow), lake.gold_table("mart_issue_swing_days"), version)
-    repos_df = issues.select(*REPO_KEYS).distinct()
-    commits = repos_df.select(*REPO_KEYS, F.lit(version).alias("version"), F.lit(run_ts).cast("timestamp").alias("committed_at"))
+    write_version(marts.closure_age_monthly(stored), lake.gold_table("mart_issue_closure_age_monthly"), version, ["year_month"])
+    write_version(marts.weekday_rhythm(stored), lake.gold_table("mart_issue_weekday_rhythm"), version, ["event_type", "weekday_num"])
+    write_version(marts.swing_days(stored_flow), lake.gold_table("mart_issue_swing_days"), version, ["calendar_date"])
+    commits = state.select(*REPO_KEYS, F.lit(version).alias("version"), F.lit(run_ts).cast("timestamp").alias("committed_at"),
+                           F.col("version").alias("silver_version"))
     commit(commits, lake.gold_log, schemas.GOLD_LOG, sequence)
 
 
@@ -258,7 +293,8 @@ def check_report(spark: SparkSession, base: str, mode: str) -> DataFrame:
             lake.read_manifests(),
         )
     if mode == "gold":
-        return quality.gold_report(lake.gold("mart_issue_lifecycle"), lake.gold("mart_issue_daily_flow"), issues)
+        commits = lake.pinned(lake.gold_commits())
+        return quality.gold_report(lake.gold("mart_issue_lifecycle", commits), lake.gold("mart_issue_daily_flow", commits), issues)
     raise ValueError(f"Unknown mode: {mode!r}. Use 'silver' or 'gold'.")
 
 
@@ -276,8 +312,11 @@ def run_all(
     run_ts: dt.datetime,
     since: dt.datetime | None = None,
 ) -> None:
-    """Stage order: bronze -> silver -> silver checks -> gold -> gold checks."""
-    land(spark, pages_dir, base, run_ts, since)
+    """Stage order: bronze -> silver -> silver checks -> gold -> gold checks.
+
+    Landing starts from each repository's watermark; ``since`` overrides it for all of them.
+    """
+    land(spark, pages_dir, base, run_ts, read_watermarks(spark, base) if since is None else since)
     build_silver(spark, base, run_ts)
     run_checks(spark, base, "silver")
     build_gold(spark, base, run_ts)

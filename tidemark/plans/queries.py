@@ -547,3 +547,6 @@ def rolling_7d(spark, sf_dir):
 def recently_updated(spark, sf_dir):
     """L3: ten most recently updated shaped rows per repository (PRs included)."""
     return metrics.recently_updated(sv.shape_issues(tables.bronze_pages(spark, sf_dir), RUN_TS))
+
+
+from tidemark.plans import lake_queries  # noqa: E402, F401

@@ -110,13 +110,15 @@ def merge_current(existing: DataFrame | None, delta: DataFrame, run_ts) -> DataF
 # --------------------------------------------------------------------------
 
 
-def _distinct_elements(current: DataFrame, field: str, typed, flag: str) -> DataFrame:
+def _distinct_elements(current: DataFrame, field: str, schema, typed, flag: str) -> DataFrame:
     """The different elements of each issue's array that have ``flag``, typed, as ``_e``.
 
-    The snapshot has one row per issue, so duplicates lie within one array and need no shuffle.
+    Each element is parsed once, on its own, so that an odd one spoils no other; ``typed`` takes fields of the parsed
+    element. The snapshot has one row per issue, so duplicates lie within one array and need no shuffle.
     """
     arr = F.from_json(F.get_json_object("source_payload_json", f"$.{field}"), "array<string>")
-    kept = F.filter(F.transform(arr, typed), lambda e: e[flag])
+    parsed = F.transform(arr, lambda el: F.from_json(el, schema))
+    kept = F.filter(F.transform(parsed, typed), lambda e: e[flag])
     return current.select(*ISSUE_KEYS, F.explode(F.array_distinct(kept)).alias("_e"))
 
 
@@ -125,8 +127,7 @@ def labels_of(current: DataFrame, run_ts) -> DataFrame:
 
     Rows need an ``id`` text; a non-numeric id keeps the row with NULL label_id.
     """
-    def typed(el: Column) -> Column:
-        parsed = F.from_json(el, schemas.LABEL_ELEMENT)
+    def typed(parsed: Column) -> Column:
         return F.struct(
             parsed["id"].isNotNull().alias("has_id"),
             tf.try_long(parsed["id"]).alias("label_id"),
@@ -136,14 +137,13 @@ def labels_of(current: DataFrame, run_ts) -> DataFrame:
             tf.try_bool(parsed["default"]).alias("label_is_default"),
         )
 
-    rows = _distinct_elements(current, "labels", typed, "has_id")
+    rows = _distinct_elements(current, "labels", schemas.LABEL_ELEMENT, typed, "has_id")
     return rows.select(*ISSUE_KEYS, "_e.*").drop("has_id").withColumn("record_loaded_at", _ts(run_ts))
 
 
 def assignees_of(current: DataFrame, run_ts) -> DataFrame:
     """Assignee rows rebuilt from the whole snapshot; rows need a login."""
-    def typed(el: Column) -> Column:
-        parsed = F.from_json(el, schemas.ASSIGNEE_ELEMENT)
+    def typed(parsed: Column) -> Column:
         return F.struct(
             parsed["login"].isNotNull().alias("has_login"),
             parsed["login"].alias("assignee_login"),
@@ -151,7 +151,7 @@ def assignees_of(current: DataFrame, run_ts) -> DataFrame:
             parsed["type"].alias("assignee_type"),
         )
 
-    rows = _distinct_elements(current, "assignees", typed, "has_login")
+    rows = _distinct_elements(current, "assignees", schemas.ASSIGNEE_ELEMENT, typed, "has_login")
     return rows.select(*ISSUE_KEYS, "_e.*").drop("has_login").withColumn("record_loaded_at", _ts(run_ts))
 
 

@@ -99,7 +99,7 @@ _DDL["SYNC_LOG"] = _struct(
 )
 
 _DDL["GOLD_LOG"] = _struct(
-    "repo_owner STRING, repo_name STRING, version STRING, committed_at TIMESTAMP"
+    "repo_owner STRING, repo_name STRING, version STRING, committed_at TIMESTAMP, silver_version STRING"
 )
 
 _DDL["MART_LIFECYCLE"] = _struct(

@@ -36,6 +36,22 @@ def read_page_files(spark: SparkSession, pages_dir: str) -> DataFrame:
     return raw.withColumn("records", F.when(F.col("page_number").isNotNull(), F.col("records")))
 
 
+def apply_since(pages: DataFrame, since) -> DataFrame:
+    """``pages`` with ``since`` and without the records updated before it.
+
+    ``since`` is a time for every repository, or a table (repo keys, since) with a row for each repository
+    that has one; a repository without (never synced) keeps all records. A record whose update time cannot be
+    read is kept. The table is one row per repository, so Spark broadcasts it while it is small.
+    """
+    if isinstance(since, DataFrame):
+        marked = pages.join(since.select(*REPO_KEYS, F.col("since").cast("timestamp").alias("since")), list(REPO_KEYS), "left")
+    else:
+        marked = pages.withColumn("since", F.lit(since).cast("timestamp"))
+    recent = F.filter("records", lambda r: F.coalesce(
+        tf.try_timestamp(F.get_json_object(r, "$.updated_at")) >= F.col("since"), F.lit(True)))
+    return marked.withColumn("records", F.when(F.col("since").isNull(), F.col("records")).otherwise(recent))
+
+
 def bronze_rows(pages: DataFrame) -> DataFrame:
     """One row per record; a page that is not a JSON array contributes no rows."""
     rows = pages.select(
@@ -43,7 +59,7 @@ def bronze_rows(pages: DataFrame) -> DataFrame:
         *REPO_KEYS,
         "page_number",
         "fetched_at",
-        F.explode("records").alias("payload_json"),
+        F.explode(F.transform("records", tf.canonical_json)).alias("payload_json"),
     )
     return rows.select(
         "run_id",
@@ -56,8 +72,8 @@ def bronze_rows(pages: DataFrame) -> DataFrame:
     )
 
 
-def manifests_for(pages: DataFrame, finished_at, since=None) -> DataFrame:
-    """Manifest rows per landed run (A23); empty pages count no page and no record.
+def manifests_for(pages: DataFrame, finished_at) -> DataFrame:
+    """Manifest rows per landed run (A23) of ``pages`` after ``apply_since``; empty pages count no page and no record.
 
     Every page of a run is landed, so ``truncated`` is always false.
     """
@@ -76,6 +92,7 @@ def manifests_for(pages: DataFrame, finished_at, since=None) -> DataFrame:
         F.count_if(F.col("records").isNull()).cast("bigint").alias("rejected_pages"),
         F.sum(no_id).cast("bigint").alias("rejected_records"),
         F.min("fetched_at").alias("started_at"),
+        F.min("since").alias("since"),
         F.count_if(n > 0).cast("bigint").alias("pages_fetched"),
         F.sum(n).cast("bigint").alias("records_fetched"),
         F.max(updated).alias("max_issue_updated_at"),
@@ -86,7 +103,7 @@ def manifests_for(pages: DataFrame, finished_at, since=None) -> DataFrame:
         F.lit("success").alias("status"),
         "started_at",
         F.lit(finished_at).cast("timestamp").alias("finished_at"),
-        F.lit(since).cast("timestamp").alias("since"),
+        "since",
         "pages_fetched",
         "records_fetched",
         "max_issue_updated_at",

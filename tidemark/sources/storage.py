@@ -20,7 +20,14 @@ uncommitted version, which no reader sees.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import uuid
+from collections.abc import Iterator, Sequence
+from functools import reduce
+
+import pyarrow as pa
+import pyarrow.parquet as pq
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,6 +65,42 @@ def read_or_empty(spark: SparkSession, location: str, schema: T.StructType) -> D
     return df if df is not None else spark.createDataFrame([], schema)
 
 
+def read_drifted(spark: SparkSession, location: str, schema: T.StructType, keys: Sequence[str], wanted: DataFrame) -> DataFrame:
+    """The rows of the partitions in ``wanted`` (``keys``), cast on read to ``schema`` by name with ``try_cast``.
+
+    Files that were written with other types than declared (a time as text) are grouped by their own schema, each
+    group is read with it and cast, and the groups are united by name; a missing column is NULL. Whether the types of
+    the files differ is found by Spark's own merge of their footers; only if it fails are the files looked at one by
+    one, in tasks. Their paths reach the driver, as those of any scan do.
+    """
+    folders = spark.read.option("basePath", location)
+    parts = "/".join([location.rstrip("/"), *[f"{k}=*" for k in keys]])
+
+    def cast(df: DataFrame) -> DataFrame:
+        return ops.conform(df, schema).join(wanted.select(*keys), list(keys), "left_semi")
+
+    def types_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [str(pq.read_schema(pa.BufferReader(c.as_buffer())).remove_metadata()) for c in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string())], names=["path", "types"])
+
+    try:
+        return cast(folders.option("mergeSchema", True).parquet(parts))
+    except (PySparkException, Py4JJavaError) as exc:
+        if isinstance(exc, AnalysisException) and is_missing_path(exc):
+            return spark.createDataFrame([], schema)
+        if "CANNOT_MERGE" not in str(exc):
+            raise
+    files = spark.read.format("binaryFile").option("basePath", location).option("pathGlobFilter", "*.parquet").load(parts)
+    files = files.join(wanted.select(*keys), list(keys), "left_semi").select("path", "content")
+    types = files.mapInArrow(types_of, "path string, types string")
+    groups = types.groupBy("types").agg(F.sort_array(F.collect_list("path")).alias("paths")).orderBy("types").collect()
+    if not groups:
+        return spark.createDataFrame([], schema)
+    plain = spark.read.option("basePath", location).option("mergeSchema", False)
+    return reduce(DataFrame.unionByName, [cast(plain.parquet(*g["paths"])) for g in groups])
+
+
 def with_partitions(schema: T.StructType, *names: str) -> T.StructType:
     present = {f.name for f in schema.fields}
     extra = [T.StructField(n, T.StringType()) for n in names if n not in present]
@@ -112,9 +155,11 @@ def commit(rows: DataFrame, log_location: str, schema: T.StructType, sequence: i
 # --------------------------------------------------------------------------
 
 
-def write_version(df: DataFrame, location: str, version: str) -> None:
+def write_version(df: DataFrame, location: str, version: str, order: Sequence[str] = ()) -> None:
     """Add one new version directory per repository present in ``df``.
 
+    L1: rows are written in ``order`` within each file, so a filter on its first column skips row groups.
+
     The ``rebalance`` hint groups rows by repository before the partitioned
     write (few, well-sized files per repository instead of one per task and
     repository); AQE splits a hot repository's partition into several tasks.
@@ -122,6 +167,7 @@ def write_version(df: DataFrame, location: str, version: str) -> None:
     (
         df.withColumn("version", F.lit(version))
         .hint("rebalance", "repo_owner", "repo_name")
+        .sortWithinPartitions("repo_owner", "repo_name", "version", *order)
         .write.mode("append")
         .partitionBy("repo_owner", "repo_name", "version")
         .parquet(location)
@@ -203,8 +249,11 @@ class Lake:
         return path(self.base, "gold", "commit_log")
 
     # readers
-    def read_bronze(self) -> DataFrame:
-        return read_or_empty(self.spark, self.bronze, schemas.BRONZE_PAGES)
+    def read_bronze(self, runs: DataFrame | None = None) -> DataFrame:
+        """Landed rows; of ``runs`` (repo keys, run_id), if given, cast on read."""
+        if runs is None:
+            return read_or_empty(self.spark, self.bronze, schemas.BRONZE_PAGES)
+        return read_drifted(self.spark, self.bronze, schemas.BRONZE_PAGES, [*REPO_KEYS, "run_id"], runs)
 
     def read_manifests(self) -> DataFrame:
         return read_or_empty(self.spark, self.manifests, schemas.MANIFESTS)
@@ -221,12 +270,18 @@ class Lake:
     def sync_state(self) -> DataFrame | None:
         return latest_commits(self.spark, self.sync_log, schemas.SYNC_LOG)
 
-    def pinned_state(self) -> DataFrame | None:
-        """``sync_state`` as of now: a commit that comes later does not change it (one row per repository)."""
-        state = self.sync_state()
-        if state is None:
+    def pinned(self, commits: DataFrame | None) -> DataFrame | None:
+        """Commit rows as of now: written once into the shared folder, so that a later commit does not change them."""
+        if commits is None:
             return None
-        return self.spark.createDataFrame(state.toArrow(), state.schema)
+        from tidemark.session import checkpoint_dir
+
+        location = path(checkpoint_dir(self.spark), f"pinned-{uuid.uuid4().hex}")
+        commits.write.parquet(location)
+        return self.spark.read.schema(commits.schema).parquet(location)
+
+    def pinned_state(self) -> DataFrame | None:
+        return self.pinned(self.sync_state())
 
     def silver(self, name: str, state: DataFrame | None = None) -> DataFrame:
         """The committed rows of a table; by ``state``, if several tables must be of the same versions."""
@@ -236,9 +291,10 @@ class Lake:
     def gold_commits(self) -> DataFrame | None:
         return latest_commits(self.spark, self.gold_log, schemas.GOLD_LOG)
 
-    def gold(self, name: str) -> DataFrame:
+    def gold(self, name: str, commits: DataFrame | None = None) -> DataFrame:
+        """The committed rows of a mart; by ``commits``, if several marts must be of the same versions."""
         schema = schemas.schema_of(schemas.GOLD_TABLES[name])
-        return read_committed(self.spark, self.gold_table(name), schema, self.gold_commits())
+        return read_committed(self.spark, self.gold_table(name), schema, self.gold_commits() if commits is None else commits)
 
     def register_views(self) -> None:
         """Temp views over the committed versions of every table."""

@@ -17,13 +17,18 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark import operators as ops
 from tidemark.schemas import REPO_KEYS
 from tidemark.session import checkpoint_dir, configure
+from tidemark.sources import storage
+
+COMMITS = "batch_id long, committed_at timestamp, is_base boolean"
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -37,92 +42,69 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 class SnapshotSink:
-    """foreachBatch target: merge each micro-batch into the committed snapshot.
-
-    Layout: ``<path>/data/batch=<id>/`` holds each batch's merged winners for the
-    keys it touched; ``<path>/commits`` is an append-only log of finished batch
-    ids. Readers see only committed batches and keep the latest row per key,
-    so a crash between data and commit leaves nothing visible.
+    """foreachBatch target: the winners of each micro-batch, folded into a base from time to time.
+
+    Layout: ``<path>/data/batch=<id>/`` holds the latest row per key of a batch, ``<path>/base/covered=<id>/`` of all
+    batches up to one; ``<path>/commits`` is an append-only log of finished batches and bases. Readers keep the latest
+    row per key of the newest base and the committed batches after it. A batch is read once and nothing of the history
+    is read for it; every ``fold`` batches the base and the batches after it become the next base, so a reader meets
+    less than ``fold`` batches, however many there were. A replayed batch that is committed is left alone; a crash
+    before the commit leaves nothing visible.
     """
 
-    def __init__(self, path: str, keys: Sequence[str], order: Sequence[str]):
+    def __init__(self, path: str, keys: Sequence[str], order: Sequence[str], fold: int = 20):
         self.path = path.rstrip("/")
         self.keys = list(keys)
         self.order = list(order)
+        self.fold = fold
 
     def _order(self) -> list[Column]:
         return [F.col(c).desc_nulls_last() for c in self.order]
 
     def _commits(self, spark: SparkSession) -> DataFrame | None:
-        from pyspark.errors import AnalysisException
-
-        try:
-            return spark.read.parquet(f"{self.path}/commits")
-        except AnalysisException as exc:  # only a missing folder means "empty"
-            if "PATH_NOT_FOUND" in (exc.getCondition() or ""):
-                return None
-            raise
+        return storage.read_or_none(spark, f"{self.path}/commits", COMMITS)
 
-    def current(self, spark: SparkSession) -> DataFrame | None:
-        """Latest row per key: the newest compacted base plus the committed
-        batches after it."""
+    def _live(self, spark: SparkSession) -> tuple[int | None, int | None]:
+        """(batch covered by the newest base, newest committed batch); from the commit log, a row for each batch or base."""
         commits = self._commits(spark)
         if commits is None:
+            return None, None
+        row = commits.agg(F.max(F.when(F.col("is_base"), F.col("batch_id"))).alias("base"),
+                          F.max(F.when(~F.col("is_base"), F.col("batch_id"))).alias("batch")).first()
+        return row["base"], row["batch"]
+
+    def current(self, spark: SparkSession) -> DataFrame | None:
+        """Latest row per key; ``None`` before the first batch."""
+        covered, newest = self._live(spark)
+        if newest is None:
             return None
-        # one scalar from the (small) commit log
-        covered = commits.filter(F.col("is_base")).agg(F.max("batch_id")).first()[0]
-        batches = commits.filter(~F.col("is_base"))
-        if covered is not None:
-            batches = batches.filter(F.col("batch_id") > covered)
-        frames = []
-        if covered is not None:
-            frames.append(spark.read.parquet(f"{self.path}/base/covered={covered}"))
-        try:
-            data = spark.read.option("basePath", f"{self.path}/data").parquet(f"{self.path}/data")
-            live = data.join(F.broadcast(batches.select(F.col("batch_id").alias("batch"))), "batch", "left_semi")
-            frames.append(live.drop("batch"))
-        except Exception as exc:  # no stream batch written yet
-            from pyspark.errors import AnalysisException
-
-            if not (isinstance(exc, AnalysisException) and "PATH_NOT_FOUND" in (exc.getCondition() or "")):
-                raise
-        if not frames:
-            return None
-        union = frames[0]
-        for f in frames[1:]:
-            union = union.unionByName(f)
-        return ops.latest_by_key(union, self.keys, self._order())
+        frames = [] if covered is None else [spark.read.parquet(f"{self.path}/base/covered={covered}")]
+        after = self._commits(spark).filter(~F.col("is_base") & (F.col("batch_id") > (-1 if covered is None else covered)))
+        batches = sorted(r["batch_id"] for r in after.select("batch_id").distinct().collect())  # less than ``fold``
+        frames += [spark.read.parquet(f"{self.path}/data/batch={b}") for b in batches]
+        return ops.latest_by_key(reduce(DataFrame.unionByName, frames), self.keys, self._order())
 
     def compact(self, spark: SparkSession) -> None:
-        """Write the current snapshot as a base covering every committed batch;
-        later reads start from it and skip the older batches. Safe to run
-        between triggers: an interrupted compaction has no commit row."""
-        commits = self._commits(spark)
-        if commits is None:
+        """Write the current snapshot as the next base. An interrupted one has no commit row and is written anew."""
+        covered, newest = self._live(spark)
+        if newest is None or covered == newest:
             return
-        covered = commits.filter(~F.col("is_base")).agg(F.max("batch_id")).first()[0]
-        snap = self.current(spark)
-        if covered is None or snap is None:
-            return
-        snap.write.mode("overwrite").parquet(f"{self.path}/base/covered={covered}")
-        self._commit(spark, covered, is_base=True)
+        self.current(spark).write.mode("overwrite").parquet(f"{self.path}/base/covered={newest}")
+        self._commit(spark, newest, is_base=True)
 
     def _commit(self, spark: SparkSession, batch_id: int, is_base: bool = False) -> None:
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        spark.createDataFrame([(batch_id, now, is_base)], "batch_id long, committed_at timestamp, is_base boolean") \
-            .write.mode("append").parquet(f"{self.path}/commits")
+        spark.createDataFrame([(batch_id, now, is_base)], COMMITS).write.mode("append").parquet(f"{self.path}/commits")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        existing = self.current(spark)
-        touched = batch.select(*self.keys).distinct()
-        frames = [batch]
-        if existing is not None:
-            frames.insert(0, existing.join(touched, self.keys, "left_semi").select(*batch.columns))
-        union = frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
-        winners = ops.latest_by_key(union, self.keys, self._order())
-        winners.write.mode("overwrite").parquet(f"{self.path}/data/batch={batch_id}")
+        commits = self._commits(spark)
+        if commits is not None and not commits.filter(~F.col("is_base") & (F.col("batch_id") == batch_id)).isEmpty():
+            return
+        ops.latest_by_key(batch, self.keys, self._order()).write.mode("overwrite").parquet(f"{self.path}/data/batch={batch_id}")
         self._commit(spark, batch_id)
+        if batch_id % self.fold == self.fold - 1:
+            self.compact(spark)
 
 
 def upsert_stream(
@@ -177,8 +159,10 @@ class DailyCountSink:
     which a replayed batch writes anew; their sums are current. No state and no
     watermark, so rows count however late they arrive."""
 
-    def __init__(self, path: str, keys: Sequence[str], ts_col: str, count_col: str = "event_count"):
+    def __init__(self, path: str, keys: Sequence[str], ts_col: str, schema: T.StructType, count_col: str = "event_count"):
         self.path = path.rstrip("/")
+        kept = [schema[k] for k in keys]
+        self.schema = T.StructType([*kept, T.StructField("calendar_date", T.DateType()), T.StructField(count_col, T.LongType())])
         self.keys = list(keys)
         self.ts_col = ts_col
         self.count_col = count_col
@@ -188,7 +172,8 @@ class DailyCountSink:
         counts.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
 
     def current(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(self.path).groupBy(*self.keys, "calendar_date").agg(
+        """The counts so far; an empty table before the first batch."""
+        return storage.read_or_empty(spark, self.path, self.schema).groupBy(*self.keys, "calendar_date").agg(
             F.sum(self.count_col).alias(self.count_col))
 
 
@@ -199,7 +184,7 @@ def run_daily_counts(
     ts_col: str,
 ) -> DataFrame:
     """Run I11 over everything available now; return the current counts."""
-    sink = DailyCountSink(scratch(spark, "daily-counts"), keys, ts_col)
+    sink = DailyCountSink(scratch(spark, "daily-counts"), keys, ts_col, stream.schema)
     q = (
         stream.writeStream.foreachBatch(sink)
         .option("checkpointLocation", scratch(spark, "daily-counts-ckpt"))
