@@ -182,14 +182,21 @@ def row_hash() -> Column:
     return F.xxhash64("doc_id", "text")
 
 
-def sharing(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(token, at, c1): the first shingles that several of ``classes`` have, of the classes that have enough of them, written."""
+def sharing(classes: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """(token, at, c1): the first shingles that several of ``classes`` have, written; (c1) of the classes that have enough of them."""
     postings = classes.select(F.posexplode("prefix").alias("at", "token"), "c1").repartition("token")
     several = postings.groupBy("token").agg((F.min("c1") != F.max("c1")).alias("several")).filter("several").select("token")
     shared = materialize(postings.join(several, "token"), "sharing")
-    enough = shared.groupBy("c1").count().join(classes.groupBy("c1").agg(F.min("n").alias("n")), "c1").filter(
+    alive = shared.groupBy("c1").count().join(classes.groupBy("c1").agg(F.min("n").alias("n")), "c1").filter(
         F.col("count") >= least(F.col("n"), percent)).select("c1")
-    return shared.join(enough, "c1").select("token", "at", "c1")
+    return shared, materialize(alive, "alive")
+
+
+def between_groups(shared: DataFrame, members: DataFrame) -> DataFrame:
+    """(token, at, id, group, n): the shared first shingles of ``members`` that stand in several groups, written."""
+    each = shared.join(members.select("c1", "id", "group", "n"), "c1").drop("c1").repartition("token")
+    several = each.groupBy("token").agg((F.min("group") != F.max("group")).alias("several")).filter("several").select("token")
+    return materialize(each.join(several, "token"), "postings")
 
 
 def among(texts: DataFrame, members: DataFrame) -> DataFrame:
@@ -322,8 +329,12 @@ def class_labels(sets: DataFrame, postings: DataFrame, percent: int = PERCENT) -
     links = materialize(open_groups(own, percent), "group-links")
     labels = relabelled(sets.select("id", F.col("id").alias("label")), links)
 
-    for turn in range(PILOTS):
-        each = postings.join(labels, "id")
+    # only shingles of many groups: of the others the exact round tries every group anyway
+    wide = postings.groupBy("token").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.count("*").alias("rows")) \
+        .filter((F.col("rows") > LEADERS) & (F.col("high") - F.col("low") >= LEADERS)).select("token")
+    hot = materialize(postings.join(wide, "token"), "wide-postings")
+    for turn in range(0 if hot.isEmpty() else PILOTS):
+        each = hot.join(labels, "id")
         rows = each.groupBy("token", "group").agg(F.min("label").alias("low"), F.max("label").alias("high"))
         first = Window.partitionBy("token").orderBy(F.xxhash64("group", F.lit(turn)))
         few = rows.withColumn("at", F.row_number().over(first)).filter(F.col("at") <= LEADERS).drop("at")
@@ -336,7 +347,7 @@ def class_labels(sets: DataFrame, postings: DataFrame, percent: int = PERCENT) -
     # similar x and y overlap in t (|x| + |y|) / (1 + t) shingles at least, and from the first that they share, at places
     # i and j, in |x| - i and |y| - j at most; so t |y| <= |x| - (1 + t) i, the reach of x at its place, and the reverse
     reach = 100 * F.col("n") - (100 + percent) * F.col("at")
-    each = postings.join(ranked, "id").withColumn("reach", reach).filter(F.col("reach") >= percent * percent / 100 * F.col("n"))
+    each = postings.withColumn("reach", reach).filter(F.col("reach") >= percent * percent / 100 * F.col("n")).join(ranked, "id")
     rows = each.groupBy("token", "group").agg(F.max("part").alias("largest"), F.min("n").alias("least"), F.max("reach").alias("most"))
     split = rows.groupBy("token").agg(F.count("*").alias("groups"), F.max("largest").alias("top")).filter("groups > 1")
     queries = each.join(split.select("token", "top"), "token").filter(F.col("part") < F.col("top")).select(
@@ -359,12 +370,12 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     classes = materialize(found.filter("n > 0").groupBy("c1", "c2").agg(
         F.min("doc_id").alias("first_id"), F.min("row").alias("row"),
         *[F.first(c).alias(c) for c in ("n", "s1", "s2", "prefix")]), "classes")
-    shared = materialize(sharing(classes, percent), "shared")
-    live = classes.select("c1", "c2", "row", "n", "s1", "s2", "first_id").join(shared.select("c1").distinct(), "c1", "left_semi")
+    shared, alive = sharing(classes, percent)
+    live = classes.select("c1", "c2", "row", "n", "s1", "s2", "first_id").join(alive, "c1", "left_semi")
     members = placed(live, ["s1", "s2", "n"], "live").select(
         F.col("place").alias("id"), F.expr(f"place div {group}").alias("group"), "c1", "c2", "row", "n", "first_id")
     members = materialize(members, "grouped")
-    postings = materialize(shared.join(members.select("c1", "id", "group", "n"), "c1").drop("c1"), "postings")
+    postings = between_groups(shared, members)
     repeated = materialize(found.groupBy("row").count().filter("count > 1").select("row"), "repeated")
     labels = class_labels(member_sets(docs, members, repeated, shingle), postings, percent)
     linked = members.join(labels, "id").select("c1", "c2", "label", "first_id")
