@@ -74,13 +74,19 @@ def row_key() -> F.Column:
     return F.xxhash64(F.col("doc_id"), F.col("text"))
 
 
-def keyed(docs: DataFrame, key: str = "__row_key") -> DataFrame:
-    return docs.withColumn(key, row_key())
+def unused(columns: list[str], name: str) -> str:
+    """``name``, with underscores added until no column has it in any case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def drop_rows(docs: DataFrame, rejected: DataFrame, key: str = "__row_key") -> DataFrame:
     """``docs`` without the rows whose key is in ``rejected`` (one column, ``key``)."""
-    return keyed(docs, key).join(rejected.select(key).distinct(), key, "left_anti").select(*docs.columns)
+    own = unused(docs.columns, key)
+    wanted = rejected.select(F.col(key).alias(own)).distinct()
+    return docs.withColumn(own, row_key()).join(wanted, own, "left_anti").select(*docs.columns)
 
 
 def attach(docs: DataFrame, decisions: DataFrame, repeated: DataFrame, key: str = "__row_key") -> DataFrame:
@@ -89,13 +95,15 @@ def attach(docs: DataFrame, decisions: DataFrame, repeated: DataFrame, key: str
     ``repeated`` has the keys (column ``key``) of rows that ``docs`` holds more than once; their
     decisions are as many as the rows, so one copy of the row is joined with all of them.
     """
-    with_key = keyed(docs, key)
-    extra = [c for c in decisions.columns if c != key]
+    own = unused(docs.columns, key)
+    decisions, repeated = (df.withColumnRenamed(key, own) for df in (decisions, repeated))
+    with_key = docs.withColumn(own, row_key())
+    extra = [c for c in decisions.columns if c != own]
     if repeated.isEmpty():
-        joined = with_key.join(decisions, key)
+        joined = with_key.join(decisions, own)
     else:
-        one = with_key.join(repeated, key, "left_semi").dropDuplicates([key])
-        joined = with_key.join(repeated, key, "left_anti").unionByName(one).join(decisions, key)
+        one = with_key.join(repeated, own, "left_semi").dropDuplicates([own])
+        joined = with_key.join(repeated, own, "left_anti").unionByName(one).join(decisions, own)
     return joined.select(*docs.columns, *extra)
 
 

@@ -21,9 +21,10 @@ doc_id, then line number) is similar: Jaccard of at least ``threshold``.
    those that this leaves open are joined with all earlier classes.
 
 Words are compared by 63 bits of their hash. Defined results: lines without a word
-and null texts stay; (doc_id, line number) identifies a line, so rows that repeat a
-doc_id with its text keep and lose the same lines; a null doc_id comes last; an empty
-table gives an empty result; other columns are kept.
+and null texts stay; (doc_id, text, line number) identifies a line, so rows that repeat a
+doc_id with its text keep and lose the same lines, and different texts of one id, or of
+none, are documents of their own, in the order of a hash of their text; a null doc_id comes
+last; an empty table gives an empty result; other columns are kept.
 """
 
 from __future__ import annotations
@@ -33,7 +34,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import let, materialize, table
+from tidemark.llm.common import let, materialize, row_key, table
+from tidemark.llm.order import placed
 
 THRESHOLD = 0.8
 #: White space between the words of a line, besides the blank.
@@ -206,19 +208,36 @@ def removed_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
                        .groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("removed")), "removed-lines")
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """(row, doc_id, text) of ``docs``: each row as a struct, and ids that hold one text each.
+
+    Ids that are so already stay; if one id, or none, has several texts, all documents are numbered in the order of
+    their ids (null: last) and then of a hash of their text.
+    """
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text",
+                       row_key().alias("key"))
+    keys = rows.select("doc_id", "key")
+    if keys.groupBy("doc_id").agg((F.min("key") != F.max("key")).alias("several")).filter("several").isEmpty():
+        return rows.drop("key")
+    order = placed(keys.distinct().withColumn("no_id", F.col("doc_id").isNull()), ["no_id", "doc_id", "key"], "line-documents")
+    return materialize(rows.drop("doc_id").join(order.select("key", F.col("place").alias("doc_id")), "key")
+                       .select("row", "doc_id", "text"), "numbered")
+
+
 def deduplicate(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without the lines that an earlier line matches, and ``n_removed``; a column of this name is replaced."""
     own = [c for c in docs.columns if c != "n_removed"]
-    gone = removed_lines(docs, threshold).withColumnRenamed("doc_id", "__id").withColumnRenamed("removed", "__removed")
-    joined = docs.select(*own).join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")), "left")
+    rows = numbered(docs)
+    joined = rows.withColumnRenamed("doc_id", "id").join(
+        removed_lines(rows.select("doc_id", "text"), threshold), F.col("id").eqNullSafe(F.col("doc_id")), "left")
 
     def rest(lines: Column) -> Column:
-        left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "__removed")
+        left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "removed")
         return F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n")
 
-    cleaned = F.when(F.col("__removed").isNull(), F.col("text")).otherwise(let(F.split("text", "\n"), rest))
-    return joined.select(*[cleaned.alias(c) if c == "text" else F.col(c) for c in own],
-                         F.coalesce(F.size("__removed"), F.lit(0)).cast("long").alias("n_removed"))
+    cleaned = F.when(F.col("removed").isNull(), F.col("text")).otherwise(let(F.split("text", "\n"), rest))
+    return joined.select(*[cleaned.alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in own],
+                         F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import IS_SPACE, attach, materialize, row_key, table
+from tidemark.llm.common import IS_SPACE, attach, materialize, row_key, table, unused
 
 WEIGHTS = (5, 2, 1)
 FACTOR = 1.5
@@ -230,19 +230,20 @@ def mixed_documents(docs: DataFrame, **options: object) -> DataFrame:
     A text that a pass takes whole stays as it is; ``n_chars``, where there is one, follows the text.
     """
     rows, takes = plan_mix(docs, **options)
+    spans_name = unused(docs.columns, "__ranges")
     ranges = takes.groupBy("number", "offset", "pass").agg(
-        F.array_sort(F.collect_list(F.struct("word", "words"))).alias("__ranges"))
+        F.array_sort(F.collect_list(F.struct("word", "words"))).alias(spans_name))
     keyed_rows = rows.filter("size > 0").select("number", "offset", F.col("row_key").alias("__row_key"))
     repeated = materialize(rows.groupBy(F.col("row_key").alias("__row_key")).count().filter("count > 1").select("__row_key"),
                            "repeated")
-    cuts = keyed_rows.join(ranges, ["number", "offset"]).select("__row_key", "__ranges")
+    cuts = keyed_rows.join(ranges, ["number", "offset"]).select("__row_key", spans_name)
 
     @F.arrow_udf("string")
     def cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
         return pa.array([cut_text(t, [(r["word"], r["words"]) for r in s])
                          for t, s in zip(texts.to_pylist(), spans.to_pylist())], pa.string())
 
-    out = attach(docs, cuts, repeated).withColumn("text", cut("text", "__ranges"))
+    out = attach(docs, cuts, repeated).withColumn("text", cut("text", spans_name))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)

@@ -37,7 +37,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import let, table
+from tidemark.llm.common import let, table, unused
 
 #: Parameter: the secret that selects the permutations. Set your own.
 KEY = "tidemark-pseudonyms"
@@ -311,8 +311,9 @@ def pseudonymise(docs: DataFrame, key: str = KEY, text: str = "text") -> DataFra
     ``n_pseudonyms`` of ``docs`` is replaced.
     """
     own = [c for c in docs.columns if c != "n_pseudonyms"]
+    values, new_text = unused(own, "__found"), unused(own, "__new")
     found = F.when(F.col(text).rlike(HINT), F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)))
-    rows = docs.select(*own, found.alias("__found"))
+    rows = docs.select(*own, found.alias(values))
     gaps = F.split(text, PATTERN, -1)
 
     def rebuilt(new: Column) -> Column:
@@ -320,10 +321,10 @@ def pseudonymise(docs: DataFrame, key: str = KEY, text: str = "text") -> DataFra
         return F.struct(F.array_join(F.zip_with(gaps, tail, lambda g, v: F.concat(g, v)), "").alias("text"),
                         F.size(F.filter(new, lambda x: x.old != x.new)).cast("long").alias("n"))
 
-    some = F.size("__found") > 0  # null for null texts and for those without a hint
-    rows = rows.withColumn("__new", F.when(some, let(pseudonyms(F.col("__found"), key), rebuilt)))
-    return rows.select(*[F.coalesce("__new.text", text).alias(c) if c == text else F.col(c) for c in own],
-                       F.coalesce("__new.n", F.lit(0).cast("long")).alias("n_pseudonyms"))
+    some = F.size(values) > 0  # null for null texts and for those without a hint
+    rows = rows.withColumn(new_text, F.when(some, let(pseudonyms(F.col(values), key), rebuilt)))
+    return rows.select(*[F.coalesce(F.col(new_text)["text"], text).alias(c) if c == text else F.col(c) for c in own],
+                       F.coalesce(F.col(new_text)["n"], F.lit(0).cast("long")).alias("n_pseudonyms"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

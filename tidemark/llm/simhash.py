@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import keyed, materialize, row_key, signed64, table
+from tidemark.llm.common import materialize, row_key, signed64, table, unused
 from tidemark.llm.graph import components
 
 BITS = 64
@@ -147,15 +147,15 @@ def keep_first(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, bu
     Of identical repeated rows one stays.
     """
     grouped = near_duplicates(docs, shingle, radius, bucket)
+    own = unused(docs.columns, "__row_key")
     firsts = materialize(
         grouped.groupBy("label", "row_key").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"))
         .groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key", "n")).alias("x"))
-        .select(F.col("x.row_key").alias("__row_key"), F.col("x.n").alias("n")), "firsts")
-    with_key = keyed(docs)
-    once = with_key.join(firsts.filter("n = 1").select("__row_key"), "__row_key", "left_semi")
+        .select(F.col("x.row_key").alias(own), F.col("x.n").alias("n")), "firsts")
+    with_key = docs.withColumn(own, row_key())
+    once = with_key.join(firsts.filter("n = 1").select(own), own, "left_semi")
     if not firsts.filter("n > 1").isEmpty():
-        once = once.unionByName(with_key.join(firsts.filter("n > 1").select("__row_key"), "__row_key", "left_semi")
-                                .dropDuplicates(["__row_key"]))
+        once = once.unionByName(with_key.join(firsts.filter("n > 1").select(own), own, "left_semi").dropDuplicates([own]))
     return once.select(*docs.columns)
 
 
