@@ -98,7 +98,7 @@ def test_manifest_driven_silver_stream_matches_batch(spark, lake_dirs, workdir):
     pipeline.land(spark, str(d2), base, dt.datetime(2024, 1, 2, 0, 5))
     incremental.manifest_driven_silver(spark, base, str(workdir / "ckpt")).awaitTermination()
     rows = {r.issue_id: r.title for r in Lake(spark, base).silver("issue_current").collect()}
-    assert rows == {1: "v2", 2: "Issue 2"}
+    assert rows == {1: "v2", 2: "entry 2"}
     state = Lake(spark, base).sync_state().collect()
     assert [s.last_successful_bronze_run_id for s in state] == ["r2"]
     report = pipeline.check_report(spark, base, "silver").collect()
