@@ -12,7 +12,7 @@ doc_id, then line number) is similar: Jaccard of at least ``threshold``.
 3. Prefix filter: similar sets share one of their first ``n - ceil(t n) + 1`` words.
    Classes are joined on these words, under the length filter (``n`` within ``t``) and
    the positional filter (the places of the shared word leave enough words to share) and
-   a parity filter (128 parities of each set bound from below how many words differ).
+   a parity filter (64 parities of each set bound from below how many words differ).
 4. Candidates are verified on their whole sets. Those are made again from the texts, of
    the candidates' first lines only: a bitmap of fixed size lets their lines pass, and
    the join that follows is exact.
@@ -69,9 +69,10 @@ def text_lines(docs: DataFrame) -> DataFrame:
 
 
 def rarity(docs: DataFrame, buckets: int = RARITY_BUCKETS) -> Column:
-    """A binary literal: for each hash bucket, a printable byte that rises with the count of its words.
+    """A scalar subquery, binary: for each hash bucket, a printable byte that rises with the count of its words.
 
-    The counts are of all words of all lines; ``buckets`` bytes reach the driver, whatever the corpus.
+    The counts are of all words of all lines; the value has ``buckets`` bytes, whatever the corpus. It is read from
+    a table of one row where it is used, so plans name it and do not spell it out.
     """
     words = docs.select(F.explode(words_of(F.replace("text", F.lit("\n"), F.lit(" ")))).alias("word")).filter("word <> ''")
     each = words.select(F.pmod(F.xxhash64("word"), F.lit(buckets)).alias("bucket"))
@@ -79,7 +80,8 @@ def rarity(docs: DataFrame, buckets: int = RARITY_BUCKETS) -> Column:
     step = F.char(F.least(F.floor(F.log2("count") * STEPS_PER_POWER), F.lit(RARITY_STEPS - 1)) + 32)
     row = F.sort_array(F.collect_list(F.struct("bucket", step.alias("step"))))
     found = counts.groupBy(F.expr(f"bucket div {RARITY_ROW}").alias("row")).agg(F.array_join(row["step"], "").alias("bytes"))
-    return F.lit("".join(r["bytes"] for r in sorted(found.collect()))).cast("binary")
+    rows = F.array_sort(F.collect_list(F.struct("row", "bytes")))  # buckets / RARITY_ROW rows
+    return materialize(found.agg(F.array_join(rows["bytes"], "").cast("binary").alias("steps")), "rarity").scalar()
 
 
 def set_of(line: Column, steps: Column, buckets: int = RARITY_BUCKETS) -> Column:
@@ -93,14 +95,19 @@ def set_of(line: Column, steps: Column, buckets: int = RARITY_BUCKETS) -> Column
     return F.sort_array(F.transform(hashes, key))
 
 
-def parities(words: Column) -> list[Column]:
-    """128 parities of a set, as two longs: sets differ in at least as many words as their parities differ in bits."""
-    def half(which: int) -> Column:
-        own = F.filter(words, lambda w: w.bitwiseAND(F.lit(64).cast("long")) == which)
-        return F.aggregate(own, F.lit(0).cast("long"), lambda a, w: a.bitwiseXOR(
-            F.call_function("shiftleft", F.lit(1).cast("long"), w.bitwiseAND(F.lit(63).cast("long")).cast("int"))))
+def with_sets(lines: DataFrame, steps: Column) -> DataFrame:
+    """``lines`` (with ``content``) and ``words``, the sets of their lines.
 
-    return [half(0).alias("parity"), half(64).alias("parity2")]
+    A subquery must not stand inside a lambda function when a query is analysed, so it gets a column first; the
+    optimizer then merges the two selects, and no row holds the value.
+    """
+    return lines.withColumn("steps", steps).withColumn("words", set_of(F.col("content"), F.col("steps"))).drop("steps")
+
+
+def parity(words: Column) -> Column:
+    """64 parities of a set, as a long: sets differ in at least as many words as their parities differ in bits."""
+    return F.aggregate(words, F.lit(0).cast("long"), lambda a, w: a.bitwiseXOR(
+        F.call_function("shiftleft", F.lit(1).cast("long"), w.bitwiseAND(F.lit(63).cast("long")).cast("int"))))
 
 
 def needed(n: Column, threshold: float) -> Column:
@@ -109,19 +116,23 @@ def needed(n: Column, threshold: float) -> Column:
 
 
 def classes(docs: DataFrame, steps: Column, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
-    """(lines, classes): (doc_id, line, id) of lines with words; (id, n, prefix, first) of their classes."""
-    found = text_lines(docs).select("doc_id", "line", set_of(F.col("content"), steps).alias("words"))
+    """(lines, classes): (doc_id, line, id) of lines with words; (id, n, parity, prefix, first, number) of their classes.
+
+    ``number`` counts the classes from 0 in the order of their first lines.
+    """
+    found = with_sets(text_lines(docs), steps).select("doc_id", "line", "words")
     n = F.size("words")
     prefix = F.transform(F.slice("words", 1, n - needed(n, threshold) + 1), lambda w: F.hash(w))
     lines = materialize(found.select("doc_id", "line", F.xxhash64("words").alias("id"), n.alias("n"),
-                                     *parities(F.col("words")), prefix.alias("prefix")), "lines")
-    own = lines.groupBy("id", "n", "parity", "parity2", "prefix").agg(F.min(place()).alias("first"))
-    return lines.select("doc_id", "line", "id"), materialize(own, "line-classes")
+                                     parity(F.col("words")).alias("parity"), prefix.alias("prefix")), "lines")
+    own = lines.groupBy("id", "n", "parity", "prefix").agg(F.min(place()).alias("first"))
+    numbered_classes = placed(own, ["first"], "line-classes").withColumnRenamed("place", "number").drop("piece")
+    return lines.select("doc_id", "line", "id"), numbered_classes
 
 
 def prefix_index(own: DataFrame, *more: str) -> DataFrame:
     """A row for each prefix word of each class."""
-    return own.select("first", "n", "parity", "parity2", *more, F.posexplode("prefix").alias("at", "word"))
+    return own.select("number", "n", "parity", *more, F.posexplode("prefix").alias("at", "word"))
 
 
 def passes(a: str, b: str, threshold: float) -> Column:
@@ -133,8 +144,8 @@ def passes(a: str, b: str, threshold: float) -> Column:
     # holds for the first word that a similar pair shares, as its other shared words come later in both
     most = F.least(n_a - get(a, "at"), n_b - get(b, "at"))
     shared = F.ceil((n_a + n_b) * (threshold / (1 + threshold)) - 1e-9)
-    differ = sum(F.bit_count(get(a, p).bitwiseXOR(get(b, p))) for p in ("parity", "parity2"))
-    return ((get(a, "first") < get(b, "first")) & (F.least(n_a, n_b) >= needed(F.greatest(n_a, n_b), threshold))
+    differ = F.bit_count(get(a, "parity").bitwiseXOR(get(b, "parity")))
+    return ((get(a, "number") < get(b, "number")) & (F.least(n_a, n_b) >= needed(F.greatest(n_a, n_b), threshold))
             & (most >= shared) & (differ <= n_a + n_b - 2 * shared))
 
 
@@ -143,23 +154,23 @@ def leader_pairs(own: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     class and word at most, however many classes share the word."""
     index = prefix_index(own)
     leaders = index.groupBy("word").agg(
-        F.min(F.struct("first", "n", "at", "parity", "parity2")).alias("a"), F.count("*").alias("classes")).filter("classes > 1")
+        F.min(F.struct("number", "n", "at", "parity")).alias("a"), F.count("*").alias("classes")).filter("classes > 1")
     return index.alias("b").join(leaders, "word").filter(passes("a", "b", threshold)) \
-        .select(F.col("a.first").alias("a"), F.col("b.first").alias("b")).distinct()
+        .select(F.col("a.number").alias("a"), F.col("b.number").alias("b")).distinct()
 
 
 def candidates(own: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Pairs (a, b) that pass the filters, b a class with ``open`` and a any earlier class, by their first lines."""
+    """Pairs (a, b) that pass the filters, b a class with ``open`` and a any earlier class."""
     index = prefix_index(own, "open")
     a, b = index.alias("a"), index.alias("b")
     # always b.open, as every class has words; a condition on the columns of both sides lets both read one exchange
     wanted = F.when(F.col("a.n") + F.col("a.open").cast("int") > 0, F.col("b.open"))
     return a.join(b, (F.col("a.word") == F.col("b.word")) & wanted & passes("a", "b", threshold)) \
-        .select(F.col("a.first").alias("a"), F.col("b.first").alias("b")).distinct()
+        .select(F.col("a.number").alias("a"), F.col("b.number").alias("b")).distinct()
 
 
 def lines_at(docs: DataFrame, places: DataFrame) -> DataFrame:
-    """(at, content) of the lines whose place is in ``places`` (column ``at``, each once)."""
+    """``content`` of the lines whose place is in ``places`` (column ``at``, each once), and the columns of ``places``."""
     bit = F.pmod(F.xxhash64("at"), F.lit(BITMAP_BITS))
     bitmap = places.select(bit.alias("p")).groupBy(F.expr(f"p div {ROW_BITS}").alias("row")).agg(
         F.bitmap_construct_agg(F.col("p") % ROW_BITS).alias("bits"))  # BITMAP_BITS / 8 bytes at most
@@ -169,32 +180,32 @@ def lines_at(docs: DataFrame, places: DataFrame) -> DataFrame:
     return passed.select("at", "content").join(places, "at").dropDuplicates(["at"])
 
 
-def similar(docs: DataFrame, pairs: DataFrame, steps: Column, threshold: float = THRESHOLD) -> DataFrame:
-    """Those of ``pairs`` (a, b: places of lines) that are similar, with ``shared`` words and ``jaccard``."""
+def similar(docs: DataFrame, own: DataFrame, pairs: DataFrame, steps: Column, threshold: float = THRESHOLD) -> DataFrame:
+    """Those of ``pairs`` (a, b: numbers of classes in ``own``) that are similar, with ``shared`` words and ``jaccard``."""
     pairs = materialize(pairs, "line-pairs")
-    places = pairs.select(F.col("a").alias("at")).union(pairs.select("b")).distinct()
-    sets = materialize(lines_at(docs, materialize(places, "line-places")).select(
-        "at", set_of(F.col("content"), steps).alias("words")), "line-sets")
+    numbers = pairs.select(F.col("a").alias("number")).union(pairs.select("b")).distinct()
+    places = materialize(own.select("number", F.col("first").alias("at")).join(numbers, "number"), "line-places")
+    sets = materialize(with_sets(lines_at(docs, places), steps).select("number", "words"), "line-sets")
     shared = F.size(F.array_intersect("wa", "wb"))
     both = F.size("wa") + F.size("wb")
-    return pairs.join(sets.select(F.col("at").alias("a"), F.col("words").alias("wa")), "a") \
-        .join(sets.select(F.col("at").alias("b"), F.col("words").alias("wb")), "b") \
+    return pairs.join(sets.select(F.col("number").alias("a"), F.col("words").alias("wa")), "a") \
+        .join(sets.select(F.col("number").alias("b"), F.col("words").alias("wb")), "b") \
         .select("a", "b", shared.alias("shared"), (shared / (both - shared)).alias("jaccard")) \
         .filter(F.col("jaccard") >= threshold - 1e-12)
 
 
 def later_classes(docs: DataFrame, own: DataFrame, steps: Column, threshold: float = THRESHOLD) -> DataFrame:
-    """(first) of the classes that are similar to an earlier one.
+    """(number) of the classes that are similar to an earlier one.
 
     One earlier match is enough. So classes are compared with the earliest class of each of their prefix
     words first, which settles groups of near copies in a number of pairs that grows with the group and
     not with its square; only classes that are still open are joined with all earlier ones.
     """
-    settled = materialize(similar(docs, leader_pairs(own, threshold), steps, threshold)
-                          .select(F.col("b").alias("first")).distinct(), "line-settled")
-    marked = own.join(settled.withColumn("settled", F.lit(True)), "first", "left").withColumn("open", F.col("settled").isNull())
+    settled = materialize(similar(docs, own, leader_pairs(own, threshold), steps, threshold)
+                          .select(F.col("b").alias("number")).distinct(), "line-settled")
+    marked = own.join(settled.withColumn("settled", F.lit(True)), "number", "left").withColumn("open", F.col("settled").isNull())
     marked = materialize(marked.drop("id", "settled"), "line-open")
-    rest = similar(docs, candidates(marked, threshold), steps, threshold).select(F.col("b").alias("first")).distinct()
+    rest = similar(docs, own, candidates(marked, threshold), steps, threshold).select(F.col("b").alias("number")).distinct()
     return settled.union(rest)
 
 
@@ -203,7 +214,7 @@ def removed_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     steps = rarity(docs)
     lines, own = classes(docs, steps, threshold)
     later = later_classes(docs, own, steps, threshold)
-    gone = own.select("id", "first").join(later.withColumn("matched", F.lit(True)), "first", "left")
+    gone = own.select("id", "first", "number").join(later.withColumn("matched", F.lit(True)), "number", "left")
     return materialize(lines.join(gone, "id").filter((place() != F.col("first")) | F.col("matched"))
                        .groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("removed")), "removed-lines")
 
