@@ -360,6 +360,45 @@ def test_url_templates_split_where_labels_differ(spark):
     assert {r.verdict for r in urls.filter_urls(bad).collect()} == {"block"}  # x shares the host's purity
 
 
+def judged(spark, rows):
+    """The judgement of (host, path, verdict of the rule or None) pages whose rules are their own paths."""
+    rules = tuple((h + p, v) for h, p, v in rows if v)
+    pages = spark.createDataFrame([(i, f"http://{h}{p}") for i, (h, p, _) in enumerate(rows)], "page_id long, url string")
+    return sorted(urls.filter_urls(pages, rules).collect(), key=lambda r: r.page_id)
+
+
+def test_url_templates_reach_the_last_segment(spark):
+    rows = [("t.net", f"/a/b/c/d/{last}/{i}", verdict) for last, verdict in (("bad", "block"), ("good", "allow")) for i in range(8)]
+    rows += [("t.net", f"/a/b/c/d/{last}/99", None) for last in ("bad", "good")]
+    rows += [("t.net", "/z" * 300, None), ("u.net", "/a/b/c/d/e/f/g/h", None)]
+    got = judged(spark, rows)
+    assert [r.verdict for r in got[16:18]] == ["block", "allow"]
+    assert got[16].template != got[17].template and got[18].template.count("/") == 300 and got[19].template == "/*" * 8
+
+
+def test_similar_siblings_are_merged(spark):
+    rows = [("t.net", f"/{s}/{i}", "block" if i else "allow") for s in "ab" for i in range(9)]
+    rows += [("t.net", f"/{s}/{i}", "allow") for s in "cd" for i in range(9)]
+    got = judged(spark, rows)
+    by = defaultdict(set)
+    for r in got:
+        by[r.path[1]].add(r.template.split("/")[1])
+    assert by == {"a": {"{a|b}"}, "b": {"{a|b}"}, "c": {"{c|d}"}, "d": {"{c|d}"}}
+
+
+def test_no_two_merged_branches_are_similar():
+    rng = np.random.default_rng(6)
+    for _ in range(50):
+        branches = [(f"s{k}", int(rng.integers(0, 40)), int(rng.integers(0, 40))) for k in range(int(rng.integers(1, 12)))]
+        names = urls.merged(branches)
+        sums = defaultdict(lambda: np.zeros(2))
+        for name, (_, blocked, allowed) in zip(names, branches):
+            if blocked + allowed:
+                sums[name] += (blocked, blocked + allowed)
+        groups = [([], b, n) for b, n in sums.values()]
+        assert all(urls.unlike(x, y) > urls.SIMILAR for x, y in itertools.combinations(groups, 2))
+
+
 # mixing -----------------------------------------------------------------------------------------
 
 def brute_targets(sizes):
