@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
 from collections.abc import Callable
 
 import numpy as np
@@ -17,6 +18,9 @@ CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: ASCII white space, as ``bytes.split()`` splits.
 SPACES = b" \t\n\x0b\x0c\r"
 
+#: Where ``materialize`` wrote the tables that are still referred to.
+WRITTEN: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[list(SPACES)] = True
 #: Bytes that start a UTF-8 code point.
@@ -61,7 +65,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
         df.write.option("compression", "zstd").parquet(path)
     finally:
         spark.conf.set(CLEAN_SHUFFLES, before)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    WRITTEN[table] = path
+    return table
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables of ``materialize`` that nothing reads any more: all that was made of them is written."""
+    for table in tables:
+        path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(WRITTEN.pop(table))
+        path.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

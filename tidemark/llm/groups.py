@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialize, table
+from tidemark.llm.common import materialize, release, table
 from tidemark.llm.graph import components
 from tidemark.llm.order import placed
 
@@ -183,20 +183,27 @@ def row_hash() -> Column:
 
 
 def sharing(classes: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """(token, at, c1): the first shingles that several of ``classes`` have, written; (c1) of the classes that have enough of them."""
-    postings = classes.select(F.posexplode("prefix").alias("at", "token"), "c1").repartition("token")
-    several = postings.groupBy("token").agg((F.min("c1") != F.max("c1")).alias("several")).filter("several").select("token")
-    shared = materialize(postings.join(several, "token"), "sharing")
-    alive = shared.groupBy("c1").count().join(classes.groupBy("c1").agg(F.min("n").alias("n")), "c1").filter(
-        F.col("count") >= least(F.col("n"), percent)).select("c1")
+    """(token, at, number): the first shingles that several of ``classes`` have; (number) of the classes that have enough
+    of them; both written.
+
+    One shuffle by shingle: a class has a shingle once, so one that has a neighbour in the order of its classes has
+    several. Rows of a frequent shingle are sorted and buffered on disk where memory ends.
+    """
+    postings = classes.select(F.posexplode("prefix").alias("at", "token"), "number")
+    neighbours = Window.partitionBy("token").orderBy("number")
+    several = F.lag("number").over(neighbours).isNotNull() | F.lead("number").over(neighbours).isNotNull()
+    shared = materialize(postings.withColumn("several", several).filter("several").drop("several"), "sharing")
+    alive = shared.groupBy("number").count().join(classes.select("number", "n"), "number").filter(
+        F.col("count") >= least(F.col("n"), percent)).select("number")
     return shared, materialize(alive, "alive")
 
 
 def between_groups(shared: DataFrame, members: DataFrame) -> DataFrame:
     """(token, at, id, group, n): the shared first shingles of ``members`` that stand in several groups, written."""
-    each = shared.join(members.select("c1", "id", "group", "n"), "c1").drop("c1").repartition("token")
-    several = each.groupBy("token").agg((F.min("group") != F.max("group")).alias("several")).filter("several").select("token")
-    return materialize(each.join(several, "token"), "postings")
+    each = shared.join(members.select("number", "id", "group", "n"), "number").drop("number")
+    own = Window.partitionBy("token")
+    several = F.min("group").over(own) != F.max("group").over(own)
+    return materialize(each.withColumn("several", several).filter("several").drop("several"), "postings")
 
 
 def among(texts: DataFrame, members: DataFrame) -> DataFrame:
@@ -366,23 +373,30 @@ def enough(pairs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, group: int = GROUP) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs``."""
-    found = materialize(sketches(docs, bucket_counts(docs, shingle), shingle, percent), "sketches")
-    classes = materialize(found.filter("n > 0").groupBy("c1", "c2").agg(
-        F.min("doc_id").alias("first_id"), F.min("row").alias("row"),
-        *[F.first(c).alias(c) for c in ("n", "s1", "s2", "prefix")]), "classes")
-    shared, alive = sharing(classes, percent)
-    live = classes.select("c1", "c2", "row", "n", "s1", "s2", "first_id").join(alive, "c1", "left_semi")
-    members = placed(live, ["s1", "s2", "n"], "live").select(
-        F.col("place").alias("id"), F.expr(f"place div {group}").alias("group"), "c1", "c2", "row", "n", "first_id")
+    sketched = materialize(sketches(docs, bucket_counts(docs, shingle), shingle, percent), "sketches")
+    own = sketched.filter("n > 0").groupBy("c1", "c2").agg(
+        F.min("doc_id").alias("first_id"), F.min("row").alias("row"), *[F.first(c).alias(c) for c in ("n", "s1", "s2", "prefix")])
+    numbered = materialize(own.withColumn("number", F.monotonically_increasing_id()), "classes-and-prefixes")
+    found = materialize(sketched.select("doc_id", "row", "n", "c1", "c2"), "sizes")
+    release(sketched)
+    shared, alive = sharing(numbered, percent)
+    classes = materialize(numbered.drop("prefix"), "classes")
+    release(numbered)
+    members = placed(classes.join(alive, "number", "left_semi"), ["s1", "s2", "n"], "live").select(
+        F.col("place").alias("id"), F.expr(f"place div {group}").alias("group"), "number", "c1", "c2", "row", "n", "first_id")
     members = materialize(members, "grouped")
     postings = between_groups(shared, members)
+    release(shared, alive)
     repeated = materialize(found.groupBy("row").count().filter("count > 1").select("row"), "repeated")
-    labels = class_labels(member_sets(docs, members, repeated, shingle), postings, percent)
+    sets = member_sets(docs, members, repeated, shingle)
+    labels = class_labels(sets, postings, percent)
+    release(sets, postings)
     linked = members.join(labels, "id").select("c1", "c2", "label", "first_id")
     firsts = linked.groupBy("label").agg(F.min("first_id").alias("lowest"))
     lowest = linked.join(firsts, "label").select("c1", "c2", "lowest")
     ends = materialize(classes.select("c1", "c2", "first_id").join(lowest, ["c1", "c2"], "left")
                        .select("c1", "c2", F.coalesce("lowest", "first_id").alias("component_id")), "class-components")
+    release(classes, members, labels)
     out = found.select("doc_id", "n", "c1", "c2").join(ends, ["c1", "c2"], "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
