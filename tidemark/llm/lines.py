@@ -34,7 +34,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import let, materialize, row_key, table
+from tidemark.llm.common import let, materialize, release, row_key, table
 from tidemark.llm.order import placed
 
 THRESHOLD = 0.8
@@ -127,7 +127,9 @@ def classes(docs: DataFrame, steps: Column, threshold: float = THRESHOLD) -> tup
                                      parity(F.col("words")).alias("parity"), prefix.alias("prefix")), "lines")
     own = lines.groupBy("id", "n", "parity", "prefix").agg(F.min(place()).alias("first"))
     numbered_classes = placed(own, ["first"], "line-classes").withColumnRenamed("place", "number").drop("piece")
-    return lines.select("doc_id", "line", "id"), numbered_classes
+    ids = materialize(lines.select("doc_id", "line", "id"), "line-ids")
+    release(lines)
+    return ids, numbered_classes
 
 
 def prefix_index(own: DataFrame, *more: str) -> DataFrame:
@@ -181,17 +183,20 @@ def lines_at(docs: DataFrame, places: DataFrame) -> DataFrame:
 
 
 def similar(docs: DataFrame, own: DataFrame, pairs: DataFrame, steps: Column, threshold: float = THRESHOLD) -> DataFrame:
-    """Those of ``pairs`` (a, b: numbers of classes in ``own``) that are similar, with ``shared`` words and ``jaccard``."""
+    """Those of ``pairs`` (a, b: numbers of classes in ``own``) that are similar, with ``shared`` words and ``jaccard``, written."""
     pairs = materialize(pairs, "line-pairs")
     numbers = pairs.select(F.col("a").alias("number")).union(pairs.select("b")).distinct()
     places = materialize(own.select("number", F.col("first").alias("at")).join(numbers, "number"), "line-places")
     sets = materialize(with_sets(lines_at(docs, places), steps).select("number", "words"), "line-sets")
     shared = F.size(F.array_intersect("wa", "wb"))
     both = F.size("wa") + F.size("wb")
-    return pairs.join(sets.select(F.col("number").alias("a"), F.col("words").alias("wa")), "a") \
+    found = pairs.join(sets.select(F.col("number").alias("a"), F.col("words").alias("wa")), "a") \
         .join(sets.select(F.col("number").alias("b"), F.col("words").alias("wb")), "b") \
         .select("a", "b", shared.alias("shared"), (shared / (both - shared)).alias("jaccard")) \
         .filter(F.col("jaccard") >= threshold - 1e-12)
+    found = materialize(found, "line-similar")
+    release(pairs, places, sets)
+    return found
 
 
 def later_classes(docs: DataFrame, own: DataFrame, steps: Column, threshold: float = THRESHOLD) -> DataFrame:
@@ -206,6 +211,7 @@ def later_classes(docs: DataFrame, own: DataFrame, steps: Column, threshold: flo
     marked = own.join(settled.withColumn("settled", F.lit(True)), "number", "left").withColumn("open", F.col("settled").isNull())
     marked = materialize(marked.drop("id", "settled"), "line-open")
     rest = similar(docs, own, candidates(marked, threshold), steps, threshold).select(F.col("b").alias("number")).distinct()
+    release(marked)
     return settled.union(rest)
 
 
