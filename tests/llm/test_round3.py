@@ -98,6 +98,15 @@ def test_manifest_equals_brute_force(spark, sizes):
     assert sorted((r[:5] for r in got), key=repr) == brute_manifest(rows)
 
 
+def test_proofs_are_written_level_by_level(spark):
+    """However high the tree, the plan of the proofs joins the leaves with one level."""
+    leaves = spark.range(300).select("id", F.lit("a").alias("source"), F.unhex(F.sha2(F.col("id").cast("string"), 256)).alias("leaf"))
+    proofs, _ = manifest.manifest(leaves)
+    plan = proofs._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1
+    assert proofs.select(F.size("proof").alias("n")).distinct().collect() == [(6,)]
+
+
 def test_manifest_of_nothing_and_of_nulls(spark):
     empty = spark.createDataFrame([], "id long, source string, leaf binary")
     proofs, root = manifest.manifest(empty)

@@ -10,7 +10,8 @@ length leaves its siblings. The rows of the first children have all siblings on
 their right and hash the parents. Windows are cut into blocks of ``BLOCK`` nodes, a
 multiple of ``FAN``, so that no run is cut and a source of any size spreads over
 tasks. Each level is written once; a proof goes down the levels by a join of
-children with their parent, so no join key is hotter than a run.
+children with their parent, so no join key is hotter than a run. The proofs of a level
+are written too, so that no plan holds more than one level, however high the tree.
 
 Defined results: null fields are written ``-``; a null source is a source of its
 own, the first; null ids come first, equal ids are ordered by their leaves, and
@@ -95,14 +96,14 @@ def descend(levels: list[DataFrame], tops: DataFrame) -> DataFrame:
     for k in range(len(levels) - 1, -1, -1):
         level = levels[k] if k == 0 else levels[k].select("g", "pos", "n", "left", "right")
         kept = [c for c in level.columns if c not in ("n", "left", "right")]
-        ended = level.filter("n = 1").join(tops.filter(F.col("level") == k).drop("level"), "g").select(*kept, "top", "proof")
-        if above is None:
-            above = ended
-            continue
+        over = tops.filter(F.col("level") == k).select("g", F.lit(0).cast("long").alias("up"), "top", F.col("proof").alias("rest"))
+        if above is not None:
+            over = over.union(above.select("g", F.col("pos").alias("up"), "top", F.col("proof").alias("rest")))
         step = F.array(F.struct("left", "right"))
-        inner = level.filter("n > 1").withColumn("up", F.expr(f"pos div {FAN}")).join(
-            above.select("g", F.col("pos").alias("up"), "top", F.col("proof").alias("rest")), ["g", "up"])
-        above = ended.union(inner.select(*kept, "top", F.concat(step, "rest").alias("proof")))
+        proof = F.when(F.col("n") > 1, F.concat(step, "rest")).otherwise(F.col("rest"))
+        above = level.withColumn("up", F.expr(f"pos div {FAN}")).join(over, ["g", "up"]).select(*kept, "top", proof.alias("proof"))
+        if k > 0:
+            above = materialize(above, "proofs")
     return above
 
 
