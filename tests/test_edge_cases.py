@@ -346,6 +346,14 @@ def test_merge_ranks_the_whole_union(spark):
     assert sorted((r.issue_id or 0, r.title) for r in got if r.issue_id) == [(1, "new"), (2, "keep")] and len(got) == 3
 
 
+def test_merged_runs_are_read_from_written_tables(spark):
+    """The tasks of the merge hold the rows they rank, and not also the buffers of the joins that derive them."""
+    from tidemark.plans import lake_queries
+
+    merged = lake_queries.merge_current_runs(spark, "/root/testdata/sf0.001")
+    assert "Join " not in merged._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_monthly_quantiles_are_exact_in_large_groups(spark):
     n = 60_000
     lc = spark.range(n).select(

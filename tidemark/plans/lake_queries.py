@@ -91,9 +91,13 @@ def second_delivery(bronze: DataFrame) -> DataFrame:
 
 @register("merge_current_runs")
 def merge_current_runs(spark, sf_dir):
-    """A snapshot merged with a delta by the merge of the pipeline, ties in each of its five keys included."""
-    bronze = tables.bronze_pages(spark, sf_dir)
-    existing = sv.merge_current(None, sv.flatten(bronze.filter("issue_id % 11 <> 5"), RUN_TS), RUN_TS)
+    """A snapshot merged with a delta by the merge of the pipeline, ties in each of its five keys included.
+
+    The bronze rows are derived once and written, as a landing is, and so is the snapshot. Otherwise the tasks of the
+    last stage would hold the buffers of all joins and sorts of both sides at once.
+    """
+    bronze = materialize(spark, tables.bronze_pages(spark, sf_dir))
+    existing = materialize(spark, sv.merge_current(None, sv.flatten(bronze.filter("issue_id % 11 <> 5"), RUN_TS), RUN_TS))
     delta = sv.flatten(second_delivery(bronze.filter("issue_id % 13 <> 6")), RUN_TS)
     return sv.merge_current(existing, delta, RUN_TS).select(
         *ISSUE_KEYS, "title", "updated_at", "source_recorded_at", "source_run_id", "source_page_number")
