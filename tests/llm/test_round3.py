@@ -176,6 +176,18 @@ def test_prefixes_of_similar_sets_share_enough(spark):
         assert len(first(x) & first(y)) >= max(need[len(x)], need[len(y)]) or min(need[len(x)], need[len(y)]) <= len(first(x) & first(y))
 
 
+def test_first_shingles_are_shared_in_parts(spark):
+    """Each shuffle holds a part of the shingles only, and together they find what one would."""
+    rows = [(k, 1, [k % 5, k % 7 + 10, 100 + k, -3]) for k in range(40)] + [(40, 40, [500]), (41, 1, [])]
+    parts, alive = groups.sharing(spark.createDataFrame(rows, "number long, n long, prefix array<long>"))
+    times = {t: sum(t in r[2] for r in rows) for r in rows for t in r[2]}
+    got = [[tuple(r) for r in part.select("token", "at", "number").collect()] for part in parts]
+    assert len({t % len(parts) for t in times}) == len(parts) > 1
+    assert all({r[0] % len(parts) for r in part} == {k} for k, part in enumerate(got))
+    assert sorted(sum(got, [])) == sorted((t, at, r[0]) for r in rows for at, t in enumerate(r[2]) if times[t] > 1)
+    assert sorted(r[0] for r in alive.collect()) == list(range(40))
+
+
 def test_token_groups_odd_input(spark):
     long = "lorem ipsum dolor sit amet " * 30_000
     rows = [(None, None, None, None, None), (1, None, "en", "a", 0), (2, "", "en", None, 0), (3, " \n\t", None, "b", 3),

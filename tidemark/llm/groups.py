@@ -34,6 +34,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -55,6 +56,8 @@ PILOTS, LEADERS = 1, 8
 QUERIES = 1024
 #: One in so many shingles must be shared among the first ones, and one more.
 LEAST = 20
+#: Parts of the shingles that are shuffled one after the other.
+PASSES = 3
 #: Hash buckets whose shingles are counted, and buckets of one row of counts.
 BUCKETS, ROW = 2 ** 18, 2 ** 12
 #: Bits of the bitmap of documents whose sets are made again, and of one row of Spark's bitmap aggregate.
@@ -182,18 +185,20 @@ def row_hash() -> Column:
     return F.xxhash64("doc_id", "text")
 
 
-def sharing(classes: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """(token, at, number): the first shingles that several of ``classes`` have; (number) of the classes that have enough
-    of them; both written.
+def sharing(classes: DataFrame, percent: int = PERCENT) -> tuple[list[DataFrame], DataFrame]:
+    """(token, at, number), a table for each of ``PASSES`` parts of the shingles: the first shingles that several of
+    ``classes`` have; (number) of the classes that have enough of them; all written.
 
-    One shuffle by shingle: a class has a shingle once, so one that has a neighbour in the order of its classes has
-    several. Rows of a frequent shingle are sorted and buffered on disk where memory ends.
+    A shuffle by shingle: a class has a shingle once, so one that has a neighbour in the order of its classes has
+    several. Rows of a frequent shingle are sorted and buffered on disk where memory ends. Most first shingles are
+    found once, so the shuffle is many times its result; each part's shuffle files go before the next part's are made.
     """
     postings = classes.select(F.posexplode("prefix").alias("at", "token"), "number")
     neighbours = Window.partitionBy("token").orderBy("number")
     several = F.lag("number").over(neighbours).isNotNull() | F.lead("number").over(neighbours).isNotNull()
-    shared = materialize(postings.withColumn("several", several).filter("several").drop("several"), "sharing")
-    alive = shared.groupBy("number").count().join(classes.select("number", "n"), "number").filter(
+    shared = [materialize(postings.filter(F.pmod("token", F.lit(PASSES)) == k).withColumn("several", several)
+                          .filter("several").drop("several"), "sharing") for k in range(PASSES)]
+    alive = reduce(DataFrame.union, shared).groupBy("number").count().join(classes.select("number", "n"), "number").filter(
         F.col("count") >= least(F.col("n"), percent)).select("number")
     return shared, materialize(alive, "alive")
 
@@ -385,8 +390,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     members = placed(classes.join(alive, "number", "left_semi"), ["s1", "s2", "n"], "live").select(
         F.col("place").alias("id"), F.expr(f"place div {group}").alias("group"), "number", "c1", "c2", "row", "n", "first_id")
     members = materialize(members, "grouped")
-    postings = between_groups(shared, members)
-    release(shared, alive)
+    postings = between_groups(reduce(DataFrame.union, shared), members)
+    release(*shared, alive)
     repeated = materialize(found.groupBy("row").count().filter("count > 1").select("row"), "repeated")
     sets = member_sets(docs, members, repeated, shingle)
     labels = class_labels(sets, postings, percent)
