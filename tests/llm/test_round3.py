@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import os
 import random
 import re
 import zlib
@@ -13,7 +14,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, groups, lines, manifest, mixing, pseudonyms, registry, repair, sharding, simhash
+from tidemark.llm import common, decontamination, groups, lines, manifest, mixing, pseudonyms, registry, repair, sharding, simhash
 from tidemark.llm.order import placed
 from tools.check_oracle import TABLES, digest
 
@@ -306,3 +307,17 @@ def test_internal_names_do_not_clash(spark):
     for out in (simhash.keep_first(docs), decontamination.decontaminate(docs, items), mixing.mixed_documents(docs),
                 sharding.sharded_documents(docs).drop("shard", "slot")):
         assert out.columns == docs.columns and {r["__row_key"] for r in out.collect()} == {"own"}
+
+
+def test_sets_are_grouped_in_parts_that_go_one_by_one(spark):
+    """Equal sets meet in one part, every class has its own number, and no part's first shingles outlast its classes."""
+    rows = [(k, k, 4, k % 7, k % 7 + 1, 0, 0, [k % 7, 50]) for k in range(30)] + [(30, 30, 0, 99, 99, 0, 0, [])]
+    sketched = spark.createDataFrame(rows, "doc_id long, row long, n long, c1 long, c2 long, s1 long, s2 long, prefix array<long>")
+    parts = common.materialize_parts(sketched, "test", F.pmod("c1", F.lit(9)), 9)  # two parts stay empty
+    folders = [common.WRITTEN[p] for p in parts]
+    assert sorted(r.doc_id for p in parts for r in p.collect()) == list(range(31))
+    classes, sizes = groups.distinct_sets(parts)
+    got = [r for c in classes for r in c.collect()]
+    assert sorted((r.c1, r.first_id, tuple(r.prefix)) for r in got) == [(k, k, (k, 50)) for k in range(7)]
+    assert len({r.number for r in got}) == 7 and sizes.count() == 31
+    assert not any(os.path.exists(f) for f in folders)

@@ -57,17 +57,30 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     Once the table is written, the shuffle files that made it are not needed and
     are removed, instead of staying until the driver collects its garbage.
     """
+    return materialize_parts(df, name)[0]
+
+
+def materialize_parts(df: DataFrame, name: str, part: Column | None = None, parts: int = 1) -> list[DataFrame]:
+    """As ``materialize``, but a table for each value of ``part``, from 0 to ``parts`` - 1, that can be released alone."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
+    own = unused(df.columns, "part")
+    writer = df.write if part is None else df.withColumn(own, part).write.partitionBy(own)
     before = spark.conf.get(CLEAN_SHUFFLES, "false")
     spark.conf.set(CLEAN_SHUFFLES, "true")
     try:
-        df.write.option("compression", "zstd").parquet(path)
+        writer.option("compression", "zstd").parquet(path)
     finally:
         spark.conf.set(CLEAN_SHUFFLES, before)
-    table = spark.read.schema(df.schema).parquet(path)
-    WRITTEN[table] = path
-    return table
+    paths = [path] if part is None else [f"{path}/{own}={k}" for k in range(parts)]
+    tables = []
+    for each in paths:
+        if part is not None:  # a part without rows has no folder yet
+            folder = spark._jvm.org.apache.hadoop.fs.Path(each)
+            folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).mkdirs(folder)
+        tables.append(spark.read.schema(df.schema).parquet(each))
+        WRITTEN[tables[-1]] = each
+    return tables
 
 
 def release(*tables: DataFrame) -> None:

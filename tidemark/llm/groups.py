@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialize, release, table
+from tidemark.llm.common import materialize, materialize_parts, release, table
 from tidemark.llm.graph import components
 from tidemark.llm.order import placed
 
@@ -56,7 +56,7 @@ PILOTS, LEADERS = 1, 8
 QUERIES = 1024
 #: One in so many shingles must be shared among the first ones, and one more.
 LEAST = 20
-#: Parts of the shingles that are shuffled one after the other.
+#: Parts of the shingles, and of the sets before, that are shuffled one after the other.
 PASSES = 3
 #: Hash buckets whose shingles are counted, and buckets of one row of counts.
 BUCKETS, ROW = 2 ** 18, 2 ** 12
@@ -185,6 +185,23 @@ def row_hash() -> Column:
     return F.xxhash64("doc_id", "text")
 
 
+def distinct_sets(sketched: list[DataFrame]) -> tuple[list[DataFrame], DataFrame]:
+    """The classes of equal sets in each table of ``sketched``, with a ``number`` of their own; (doc_id, row, n, c1, c2)
+    of all documents; all written.
+
+    Equal sets are in one table. Its first shingles, most of what a document brings, are shuffled and written
+    again; each table goes once its classes are written, so no two copies of all first shingles lie on disk.
+    """
+    classes, sizes = [], []
+    for k, part in enumerate(sketched):
+        own = part.filter("n > 0").groupBy("c1", "c2").agg(
+            F.min("doc_id").alias("first_id"), F.min("row").alias("row"), *[F.first(c).alias(c) for c in ("n", "s1", "s2", "prefix")])
+        classes.append(materialize(own.withColumn("number", F.monotonically_increasing_id() * len(sketched) + k), "classes-and-prefixes"))
+        sizes.append(materialize(part.select("doc_id", "row", "n", "c1", "c2"), "sizes"))
+        release(part)
+    return classes, reduce(DataFrame.union, sizes)
+
+
 def sharing(classes: DataFrame, percent: int = PERCENT) -> tuple[list[DataFrame], DataFrame]:
     """(token, at, number), a table for each of ``PASSES`` parts of the shingles: the first shingles that several of
     ``classes`` have; (number) of the classes that have enough of them; all written.
@@ -378,15 +395,12 @@ def enough(pairs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, group: int = GROUP) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs``."""
-    sketched = materialize(sketches(docs, bucket_counts(docs, shingle), shingle, percent), "sketches")
-    own = sketched.filter("n > 0").groupBy("c1", "c2").agg(
-        F.min("doc_id").alias("first_id"), F.min("row").alias("row"), *[F.first(c).alias(c) for c in ("n", "s1", "s2", "prefix")])
-    numbered = materialize(own.withColumn("number", F.monotonically_increasing_id()), "classes-and-prefixes")
-    found = materialize(sketched.select("doc_id", "row", "n", "c1", "c2"), "sizes")
-    release(sketched)
+    sketched = sketches(docs, bucket_counts(docs, shingle), shingle, percent)
+    numbered_parts, found = distinct_sets(materialize_parts(sketched, "sketches", F.pmod("c1", F.lit(PASSES)), PASSES))
+    numbered = reduce(DataFrame.union, numbered_parts)
     shared, alive = sharing(numbered, percent)
     classes = materialize(numbered.drop("prefix"), "classes")
-    release(numbered)
+    release(*numbered_parts)
     members = placed(classes.join(alive, "number", "left_semi"), ["s1", "s2", "n"], "live").select(
         F.col("place").alias("id"), F.expr(f"place div {group}").alias("group"), "number", "c1", "c2", "row", "n", "first_id")
     members = materialize(members, "grouped")
