@@ -321,3 +321,30 @@ def test_sets_are_grouped_in_parts_that_go_one_by_one(spark):
     assert sorted((r.c1, r.first_id, tuple(r.prefix)) for r in got) == [(k, k, (k, 50)) for k in range(7)]
     assert len({r.number for r in got}) == 7 and sizes.count() == 31
     assert not any(os.path.exists(f) for f in folders)
+
+
+def test_lines_are_placed_by_longs(spark):
+    """Classes are numbered by the places of their first lines, so no shuffle by range numbers them."""
+    docs = lines.numbered(spark.createDataFrame([(3, "a b c\nd e f"), (2 ** 32 - 1, "d e f\n\ng")], "doc_id long, text string"))
+    _, own = lines.classes(docs, lines.rarity(docs))
+    assert dict(own.dtypes)["number"] == "bigint"
+    assert sorted(r.number for r in own.collect()) == [3 << 31, 3 << 31 | 1, (2 ** 32 - 1) << 31 | 2]
+
+
+@pytest.mark.parametrize("ids", [[-2 ** 63, -1, 2 ** 63 - 1, None], [0, 1, 2 ** 32 - 1, 2 ** 32], [0, 7, 2 ** 31, 2 ** 32 - 1]])
+def test_lines_of_wide_ids_keep_their_order(spark, ids):
+    rows = [(i, f"the same line stands in all of them\nown line number {k} x{k} y{k} z{k}") for k, i in enumerate(ids)]
+    got = {r.doc_id: (r.text, r.n_removed) for r in lines.deduplicate(spark.createDataFrame(rows[::-1], "doc_id long, text string")).collect()}
+    assert got == {i: (t if k == 0 else t.split("\n")[1], int(k > 0)) for k, (i, t) in enumerate(rows)}
+
+
+def test_lines_with_frequent_words_meet_their_leader(spark):
+    """A group of near copies whose words are frequent is settled by its first line; rare words lead to no leader."""
+    base = [f"w{k}" for k in range(20)]
+    rows = [(k, " ".join([*base, f"own{k}"])) for k in range(lines.FREQUENT + 20)] + [(1000, "rare one two three"), (1001, "rare one two three four")]
+    docs = lines.numbered(spark.createDataFrame(rows, "doc_id long, text string"))
+    _, own = lines.classes(docs, lines.rarity(docs))
+    pairs = lines.leader_pairs(own).collect()
+    assert {(r.a >> lines.LINE_BITS, r.b >> lines.LINE_BITS) for r in pairs} == {(0, k) for k in range(1, lines.FREQUENT + 20)}
+    got = {r.doc_id: r.n_removed for r in lines.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: int(0 < i < 1000 or i == 1001) for i, _ in rows}

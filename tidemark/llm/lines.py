@@ -5,7 +5,7 @@ doc_id, then line number) is similar: Jaccard of at least ``threshold``.
 
 1. Words are ordered by rarity: all words of the corpus are counted in
    ``RARITY_BUCKETS`` hash buckets, and each count is kept as one of 95 steps of its logarithm,
-   a table of fixed size. A word's order key is the step of its bucket, followed by its hash;
+   an array of fixed size. A word's order key is the step of its bucket, followed by its hash;
    any order is exact, rare-first is fast.
 2. Lines of equal sets are one class, found by one aggregation; a line that a third
    of all documents hold is one class. Only the classes' first lines go on.
@@ -17,7 +17,7 @@ doc_id, then line number) is similar: Jaccard of at least ``threshold``.
    the candidates' first lines only: a bitmap of fixed size lets their lines pass, and
    the join that follows is exact.
 5. A class's first line goes if a similar class has an earlier one; its others go anyway.
-   Each class is compared with the earliest class of each of its prefix words first, and only
+   Each class is compared with the earliest class of each of its frequent prefix words first, and only
    those that this leaves open are joined with all earlier classes.
 
 Words are compared by 63 bits of their hash. Defined results: lines without a word
@@ -29,10 +29,12 @@ last; an empty table gives an empty result; other columns are kept.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from tidemark.llm.common import let, materialize, release, row_key, table
 from tidemark.llm.order import placed
@@ -45,10 +47,15 @@ RARITY_BUCKETS = 2 ** 20
 RARITY_STEPS, STEPS_PER_POWER = 95, 3
 #: Buckets of one row that reaches the driver.
 RARITY_ROW = 1024
+#: Parts of the prefix words that are shuffled one after the other to find candidates.
+PASSES = 3
 #: Bits of the bitmap of candidates' lines, and of one row of Spark's bitmap aggregate.
 BITMAP_BITS, ROW_BITS = 2 ** 22, 32_768
-#: Lines of one document that a line's place has room for.
-LINE_ROOM = 2 ** 32
+#: Lines of one document that a line's place has room for, in bits; and documents, if it is a long.
+LINE_BITS, MOST_DOCUMENTS = 31, 2 ** 32
+#: Words whose step says that they stand so often are frequent: the leaders of rarer ones would spare few pairs.
+FREQUENT = 128
+FREQUENT_KEY = int(math.log2(FREQUENT) * STEPS_PER_POWER) << 56
 
 
 def words_of(line: Column) -> Column:
@@ -56,32 +63,35 @@ def words_of(line: Column) -> Column:
     return F.split(reduce(lambda text, space: F.replace(text, F.lit(space), F.lit(" ")), SPACES, F.lower(line)), " ")
 
 
-def place() -> Column:
-    """A line's place in the order of all lines: doc_id (null: last), then the number of the line."""
-    doc = F.coalesce(F.col("doc_id").cast("decimal(20,0)"), F.lit(str(2 ** 63)).cast("decimal(20,0)"))
-    return (doc * F.lit(str(LINE_ROOM)).cast("decimal(11,0)") + F.col("line").cast("decimal(10,0)")).cast("decimal(38,0)")
+def place(lines: DataFrame) -> Column:
+    """A line's place in the order of all ``lines``: doc_id, then the number of the line. A long if the ids are longs."""
+    if lines.schema["doc_id"].dataType == LongType():
+        return F.shiftleft("doc_id", LINE_BITS).bitwiseOR(F.col("line").cast("long"))
+    room = F.lit(str(2 ** LINE_BITS)).cast("decimal(11,0)")
+    return (F.col("doc_id") * room + F.col("line").cast("decimal(10,0)")).cast("decimal(38,0)")
 
 
 def text_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, line, content) of every line with a word, ``line`` counting from 0 over all lines."""
-    each = docs.select(F.col("doc_id").cast("long"), F.posexplode(F.split("text", "\n")).alias("line", "content"))
+    each = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "content"))
     return each.filter(F.btrim("content", F.lit(" " + SPACES)) != "")
 
 
 def rarity(docs: DataFrame, buckets: int = RARITY_BUCKETS) -> Column:
-    """A scalar subquery, binary: for each hash bucket, a printable byte that rises with the count of its words.
+    """A scalar subquery, array<tinyint>: for each hash bucket, a step that rises with the count of its words.
 
-    The counts are of all words of all lines; the value has ``buckets`` bytes, whatever the corpus. It is read from
-    a table of one row where it is used, so plans name it and do not spell it out.
+    The counts are of all words of all lines; the value has ``buckets`` (a power of two) bytes, whatever the corpus. It is
+    read from a table of one row where it is used, so plans name it and do not spell it out.
     """
     words = docs.select(F.explode(words_of(F.replace("text", F.lit("\n"), F.lit(" ")))).alias("word")).filter("word <> ''")
-    each = words.select(F.pmod(F.xxhash64("word"), F.lit(buckets)).alias("bucket"))
-    counts = each.union(docs.sparkSession.range(buckets).toDF("bucket")).groupBy("bucket").count()  # one more for every bucket
-    step = F.char(F.least(F.floor(F.log2("count") * STEPS_PER_POWER), F.lit(RARITY_STEPS - 1)) + 32)
+    each = words.select(F.xxhash64("word").bitwiseAND(F.lit(buckets - 1)).cast("int").alias("bucket"))
+    every = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"))
+    counts = each.union(every).groupBy("bucket").count()  # one more for every bucket
+    step = F.least(F.floor(F.log2("count") * STEPS_PER_POWER), F.lit(RARITY_STEPS - 1)).cast("tinyint")
     row = F.sort_array(F.collect_list(F.struct("bucket", step.alias("step"))))
-    found = counts.groupBy(F.expr(f"bucket div {RARITY_ROW}").alias("row")).agg(F.array_join(row["step"], "").alias("bytes"))
-    rows = F.array_sort(F.collect_list(F.struct("row", "bytes")))  # buckets / RARITY_ROW rows
-    return materialize(found.agg(F.array_join(rows["bytes"], "").cast("binary").alias("steps")), "rarity").scalar()
+    found = counts.groupBy(F.expr(f"bucket div {RARITY_ROW}").alias("row")).agg(row["step"].alias("steps"))
+    rows = F.array_sort(F.collect_list(F.struct("row", "steps")))  # buckets / RARITY_ROW rows
+    return materialize(found.agg(F.flatten(rows["steps"]).alias("steps")), "rarity").scalar()
 
 
 def set_of(line: Column, steps: Column, buckets: int = RARITY_BUCKETS) -> Column:
@@ -89,8 +99,8 @@ def set_of(line: Column, steps: Column, buckets: int = RARITY_BUCKETS) -> Column
     hashes = F.array_except(F.transform(words_of(line), lambda w: F.xxhash64(w)), F.array(F.xxhash64(F.lit(""))))
 
     def key(h: Column) -> Column:
-        step = F.ascii(F.substring(steps, F.pmod(h, F.lit(buckets)).cast("int") + 1, F.lit(1)).cast("string"))
-        return F.shiftleft(F.coalesce(step, F.lit(0)).cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))  # never null: sorts as plain longs
+        step = F.get(steps, h.bitwiseAND(F.lit(buckets - 1).cast("long")).cast("int"))
+        return F.shiftleft(F.coalesce(step, F.lit(0).cast("tinyint")).cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))  # never null: sorts as plain longs
 
     return F.sort_array(F.transform(hashes, key))
 
@@ -115,21 +125,25 @@ def needed(n: Column, threshold: float) -> Column:
     return F.ceil(n * threshold - 1e-9).cast("int")
 
 
+def prefix_word(key: Column) -> Column:
+    """A prefix word as an int, odd if the word is frequent."""
+    return F.shiftleft(F.hash(key), 1).bitwiseOR((key >= F.lit(FREQUENT_KEY)).cast("int"))
+
+
 def classes(docs: DataFrame, steps: Column, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
-    """(lines, classes): (doc_id, line, id) of lines with words; (id, n, parity, prefix, first, number) of their classes.
+    """(lines, classes): (doc_id, line, id) of lines with words; (id, n, parity, prefix, number) of their classes.
 
-    ``number`` counts the classes from 0 in the order of their first lines.
+    ``number`` is the place of the class's first line, so classes are ordered by their first lines.
     """
     found = with_sets(text_lines(docs), steps).select("doc_id", "line", "words")
     n = F.size("words")
-    prefix = F.transform(F.slice("words", 1, n - needed(n, threshold) + 1), lambda w: F.hash(w))
+    prefix = F.transform(F.slice("words", 1, n - needed(n, threshold) + 1), prefix_word)
     lines = materialize(found.select("doc_id", "line", F.xxhash64("words").alias("id"), n.alias("n"),
                                      parity(F.col("words")).alias("parity"), prefix.alias("prefix")), "lines")
-    own = lines.groupBy("id", "n", "parity", "prefix").agg(F.min(place()).alias("first"))
-    numbered_classes = placed(own, ["first"], "line-classes").withColumnRenamed("place", "number").drop("piece")
+    own = materialize(lines.groupBy("id", "n", "parity", "prefix").agg(F.min(place(lines)).alias("number")), "line-classes")
     ids = materialize(lines.select("doc_id", "line", "id"), "line-ids")
     release(lines)
-    return ids, numbered_classes
+    return ids, own
 
 
 def prefix_index(own: DataFrame, *more: str) -> DataFrame:
@@ -152,41 +166,52 @@ def passes(a: str, b: str, threshold: float) -> Column:
 
 
 def leader_pairs(own: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Pairs (a, b) that pass the filters, a the earliest class of a prefix word they share: a row for each
+    """Pairs (a, b) that pass the filters, a the earliest class of a frequent prefix word they share: a row for each
     class and word at most, however many classes share the word."""
-    index = prefix_index(own)
-    leaders = index.groupBy("word").agg(
-        F.min(F.struct("number", "n", "at", "parity")).alias("a"), F.count("*").alias("classes")).filter("classes > 1")
-    return index.alias("b").join(leaders, "word").filter(passes("a", "b", threshold)) \
+    index = prefix_index(own).filter(F.col("word").bitwiseAND(F.lit(1)) == 1)
+    earlier = Window.partitionBy("word").orderBy("number").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    leader = F.first(F.struct("number", "n", "at", "parity")).over(earlier)
+    return index.select(F.struct("number", "n", "at", "parity").alias("b"), leader.alias("a")).filter(passes("a", "b", threshold)) \
         .select(F.col("a.number").alias("a"), F.col("b.number").alias("b")).distinct()
 
 
-def candidates(own: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Pairs (a, b) that pass the filters, b a class with ``open`` and a any earlier class."""
-    index = prefix_index(own, "open")
-    a, b = index.alias("a"), index.alias("b")
+def candidates(own: DataFrame, threshold: float = THRESHOLD) -> list[DataFrame]:
+    """Pairs (a, b) that pass the filters, b a class with ``open`` and a any earlier class: a table for each of
+    ``PASSES`` parts of the words, written, so a part's shuffle files go before the next part's are made."""
     # always b.open, as every class has words; a condition on the columns of both sides lets both read one exchange
     wanted = F.when(F.col("a.n") + F.col("a.open").cast("int") > 0, F.col("b.open"))
-    return a.join(b, (F.col("a.word") == F.col("b.word")) & wanted & passes("a", "b", threshold)) \
-        .select(F.col("a.number").alias("a"), F.col("b.number").alias("b")).distinct()
+    parts = []
+    for k in range(PASSES):
+        index = prefix_index(own, "open").filter(F.pmod("word", F.lit(PASSES)) == k)
+        a, b = index.alias("a"), index.alias("b")
+        pairs = a.join(b, (F.col("a.word") == F.col("b.word")) & wanted & passes("a", "b", threshold))
+        parts.append(materialize(pairs.select(F.col("a.number").alias("a"), F.col("b.number").alias("b")).distinct(), "line-candidates"))
+    return parts
+
+
+def among(rows: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
+    """``rows`` whose ``key`` may be in the one column of ``keys``: a bitmap lets them all pass, and few others."""
+    bit = F.pmod(F.xxhash64(keys[keys.columns[0]]), F.lit(BITMAP_BITS))
+    bitmap = keys.select(bit.alias("p")).groupBy(F.expr(f"p div {ROW_BITS}").alias("part")).agg(
+        F.bitmap_construct_agg(F.col("p") % ROW_BITS).alias("bits"))  # BITMAP_BITS / 8 bytes at most
+    each = rows.withColumn("p", F.pmod(F.xxhash64(key), F.lit(BITMAP_BITS))).withColumn("part", F.expr(f"p div {ROW_BITS}"))
+    byte = f"cast(conv(hex(substring(bits, cast(p % {ROW_BITS} div 8 as int) + 1, 1)), 16, 10) as int)"
+    return each.join(F.broadcast(bitmap), "part").filter(F.expr(f"{byte} & shiftleft(1, cast(p % 8 as int)) <> 0")).select(*rows.columns)
 
 
 def lines_at(docs: DataFrame, places: DataFrame) -> DataFrame:
-    """``content`` of the lines whose place is in ``places`` (column ``at``, each once), and the columns of ``places``."""
-    bit = F.pmod(F.xxhash64("at"), F.lit(BITMAP_BITS))
-    bitmap = places.select(bit.alias("p")).groupBy(F.expr(f"p div {ROW_BITS}").alias("row")).agg(
-        F.bitmap_construct_agg(F.col("p") % ROW_BITS).alias("bits"))  # BITMAP_BITS / 8 bytes at most
-    each = text_lines(docs).withColumn("at", place()).withColumn("p", bit).withColumn("row", F.expr(f"p div {ROW_BITS}"))
-    byte = f"cast(conv(hex(substring(bits, cast(p % {ROW_BITS} div 8 as int) + 1, 1)), 16, 10) as int)"
-    passed = each.join(F.broadcast(bitmap), "row").filter(F.expr(f"{byte} & shiftleft(1, cast(p % 8 as int)) <> 0"))
-    return passed.select("at", "content").join(places, "at").dropDuplicates(["at"])
+    """(number, content) of the lines whose place is in ``places`` (column ``number``, each once)."""
+    if docs.schema["doc_id"].dataType == LongType():
+        docs = among(docs, F.col("doc_id"), places.select(F.shiftrightunsigned("number", LINE_BITS).alias("doc_id")))
+    lines = text_lines(docs)
+    passed = among(lines.select(place(lines).alias("number"), "content"), F.col("number"), places)
+    return passed.join(places, "number").dropDuplicates(["number"])
 
 
-def similar(docs: DataFrame, own: DataFrame, pairs: DataFrame, steps: Column, threshold: float = THRESHOLD) -> DataFrame:
-    """Those of ``pairs`` (a, b: numbers of classes in ``own``) that are similar, with ``shared`` words and ``jaccard``, written."""
+def similar(docs: DataFrame, pairs: DataFrame, steps: Column, threshold: float = THRESHOLD) -> DataFrame:
+    """Those of ``pairs`` (a, b: numbers of classes) that are similar, with ``shared`` words and ``jaccard``, written."""
     pairs = materialize(pairs, "line-pairs")
-    numbers = pairs.select(F.col("a").alias("number")).union(pairs.select("b")).distinct()
-    places = materialize(own.select("number", F.col("first").alias("at")).join(numbers, "number"), "line-places")
+    places = materialize(pairs.select(F.col("a").alias("number")).union(pairs.select("b")).distinct(), "line-places")
     sets = materialize(with_sets(lines_at(docs, places), steps).select("number", "words"), "line-sets")
     shared = F.size(F.array_intersect("wa", "wb"))
     both = F.size("wa") + F.size("wb")
@@ -202,16 +227,17 @@ def similar(docs: DataFrame, own: DataFrame, pairs: DataFrame, steps: Column, th
 def later_classes(docs: DataFrame, own: DataFrame, steps: Column, threshold: float = THRESHOLD) -> DataFrame:
     """(number) of the classes that are similar to an earlier one.
 
-    One earlier match is enough. So classes are compared with the earliest class of each of their prefix
-    words first, which settles groups of near copies in a number of pairs that grows with the group and
-    not with its square; only classes that are still open are joined with all earlier ones.
+    One earlier match is enough. So classes are compared with the earliest class of each of their frequent prefix
+    words first, which settles large groups of near copies in a number of pairs that grows with the group and
+    not with its square; only classes that are still open are joined with all earlier ones. A group whose words
+    are not frequent has fewer than ``FREQUENT`` classes.
     """
-    settled = materialize(similar(docs, own, leader_pairs(own, threshold), steps, threshold)
+    settled = materialize(similar(docs, leader_pairs(own, threshold), steps, threshold)
                           .select(F.col("b").alias("number")).distinct(), "line-settled")
     marked = own.join(settled.withColumn("settled", F.lit(True)), "number", "left").withColumn("open", F.col("settled").isNull())
-    marked = materialize(marked.drop("id", "settled"), "line-open")
-    rest = similar(docs, own, candidates(marked, threshold), steps, threshold).select(F.col("b").alias("number")).distinct()
-    release(marked)
+    parts = candidates(marked, threshold)
+    rest = similar(docs, reduce(DataFrame.union, parts).distinct(), steps, threshold).select(F.col("b").alias("number")).distinct()
+    release(*parts)
     return settled.union(rest)
 
 
@@ -220,25 +246,32 @@ def removed_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     steps = rarity(docs)
     lines, own = classes(docs, steps, threshold)
     later = later_classes(docs, own, steps, threshold)
-    gone = own.select("id", "first", "number").join(later.withColumn("matched", F.lit(True)), "number", "left")
-    return materialize(lines.join(gone, "id").filter((place() != F.col("first")) | F.col("matched"))
+    gone = own.select("id", "number").join(later.withColumn("matched", F.lit(True)), "number", "left")
+    return materialize(lines.join(gone, "id").filter((place(lines) != F.col("number")) | F.col("matched"))
                        .groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("removed")), "removed-lines")
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    """(row, doc_id, text) of ``docs``: each row as a struct, and ids that hold one text each.
+    """(row, doc_id, text) of ``docs``: each row as a struct, and ids that hold one text each and are never null.
 
-    Ids that are so already stay; if one id, or none, has several texts, all documents are numbered in the order of
-    their ids (null: last) and then of a hash of their text.
+    Ids that hold one text each stay: as longs from 0 to ``MOST_DOCUMENTS`` - 1, or else as decimals, of which null is
+    the last. If one id, or none, has several texts, all documents are numbered in the order of their ids (null: last)
+    and then of a hash of their text.
     """
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text",
                        row_key().alias("key"))
     keys = rows.select("doc_id", "key")
-    if keys.groupBy("doc_id").agg((F.min("key") != F.max("key")).alias("several")).filter("several").isEmpty():
+    narrow = F.coalesce((F.col("doc_id") >= 0) & (F.col("doc_id") < MOST_DOCUMENTS), F.lit(False))
+    found = keys.groupBy("doc_id").agg((F.min("key") != F.max("key")).alias("several")).agg(
+        F.max("several").alias("several"), F.min(narrow).alias("narrow")).first()
+    if found["several"]:
+        order = placed(keys.distinct().withColumn("no_id", F.col("doc_id").isNull()), ["no_id", "doc_id", "key"], "line-documents")
+        return materialize(rows.drop("doc_id").join(order.select("key", F.col("place").alias("doc_id")), "key")
+                           .select("row", "doc_id", "text"), "numbered")
+    if found["narrow"]:
         return rows.drop("key")
-    order = placed(keys.distinct().withColumn("no_id", F.col("doc_id").isNull()), ["no_id", "doc_id", "key"], "line-documents")
-    return materialize(rows.drop("doc_id").join(order.select("key", F.col("place").alias("doc_id")), "key")
-                       .select("row", "doc_id", "text"), "numbered")
+    wide = F.coalesce(F.col("doc_id").cast("decimal(20,0)"), F.lit(str(2 ** 63)).cast("decimal(20,0)"))
+    return rows.drop("key").withColumn("doc_id", wide)
 
 
 def deduplicate(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -246,7 +279,7 @@ def deduplicate(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     own = [c for c in docs.columns if c != "n_removed"]
     rows = numbered(docs)
     joined = rows.withColumnRenamed("doc_id", "id").join(
-        removed_lines(rows.select("doc_id", "text"), threshold), F.col("id").eqNullSafe(F.col("doc_id")), "left")
+        removed_lines(rows.select("doc_id", "text"), threshold), F.col("id") == F.col("doc_id"), "left")
 
     def rest(lines: Column) -> Column:
         left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "removed")
