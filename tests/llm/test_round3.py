@@ -348,3 +348,29 @@ def test_lines_with_frequent_words_meet_their_leader(spark):
     assert {(r.a >> lines.LINE_BITS, r.b >> lines.LINE_BITS) for r in pairs} == {(0, k) for k in range(1, lines.FREQUENT + 20)}
     got = {r.doc_id: r.n_removed for r in lines.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {i: int(0 < i < 1000 or i == 1001) for i, _ in rows}
+
+
+def test_line_pairs_that_differ_in_many_parities_go_before_their_sets(spark):
+    """Long lines that 64 parities cannot tell apart: 128 drop the unlike pairs, and no similar one."""
+    rng = random.Random(4)
+    sets = [[rng.getrandbits(62) for _ in range(150)] for _ in range(20)]
+    sets += [[*s[:140], *(rng.getrandbits(62) for _ in range(10))] for s in sets]
+    docs = spark.createDataFrame(list(enumerate(sets)), "number long, words array<long>")
+    known = docs.select("number", F.size("words").alias("n"), *lines.parities(F.col("words")), lines.parity(F.col("words")).alias("parity"))
+    assert known.filter(F.col("low").bitwiseXOR(F.col("high")) != F.col("parity")).isEmpty()
+    pairs = spark.createDataFrame(list(itertools.combinations(range(40), 2)), "a long, b long")
+    got = {(r.a, r.b) for r in lines.nearer(pairs, known, lines.THRESHOLD).collect()}
+    assert {(k, k + 20) for k in range(20)} <= got and len(got) < 60
+
+
+def test_lines_leave_no_tables_and_whole_texts_are_not_joined(spark):
+    """Tables of classes and lines are deleted; only documents that may lose a line meet their removed lines."""
+    before = set(os.listdir(common.shared_dir(spark).removeprefix("file:"))) if os.path.isdir(common.shared_dir(spark).removeprefix("file:")) else set()
+    rows = [(k, f"line that stands in each of them\nown{k} words{k} alone{k}" if k < 5 else f"lonely{k} text{k}") for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.n_removed for r in lines.deduplicate(docs).collect()}
+    assert got == {k: int(0 < k < 5) for k in range(40)}
+    left = set(os.listdir(common.shared_dir(spark).removeprefix("file:"))) - before
+    assert not [x for x in left if x.startswith(("llm-line-classes", "llm-line-ids", "llm-line-numbers", "llm-line-sets"))]
+    may = lines.may_be_in(docs, F.col("doc_id"), spark.createDataFrame([(k,) for k in range(1, 5)], "doc_id long"), lines.DOCUMENT_BITS)
+    assert {r.doc_id for r in may.filter("may").collect()} == {1, 2, 3, 4} and may.count() == 40

@@ -15,10 +15,12 @@ doc_id, then line number) is similar: Jaccard of at least ``threshold``.
    a parity filter (64 parities of each set bound from below how many words differ).
 4. Candidates are verified on their whole sets. Those are made again from the texts, of
    the candidates' first lines only: a bitmap of fixed size lets their lines pass, and
-   the join that follows is exact.
+   the join that follows is exact. 128 parities come before the sets, which are many times
+   as wide, so sets travel with few pairs that are not similar.
 5. A class's first line goes if a similar class has an earlier one; its others go anyway.
    Each class is compared with the earliest class of each of its frequent prefix words first, and only
    those that this leaves open are joined with all earlier classes.
+6. Only the texts of documents that may lose a line, as a bitmap of fixed size tells, are shuffled to meet their lines.
 
 Words are compared by 63 bits of their hash. Defined results: lines without a word
 and null texts stay; (doc_id, text, line number) identifies a line, so rows that repeat a
@@ -51,6 +53,8 @@ RARITY_ROW = 1024
 PASSES = 3
 #: Bits of the bitmap of candidates' lines, and of one row of Spark's bitmap aggregate.
 BITMAP_BITS, ROW_BITS = 2 ** 22, 32_768
+#: Bits of the bitmap of documents that lose a line.
+DOCUMENT_BITS = 2 ** 25
 #: Lines of one document that a line's place has room for, in bits; and documents, if it is a long.
 LINE_BITS, MOST_DOCUMENTS = 31, 2 ** 32
 #: Words whose step says that they stand so often are frequent: the leaders of rarer ones would spare few pairs.
@@ -170,9 +174,11 @@ def leader_pairs(own: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     class and word at most, however many classes share the word."""
     index = prefix_index(own).filter(F.col("word").bitwiseAND(F.lit(1)) == 1)
     earlier = Window.partitionBy("word").orderBy("number").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    leader = F.first(F.struct("number", "n", "at", "parity")).over(earlier)
-    return index.select(F.struct("number", "n", "at", "parity").alias("b"), leader.alias("a")).filter(passes("a", "b", threshold)) \
-        .select(F.col("a.number").alias("a"), F.col("b.number").alias("b")).distinct()
+    names = ("number", "n", "at", "parity")
+    # plain columns up to the window: a struct of them would be made before the shuffle and double its rows
+    led = index.select(*names, *[F.first(c).over(earlier).alias(f"first_{c}") for c in names])
+    return led.select(F.struct(*names).alias("b"), F.struct(*[F.col(f"first_{c}").alias(c) for c in names]).alias("a")) \
+        .filter(passes("a", "b", threshold)).select(F.col("a.number").alias("a"), F.col("b.number").alias("b")).distinct()
 
 
 def candidates(own: DataFrame, threshold: float = THRESHOLD) -> list[DataFrame]:
@@ -189,14 +195,20 @@ def candidates(own: DataFrame, threshold: float = THRESHOLD) -> list[DataFrame]:
     return parts
 
 
-def among(rows: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
-    """``rows`` whose ``key`` may be in the one column of ``keys``: a bitmap lets them all pass, and few others."""
-    bit = F.pmod(F.xxhash64(keys[keys.columns[0]]), F.lit(BITMAP_BITS))
+def may_be_in(rows: DataFrame, key: Column, keys: DataFrame, bits: int = BITMAP_BITS) -> DataFrame:
+    """``rows`` and ``may``: true if ``key`` is in the one column of ``keys``, false of nearly all others (a bitmap of ``bits``)."""
+    bit = F.pmod(F.xxhash64(keys[keys.columns[0]]), F.lit(bits))
     bitmap = keys.select(bit.alias("p")).groupBy(F.expr(f"p div {ROW_BITS}").alias("part")).agg(
-        F.bitmap_construct_agg(F.col("p") % ROW_BITS).alias("bits"))  # BITMAP_BITS / 8 bytes at most
-    each = rows.withColumn("p", F.pmod(F.xxhash64(key), F.lit(BITMAP_BITS))).withColumn("part", F.expr(f"p div {ROW_BITS}"))
+        F.bitmap_construct_agg(F.col("p") % ROW_BITS).alias("bits"))  # bits / 8 bytes at most
+    each = rows.withColumn("p", F.pmod(F.xxhash64(key), F.lit(bits))).withColumn("part", F.expr(f"p div {ROW_BITS}"))
     byte = f"cast(conv(hex(substring(bits, cast(p % {ROW_BITS} div 8 as int) + 1, 1)), 16, 10) as int)"
-    return each.join(F.broadcast(bitmap), "part").filter(F.expr(f"{byte} & shiftleft(1, cast(p % 8 as int)) <> 0")).select(*rows.columns)
+    may = F.coalesce(F.expr(f"{byte} & shiftleft(1, cast(p % 8 as int)) <> 0"), F.lit(False))
+    return each.join(F.broadcast(bitmap), "part", "left").select(*rows.columns, may.alias("may"))
+
+
+def among(rows: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
+    """``rows`` whose ``key`` may be in the one column of ``keys``: a bitmap lets them all pass, and few others."""
+    return may_be_in(rows, key, keys).filter("may").drop("may")
 
 
 def lines_at(docs: DataFrame, places: DataFrame) -> DataFrame:
@@ -208,19 +220,46 @@ def lines_at(docs: DataFrame, places: DataFrame) -> DataFrame:
     return passed.join(places, "number").dropDuplicates(["number"])
 
 
+def numbers(pairs: DataFrame) -> DataFrame:
+    """(number) of the classes of ``pairs`` (a, b), each once."""
+    return pairs.select(F.col("a").alias("number")).union(pairs.select("b")).distinct()
+
+
+def parities(words: Column) -> list[Column]:
+    """128 parities of a set, as the longs ``low`` and ``high``; those of ``parity`` are these two, combined by xor."""
+    def half(bit: int) -> Column:
+        return parity(F.filter(words, lambda w: w.bitwiseAND(F.lit(64).cast("long")) == bit))
+
+    return [half(0).alias("low"), half(64).alias("high")]
+
+
+def nearer(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose sets (number, n, low, high) differ in few enough of 128 parities."""
+    each = pairs
+    for side in ("a", "b"):
+        each = each.join(sets.select(F.col("number").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("n", "low", "high")]), side)
+    both = F.col("n_a") + F.col("n_b")
+    shared = F.ceil(both * (threshold / (1 + threshold)) - 1e-9)
+    differ = reduce(Column.__add__, [F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in ("low", "high")])
+    return each.filter(differ <= both - 2 * shared).select("a", "b")
+
+
 def similar(docs: DataFrame, pairs: DataFrame, steps: Column, threshold: float = THRESHOLD) -> DataFrame:
     """Those of ``pairs`` (a, b: numbers of classes) that are similar, with ``shared`` words and ``jaccard``, written."""
     pairs = materialize(pairs, "line-pairs")
-    places = materialize(pairs.select(F.col("a").alias("number")).union(pairs.select("b")).distinct(), "line-places")
-    sets = materialize(with_sets(lines_at(docs, places), steps).select("number", "words"), "line-sets")
+    places = materialize(numbers(pairs), "line-places")
+    sets = materialize(with_sets(lines_at(docs, places), steps).select("number", "words", F.size("words").alias("n"), *parities(F.col("words"))), "line-sets")
+    near = materialize(nearer(pairs, sets, threshold), "line-near")
+    release(pairs, places)
+    whole = among(sets.select("number", "words"), F.col("number"), numbers(near))
     shared = F.size(F.array_intersect("wa", "wb"))
     both = F.size("wa") + F.size("wb")
-    found = pairs.join(sets.select(F.col("number").alias("a"), F.col("words").alias("wa")), "a") \
-        .join(sets.select(F.col("number").alias("b"), F.col("words").alias("wb")), "b") \
+    found = near.join(whole.select(F.col("number").alias("a"), F.col("words").alias("wa")), "a") \
+        .join(whole.select(F.col("number").alias("b"), F.col("words").alias("wb")), "b") \
         .select("a", "b", shared.alias("shared"), (shared / (both - shared)).alias("jaccard")) \
         .filter(F.col("jaccard") >= threshold - 1e-12)
     found = materialize(found, "line-similar")
-    release(pairs, places, sets)
+    release(near, sets)
     return found
 
 
@@ -230,12 +269,13 @@ def later_classes(docs: DataFrame, own: DataFrame, steps: Column, threshold: flo
     One earlier match is enough. So classes are compared with the earliest class of each of their frequent prefix
     words first, which settles large groups of near copies in a number of pairs that grows with the group and
     not with its square; only classes that are still open are joined with all earlier ones. A group whose words
-    are not frequent has fewer than ``FREQUENT`` classes.
+    are not frequent has fewer than ``FREQUENT`` classes. ``own``, a written table, goes once the candidates are found.
     """
     settled = materialize(similar(docs, leader_pairs(own, threshold), steps, threshold)
                           .select(F.col("b").alias("number")).distinct(), "line-settled")
     marked = own.join(settled.withColumn("settled", F.lit(True)), "number", "left").withColumn("open", F.col("settled").isNull())
     parts = candidates(marked, threshold)
+    release(own)
     rest = similar(docs, reduce(DataFrame.union, parts).distinct(), steps, threshold).select(F.col("b").alias("number")).distinct()
     release(*parts)
     return settled.union(rest)
@@ -245,10 +285,13 @@ def removed_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, removed array<int>): the lines of each document that an earlier line matches."""
     steps = rarity(docs)
     lines, own = classes(docs, steps, threshold)
+    first = materialize(own.select("id", "number"), "line-numbers")
     later = later_classes(docs, own, steps, threshold)
-    gone = own.select("id", "number").join(later.withColumn("matched", F.lit(True)), "number", "left")
-    return materialize(lines.join(gone, "id").filter((place(lines) != F.col("number")) | F.col("matched"))
-                       .groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("removed")), "removed-lines")
+    gone = first.join(later.withColumn("matched", F.lit(True)), "number", "left")
+    removed = materialize(lines.join(gone, "id").filter((place(lines) != F.col("number")) | F.col("matched"))
+                          .groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("removed")), "removed-lines")
+    release(lines, first)
+    return removed
 
 
 def numbered(docs: DataFrame) -> DataFrame:
@@ -278,8 +321,10 @@ def deduplicate(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without the lines that an earlier line matches, and ``n_removed``; a column of this name is replaced."""
     own = [c for c in docs.columns if c != "n_removed"]
     rows = numbered(docs)
-    joined = rows.withColumnRenamed("doc_id", "id").join(
-        removed_lines(rows.select("doc_id", "text"), threshold), F.col("id") == F.col("doc_id"), "left")
+    removed = removed_lines(rows.select("doc_id", "text"), threshold)
+    rows = may_be_in(rows, F.col("doc_id"), removed.select("doc_id"), DOCUMENT_BITS)
+    joined = rows.filter("may").join(removed, "doc_id", "left").unionByName(
+        rows.filter("not may").withColumn("removed", F.lit(None).cast("array<int>")))
 
     def rest(lines: Column) -> Column:
         left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "removed")
