@@ -374,3 +374,21 @@ def test_lines_leave_no_tables_and_whole_texts_are_not_joined(spark):
     assert not [x for x in left if x.startswith(("llm-line-classes", "llm-line-ids", "llm-line-numbers", "llm-line-sets"))]
     may = lines.may_be_in(docs, F.col("doc_id"), spark.createDataFrame([(k,) for k in range(1, 5)], "doc_id long"), lines.DOCUMENT_BITS)
     assert {r.doc_id for r in may.filter("may").collect()} == {1, 2, 3, 4} and may.count() == 40
+
+
+def test_groups_are_opened_in_parts_and_members_get_labels_afterwards(spark):
+    """Links between labels are those of brute force, from groups of every part, and the queries' table is deleted."""
+    base = [[100 * g + t for t in range(40)] for g in range(5)]
+    sets = [(8 * g + k, g, [*base[g][k:], 900 + k]) for g in range(5) for k in range(4)] + [(100 + g, 9, [*base[g], 950]) for g in range(5)]
+    labels = {i: i - i % 8 if i % 8 < 2 and i < 100 else i for i, _, _ in sets}
+    pairs = [(100 + g, g) for g in range(5)] + [(0, 9), (0, 1)]
+    frames = [spark.createDataFrame(rows, schema) for rows, schema in (
+        (pairs, "id long, group long"), (sets, "id long, group long, tokens array<long>"), (list(labels.items()), "id long, label long"))]
+    folder = common.shared_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    got = {(min(r.a, r.b), max(r.a, r.b)) for r in groups.opened_for(*frames).collect()}
+    tokens = {i: set(t) for i, _, t in sets}
+    want = {tuple(sorted((labels[q], labels[i]))) for q, g in pairs for i, own, _ in sets if own == g and labels[q] != labels[i]
+            and 100 * len(tokens[q] & tokens[i]) >= 85 * len(tokens[q] | tokens[i])}
+    assert got == want and len(want) > 5
+    assert not [x for x in set(os.listdir(folder)) - before if x.startswith("llm-group-queries")]

@@ -56,12 +56,14 @@ PILOTS, LEADERS = 1, 8
 QUERIES = 1024
 #: One in so many shingles must be shared among the first ones, and one more.
 LEAST = 20
-#: Parts of the shingles, and of the sets before, that are shuffled one after the other.
+#: Parts of the shingles, of the sets before and of the groups opened after, that are shuffled one after the other.
 PASSES = 3
 #: Hash buckets whose shingles are counted, and buckets of one row of counts.
 BUCKETS, ROW = 2 ** 18, 2 ** 12
 #: Bits of the bitmap of documents whose sets are made again, and of one row of Spark's bitmap aggregate.
 BITS, ROW_BITS = 2 ** 24, 32_768
+#: Bits of the bitmap of queries.
+QUERY_BITS = 2 ** 22
 #: Words whose hashes a task remembers.
 WORDS = 1_000_000
 #: Odd multipliers: of a word's place in a shingle, and of the min-hashes' orders.
@@ -228,14 +230,14 @@ def between_groups(shared: DataFrame, members: DataFrame) -> DataFrame:
     return materialize(each.withColumn("several", several).filter("several").drop("several"), "postings")
 
 
-def among(texts: DataFrame, members: DataFrame) -> DataFrame:
-    """``texts`` whose ``row`` may be one of ``members``': a bitmap of ``BITS`` bits lets them all pass, and few others."""
-    bit = F.pmod(F.xxhash64("row"), F.lit(BITS))
-    bitmap = members.select(bit.alias("p")).groupBy(F.expr(f"p div {ROW_BITS}").alias("part")).agg(
+def among(rows: DataFrame, keys: DataFrame, key: str = "row", bits: int = BITS) -> DataFrame:
+    """``rows`` whose ``key`` may be one of ``keys``': a bitmap of ``bits`` bits lets them all pass, and few others."""
+    bit = F.pmod(F.xxhash64(key), F.lit(bits))
+    bitmap = keys.select(bit.alias("p")).groupBy(F.expr(f"p div {ROW_BITS}").alias("part")).agg(
         F.bitmap_construct_agg(F.col("p") % ROW_BITS).alias("bits"))
     byte = f"cast(conv(hex(substring(bits, cast(p % {ROW_BITS} div 8 as int) + 1, 1)), 16, 10) as int)"
-    return texts.withColumn("p", bit).withColumn("part", F.expr(f"p div {ROW_BITS}")).join(F.broadcast(bitmap), "part") \
-        .filter(F.expr(f"{byte} & shiftleft(1, cast(p % 8 as int)) <> 0")).select("row", "text")
+    return rows.withColumn("p", bit).withColumn("part", F.expr(f"p div {ROW_BITS}")).join(F.broadcast(bitmap), "part") \
+        .filter(F.expr(f"{byte} & shiftleft(1, cast(p % 8 as int)) <> 0")).select(*rows.columns)
 
 
 def member_sets(docs: DataFrame, members: DataFrame, repeated: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -335,15 +337,28 @@ def open_groups(rows: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def opened_for(pairs: DataFrame, sets: DataFrame, labels: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Links between the labels of ``pairs`` (id, group): each class is compared with the members of the group."""
-    pairs = materialize(pairs, "group-queries")
-    chunks = pairs.groupBy("group").agg(F.ceil(F.count("*") / QUERIES).alias("chunks"))
-    labelled = sets.join(labels, "id")
-    members = labelled.join(chunks, "group").select(
-        "group", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), F.lit(False).alias("query"), "label", "tokens")
-    queries = pairs.join(chunks, "group").join(labelled.drop("group"), "id").select(
-        "group", F.pmod("id", "chunks").alias("chunk"), F.lit(True).alias("query"), "label", "tokens")
-    return materialize(open_groups(members.unionByName(queries), percent), "group-links")
+    """Links between the labels of ``pairs`` (id, group): each class is compared with the members of the group.
+
+    The groups are opened in ``PASSES`` parts, as a part's shuffle files, which hold sets, go before the next part's are
+    made. Sets are shuffled by class for queries only: members are named by their ids, which get labels afterwards.
+    """
+    pairs = materialize(pairs.join(labels, "id"), "group-queries")
+    found = []
+    for k in range(PASSES):
+        part = pairs.filter(F.pmod("group", F.lit(PASSES)) == k)
+        chunks = part.groupBy("group").agg(F.ceil(F.count("*") / QUERIES).alias("chunks"))
+        members = sets.filter(F.pmod("group", F.lit(PASSES)) == k).join(chunks, "group").select(
+            "group", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), F.lit(False).alias("query"),
+            F.col("id").alias("label"), "tokens")
+        wanted = among(sets.select("id", "tokens"), part, "id", QUERY_BITS)
+        queries = part.join(chunks, "group").join(wanted, "id").select(
+            "group", F.pmod("id", "chunks").alias("chunk"), F.lit(True).alias("query"), "label", "tokens")
+        found.append(materialize(open_groups(members.unionByName(queries), percent), "group-links"))
+    release(pairs)
+    links = reduce(DataFrame.union, found)
+    for end in ("a", "b"):  # a label is the id of a class that has it
+        links = links.join(labels.select(F.col("id").alias(end), F.col("label").alias(f"label_{end}")), end)
+    return links.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")).filter("a <> b").distinct()
 
 
 def relabelled(labels: DataFrame, edges: DataFrame) -> DataFrame:
