@@ -376,6 +376,39 @@ def test_lines_leave_no_tables_and_whole_texts_are_not_joined(spark):
     assert {r.doc_id for r in may.filter("may").collect()} == {1, 2, 3, 4} and may.count() == 40
 
 
+def test_line_sets_are_made_without_rows_that_hold_the_rarity_table(spark):
+    """Sets of lines at given places, each once although a row repeats; no aggregate's rows hold the table of a byte a bucket."""
+    rows = [(1, "b a a\n\nc\td"), (1, "b a a\n\nc\td"), (2, "e  F g\x0b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    steps, places = lines.rarity(docs), spark.createDataFrame([(1 << 31,), (1 << 31 | 2,), (2 << 31,), (3 << 31,)], "number long")
+    sets = lines.sets_at(docs, places, steps)
+    plan = sets._jdf.queryExecution().optimizedPlan().toString()
+    assert "scalar-subquery" in plan and not [x for x in plan.split("\n") if "Aggregate [" in x and "scalar-subquery" in x]
+    assert sorted((r.number, r.n, len(r.words)) for r in sets.collect()) == [(1 << 31, 2, 2), (1 << 31 | 2, 2, 2), (2 << 31, 3, 3)]
+
+
+def test_line_candidates_are_those_of_all_pairs(spark):
+    """A smaller set meets larger ones on half of its prefix, and no pair that the filters pass is lost; hashes are deleted."""
+    rng = random.Random(7)
+    base = [[f"w{rng.randrange(400)}" for _ in range(rng.randrange(3, 40))] for _ in range(12)]
+    texts = [" ".join([w for w in rng.choice(base) if rng.random() > 0.06] + [f"x{rng.randrange(60)}" for _ in range(rng.randrange(3))]) for _ in range(150)]
+    docs = lines.numbered(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).select("doc_id", "text")
+    hashed = common.materialize(lines.hashed_lines(docs), "line-hashes")
+    folder = common.WRITTEN[hashed]
+    steps = lines.rarity(docs, hashed=hashed)
+    _, own = lines.classes(docs, steps, hashed=hashed)
+    assert not os.path.exists(folder.removeprefix("file:"))
+    marked = own.withColumn("open", F.col("number") % (5 << 31) != 0)
+    got = [(r.a >> 31, r.b >> 31) for part in lines.candidates(marked) for r in part.collect()]
+    sets = [frozenset(t.split()) for t in texts]
+    first = {}
+    for k, s in enumerate(sets):
+        first.setdefault(s, k)
+    similar = {(a, b) for a, b in itertools.combinations(sorted(first.values()), 2) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) - 1e-12}
+    assert {(a, b) for a, b in similar if b % 5} <= set(got) and len(similar) > 50
+    assert all(a < b and b % 5 for a, b in got)
+
+
 def test_groups_are_opened_in_parts_and_members_get_labels_afterwards(spark):
     """Links between labels are those of brute force, from groups of every part, and the queries' table is deleted."""
     base = [[100 * g + t for t in range(40)] for g in range(5)]

@@ -47,6 +47,8 @@ SPACES = "\t\x0b\x0c\r"
 RARITY_BUCKETS = 2 ** 20
 #: Steps of a count's logarithm: a third of a power of two each, up to 2^31 and more.
 RARITY_STEPS, STEPS_PER_POWER = 95, 3
+#: Spark's setting for the number of groups, as a power of two, that an aggregate keeps in its fast map.
+FAST_GROUPS = "spark.sql.codegen.aggregate.fastHashAggregateRowMaxCapacityBit"
 #: Buckets of one row that reaches the driver.
 RARITY_ROW = 1024
 #: Parts of the prefix words that are shuffled one after the other to find candidates.
@@ -63,8 +65,9 @@ FREQUENT_KEY = int(math.log2(FREQUENT) * STEPS_PER_POWER) << 56
 
 
 def words_of(line: Column) -> Column:
-    """The lower-cased words of a line, and empty strings."""
-    return F.split(reduce(lambda text, space: F.replace(text, F.lit(space), F.lit(" ")), SPACES, F.lower(line)), " ")
+    """The lower-cased words of a line, and empty strings. Only lines with other white space than blanks are rewritten."""
+    blanks = reduce(lambda text, space: F.replace(text, F.lit(space), F.lit(" ")), SPACES, line)
+    return F.split(F.lower(F.when(line.rlike(f"[{SPACES}]"), blanks).otherwise(line)), " ")
 
 
 def place(lines: DataFrame) -> Column:
@@ -78,50 +81,68 @@ def place(lines: DataFrame) -> Column:
 def text_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, line, content) of every line with a word, ``line`` counting from 0 over all lines."""
     each = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "content"))
-    return each.filter(F.btrim("content", F.lit(" " + SPACES)) != "")
+    return each.filter(F.col("content").rlike(f"[^ {SPACES}]"))
 
 
-def rarity(docs: DataFrame, buckets: int = RARITY_BUCKETS) -> Column:
+def with_hashes(lines: DataFrame) -> DataFrame:
+    """``lines`` (with ``content``) and ``hashes``, those of their words, each once."""
+    hashes = F.transform(words_of(F.col("content")), lambda w: F.xxhash64(w))
+    return lines.withColumn("hashes", F.array_except(hashes, F.array(F.xxhash64(F.lit("")))))
+
+
+def hashed_lines(docs: DataFrame) -> DataFrame:
+    """(doc_id, line, hashes) of every line with a word."""
+    return with_hashes(text_lines(docs)).select("doc_id", "line", "hashes")
+
+
+def rarity(docs: DataFrame, buckets: int = RARITY_BUCKETS, hashed: DataFrame | None = None) -> Column:
     """A scalar subquery, array<tinyint>: for each hash bucket, a step that rises with the count of its words.
 
-    The counts are of all words of all lines; the value has ``buckets`` (a power of two) bytes, whatever the corpus. It is
+    The counts are of the words of all lines, each once a line (``hashed``, if they are written); the value has ``buckets`` (a power of two) bytes, whatever the corpus. It is
     read from a table of one row where it is used, so plans name it and do not spell it out.
     """
-    words = docs.select(F.explode(words_of(F.replace("text", F.lit("\n"), F.lit(" ")))).alias("word")).filter("word <> ''")
-    each = words.select(F.xxhash64("word").bitwiseAND(F.lit(buckets - 1)).cast("int").alias("bucket"))
+    words = (hashed_lines(docs) if hashed is None else hashed).select(F.explode("hashes").alias("word"))
+    each = words.select(F.col("word").bitwiseAND(F.lit(buckets - 1).cast("long")).cast("int").alias("bucket"))
     every = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"))
     counts = each.union(every).groupBy("bucket").count()  # one more for every bucket
     step = F.least(F.floor(F.log2("count") * STEPS_PER_POWER), F.lit(RARITY_STEPS - 1)).cast("tinyint")
     row = F.sort_array(F.collect_list(F.struct("bucket", step.alias("step"))))
     found = counts.groupBy(F.expr(f"bucket div {RARITY_ROW}").alias("row")).agg(row["step"].alias("steps"))
     rows = F.array_sort(F.collect_list(F.struct("row", "steps")))  # buckets / RARITY_ROW rows
-    return materialize(found.agg(F.flatten(rows["steps"]).alias("steps")), "rarity").scalar()
+    spark = docs.sparkSession
+    before = spark.conf.get(FAST_GROUPS, None)
+    spark.conf.set(FAST_GROUPS, str(max(16, buckets.bit_length() - 1)))  # room for all buckets while the words are counted
+    try:
+        return materialize(found.agg(F.flatten(rows["steps"]).alias("steps")), "rarity").scalar()
+    finally:
+        spark.conf.unset(FAST_GROUPS) if before is None else spark.conf.set(FAST_GROUPS, before)
 
 
-def set_of(line: Column, steps: Column, buckets: int = RARITY_BUCKETS) -> Column:
+def set_of(hashes: Column, steps: Column, buckets: int = RARITY_BUCKETS) -> Column:
     """The set of a line as sorted order keys, rarest first: step of the bucket, then 56 bits of the hash."""
-    hashes = F.array_except(F.transform(words_of(line), lambda w: F.xxhash64(w)), F.array(F.xxhash64(F.lit(""))))
-
     def key(h: Column) -> Column:
         step = F.get(steps, h.bitwiseAND(F.lit(buckets - 1).cast("long")).cast("int"))
-        return F.shiftleft(F.coalesce(step, F.lit(0).cast("tinyint")).cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))  # never null: sorts as plain longs
+        order = F.shiftleft(step.cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
+        return F.coalesce(order, F.lit(0).cast("long"))  # never null: sorts as plain longs
 
     return F.sort_array(F.transform(hashes, key))
 
 
 def with_sets(lines: DataFrame, steps: Column) -> DataFrame:
-    """``lines`` (with ``content``) and ``words``, the sets of their lines.
+    """``lines`` (with ``hashes``) and ``words``, the sets of their lines.
 
     A subquery must not stand inside a lambda function when a query is analysed, so it gets a column first; the
-    optimizer then merges the two selects, and no row holds the value.
+    optimizer then merges the two selects, and no row holds the value. ``lines`` must not be an aggregate itself, as the
+    first select would be merged into that, and each of its rows would hold the value.
     """
-    return lines.withColumn("steps", steps).withColumn("words", set_of(F.col("content"), F.col("steps"))).drop("steps")
+    return lines.withColumn("steps", steps).withColumn("words", set_of(F.col("hashes"), F.col("steps"))).drop("steps")
 
 
 def parity(words: Column) -> Column:
     """64 parities of a set, as a long: sets differ in at least as many words as their parities differ in bits."""
+    # a shift of a long takes the last 6 bits of the hash; a lambda is interpreted word by word, so it is kept short
     return F.aggregate(words, F.lit(0).cast("long"), lambda a, w: a.bitwiseXOR(
-        F.call_function("shiftleft", F.lit(1).cast("long"), w.bitwiseAND(F.lit(63).cast("long")).cast("int"))))
+        F.call_function("shiftleft", F.lit(1).cast("long"), F.hash(w))))
 
 
 def needed(n: Column, threshold: float) -> Column:
@@ -134,16 +155,19 @@ def prefix_word(key: Column) -> Column:
     return F.shiftleft(F.hash(key), 1).bitwiseOR((key >= F.lit(FREQUENT_KEY)).cast("int"))
 
 
-def classes(docs: DataFrame, steps: Column, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
+def classes(docs: DataFrame, steps: Column, threshold: float = THRESHOLD, hashed: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(lines, classes): (doc_id, line, id) of lines with words; (id, n, parity, prefix, number) of their classes.
 
     ``number`` is the place of the class's first line, so classes are ordered by their first lines.
+    ``hashed``, if given, are the written ``hashed_lines`` of ``docs``, which go once the lines are written.
     """
-    found = with_sets(text_lines(docs), steps).select("doc_id", "line", "words")
+    found = with_sets(hashed_lines(docs) if hashed is None else hashed, steps).select("doc_id", "line", "words")
     n = F.size("words")
     prefix = F.transform(F.slice("words", 1, n - needed(n, threshold) + 1), prefix_word)
     lines = materialize(found.select("doc_id", "line", F.xxhash64("words").alias("id"), n.alias("n"),
                                      parity(F.col("words")).alias("parity"), prefix.alias("prefix")), "lines")
+    if hashed is not None:
+        release(hashed)
     own = materialize(lines.groupBy("id", "n", "parity", "prefix").agg(F.min(place(lines)).alias("number")), "line-classes")
     ids = materialize(lines.select("doc_id", "line", "id"), "line-ids")
     release(lines)
@@ -156,7 +180,7 @@ def prefix_index(own: DataFrame, *more: str) -> DataFrame:
 
 
 def passes(a: str, b: str, threshold: float) -> Column:
-    """The filters on a pair of index rows of one word, of which the first is of the earlier class."""
+    """The filters on a pair of index rows of one word."""
     def get(side: str, name: str) -> Column:
         return F.col(f"{side}.{name}")
 
@@ -165,8 +189,8 @@ def passes(a: str, b: str, threshold: float) -> Column:
     most = F.least(n_a - get(a, "at"), n_b - get(b, "at"))
     shared = F.ceil((n_a + n_b) * (threshold / (1 + threshold)) - 1e-9)
     differ = F.bit_count(get(a, "parity").bitwiseXOR(get(b, "parity")))
-    return ((get(a, "number") < get(b, "number")) & (F.least(n_a, n_b) >= needed(F.greatest(n_a, n_b), threshold))
-            & (most >= shared) & (differ <= n_a + n_b - 2 * shared))
+    return ((F.least(n_a, n_b) >= needed(F.greatest(n_a, n_b), threshold)) & (most >= shared)
+            & (differ <= n_a + n_b - 2 * shared))
 
 
 def leader_pairs(own: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -178,20 +202,26 @@ def leader_pairs(own: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     # plain columns up to the window: a struct of them would be made before the shuffle and double its rows
     led = index.select(*names, *[F.first(c).over(earlier).alias(f"first_{c}") for c in names])
     return led.select(F.struct(*names).alias("b"), F.struct(*[F.col(f"first_{c}").alias(c) for c in names]).alias("a")) \
-        .filter(passes("a", "b", threshold)).select(F.col("a.number").alias("a"), F.col("b.number").alias("b")).distinct()
+        .filter((F.col("a.number") < F.col("b.number")) & passes("a", "b", threshold)).select(F.col("a.number").alias("a"), F.col("b.number").alias("b")).distinct()
 
 
 def candidates(own: DataFrame, threshold: float = THRESHOLD) -> list[DataFrame]:
     """Pairs (a, b) that pass the filters, b a class with ``open`` and a any earlier class: a table for each of
-    ``PASSES`` parts of the words, written, so a part's shuffle files go before the next part's are made."""
-    # always b.open, as every class has words; a condition on the columns of both sides lets both read one exchange
-    wanted = F.when(F.col("a.n") + F.col("a.open").cast("int") > 0, F.col("b.open"))
+    ``PASSES`` parts of the words, written, so a part's shuffle files go before the next part's are made.
+
+    ``passes`` asks that as many words follow the shared word as a pair shares, ceil(t / (1 + t) (n_a + n_b)), which is at
+    least ceil(2 t / (1 + t) n) for the smaller set's n. So a smaller set meets larger ones on about half of its prefix.
+    """
+    s, l = F.col("small.number"), F.col("large.number")
+    ordered = (F.col("small.n") < F.col("large.n")) | ((F.col("small.n") == F.col("large.n")) & (s < l))
+    wanted = F.when(s < l, F.col("large.open")).otherwise(F.col("small.open"))
     parts = []
     for k in range(PASSES):
         index = prefix_index(own, "open").filter(F.pmod("word", F.lit(PASSES)) == k)
-        a, b = index.alias("a"), index.alias("b")
-        pairs = a.join(b, (F.col("a.word") == F.col("b.word")) & wanted & passes("a", "b", threshold))
-        parts.append(materialize(pairs.select(F.col("a.number").alias("a"), F.col("b.number").alias("b")).distinct(), "line-candidates"))
+        small = index.filter(F.col("at") <= F.col("n") - needed(F.col("n"), 2 * threshold / (1 + threshold))).alias("small")
+        pairs = small.join(index.alias("large"), (F.col("small.word") == F.col("large.word")) & ordered
+                           & passes("small", "large", threshold) & wanted)
+        parts.append(materialize(pairs.select(F.least(s, l).alias("a"), F.greatest(s, l).alias("b")).distinct(), "line-candidates"))
     return parts
 
 
@@ -212,12 +242,18 @@ def among(rows: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
 
 
 def lines_at(docs: DataFrame, places: DataFrame) -> DataFrame:
-    """(number, content) of the lines whose place is in ``places`` (column ``number``, each once)."""
+    """(number, content) of the lines whose place is in ``places`` (column ``number``), again for each copy of a row."""
     if docs.schema["doc_id"].dataType == LongType():
         docs = among(docs, F.col("doc_id"), places.select(F.shiftrightunsigned("number", LINE_BITS).alias("doc_id")))
     lines = text_lines(docs)
     passed = among(lines.select(place(lines).alias("number"), "content"), F.col("number"), places)
-    return passed.join(places, "number").dropDuplicates(["number"])
+    return passed.join(places, "number")
+
+
+def sets_at(docs: DataFrame, places: DataFrame, steps: Column) -> DataFrame:
+    """(number, words, n, low, high) of the lines whose place is in ``places``, each once."""
+    found = with_sets(with_hashes(lines_at(docs, places)), steps).select("number", "words").dropDuplicates(["number"])
+    return found.select("number", "words", F.size("words").alias("n"), *parities(F.col("words")))
 
 
 def numbers(pairs: DataFrame) -> DataFrame:
@@ -248,7 +284,7 @@ def similar(docs: DataFrame, pairs: DataFrame, steps: Column, threshold: float =
     """Those of ``pairs`` (a, b: numbers of classes) that are similar, with ``shared`` words and ``jaccard``, written."""
     pairs = materialize(pairs, "line-pairs")
     places = materialize(numbers(pairs), "line-places")
-    sets = materialize(with_sets(lines_at(docs, places), steps).select("number", "words", F.size("words").alias("n"), *parities(F.col("words"))), "line-sets")
+    sets = materialize(sets_at(docs, places, steps), "line-sets")
     near = materialize(nearer(pairs, sets, threshold), "line-near")
     release(pairs, places)
     whole = among(sets.select("number", "words"), F.col("number"), numbers(near))
@@ -283,8 +319,9 @@ def later_classes(docs: DataFrame, own: DataFrame, steps: Column, threshold: flo
 
 def removed_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, removed array<int>): the lines of each document that an earlier line matches."""
-    steps = rarity(docs)
-    lines, own = classes(docs, steps, threshold)
+    hashed = materialize(hashed_lines(docs), "line-hashes")
+    steps = rarity(docs, hashed=hashed)
+    lines, own = classes(docs, steps, threshold, hashed)
     first = materialize(own.select("id", "number"), "line-numbers")
     later = later_classes(docs, own, steps, threshold)
     gone = first.join(later.withColumn("matched", F.lit(True)), "number", "left")
@@ -305,9 +342,10 @@ def numbered(docs: DataFrame) -> DataFrame:
                        row_key().alias("key"))
     keys = rows.select("doc_id", "key")
     narrow = F.coalesce((F.col("doc_id") >= 0) & (F.col("doc_id") < MOST_DOCUMENTS), F.lit(False))
-    found = keys.groupBy("doc_id").agg((F.min("key") != F.max("key")).alias("several")).agg(
-        F.max("several").alias("several"), F.min(narrow).alias("narrow")).first()
-    if found["several"]:
+    found = rows.groupBy("doc_id").count().agg(F.max(F.col("count") > 1).alias("repeated"), F.min(narrow).alias("narrow")).first()
+    # texts are read for this only if an id repeats
+    several = found["repeated"] and not keys.groupBy("doc_id").agg((F.min("key") != F.max("key")).alias("several")).filter("several").isEmpty()
+    if several:
         order = placed(keys.distinct().withColumn("no_id", F.col("doc_id").isNull()), ["no_id", "doc_id", "key"], "line-documents")
         return materialize(rows.drop("doc_id").join(order.select("key", F.col("place").alias("doc_id")), "key")
                            .select("row", "doc_id", "text"), "numbered")
