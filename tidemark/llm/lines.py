@@ -3,8 +3,8 @@
 A line is its set of lower-cased words. A line is removed if an earlier line (by
 doc_id, then line number) is similar: Jaccard of at least ``threshold``.
 
-1. Words are ordered by rarity: all words of the corpus are counted in
-   ``RARITY_BUCKETS`` hash buckets, and each count is kept as one of 95 steps of its logarithm,
+1. The words of each line are hashed once and written. Words are ordered by rarity: all words of the corpus, each once a line,
+   are counted in ``RARITY_BUCKETS`` hash buckets, and each count is kept as one of 95 steps of its logarithm,
    an array of fixed size. A word's order key is the step of its bucket, followed by its hash;
    any order is exact, rare-first is fast.
 2. Lines of equal sets are one class, found by one aggregation; a line that a third
@@ -12,7 +12,8 @@ doc_id, then line number) is similar: Jaccard of at least ``threshold``.
 3. Prefix filter: similar sets share one of their first ``n - ceil(t n) + 1`` words.
    Classes are joined on these words, under the length filter (``n`` within ``t``) and
    the positional filter (the places of the shared word leave enough words to share) and
-   a parity filter (64 parities of each set bound from below how many words differ).
+   a parity filter (64 parities of each set bound from below how many words differ). By the positional filter a smaller
+   set meets larger ones on about half of its prefix.
 4. Candidates are verified on their whole sets. Those are made again from the texts, of
    the candidates' first lines only: a bitmap of fixed size lets their lines pass, and
    the join that follows is exact. 128 parities come before the sets, which are many times
